@@ -146,19 +146,21 @@ def join_map_form(spark, sf_dir):
     return f.select(F.col("form_date").cast("string").alias("form_date"), "map_id", "form_match_id")
 
 
-APPEND_SQL = f"""
+# The full map features live in feat_match_maps (one row per match, map and
+# team); the append step is the association target x history match x map,
+# carried with the form key and the map's headline numbers.
+APPEND_SQL = """
 SELECT th.target_id, th.side, th.history_id, mm.map_id, CAST(th.target_date AS VARCHAR) AS form_date,
-  mm.team_def_score, mm.team_atk_score, mm.team_ot_score, mm.team_against_def_score, mm.team_against_atk_score,
-  mm.team_against_ot_score, mm.duration, mm.team_agents, mm.team_against_agents,
-  {", ".join(f"mm.team_{n}" for n in _ROLE_NAMES)}, {", ".join(f"mm.team_against_{n}" for n in _ROLE_NAMES)}
-FROM th JOIN fm mm ON mm.match_id = th.history_id AND mm.team_id = th.team_id"""
-APPEND_CTES = f"{HISTORY_CTES},\n{MATCH_MAPS_CTES},\nfm AS ({MATCH_MAPS_SQL})"
+  mm.team_def_score, mm.team_against_def_score, mm.duration
+FROM th JOIN fmm mm ON mm.match_id = th.history_id AND mm.team_id = th.team_id"""
+APPEND_CTES = f"{HISTORY_CTES},\n{FMM_CTE}"
 
 
 @query("feat_append_maps", sql=APPEND_SQL, ctes=APPEND_CTES)
 def feat_append_maps(spark, sf_dir):
     df = FT.feat_append_maps(dom(spark, sf_dir))
-    return text_arrays(df.withColumn("form_date", F.col("form_date").cast("string")))
+    return df.select("target_id", "side", "history_id", "map_id", F.col("form_date").cast("string").alias("form_date"),
+                     "team_def_score", "team_against_def_score", "duration")
 
 
 def _maps_text_spark(col):
@@ -204,7 +206,7 @@ def feat_dataset(spark, sf_dir):
 # feat_maps rows that make up each (date, map) form, joined to their features.
 @query("feat_map_form", sql=f"""
 SELECT CAST(k.form_date AS VARCHAR) AS form_date, k.map_id, f.match_id AS form_match_id,
-  f.team_1_def_score, f.team_2_def_score, f.duration, f.team_1_agents, f.team_2_agents
+  f.team_1_def_score, f.team_2_def_score, f.duration
 FROM (SELECT DISTINCT m.date AS form_date, mm.map_id FROM g_match_maps mm JOIN g_matches m ON m.id = mm.match_id) k
 JOIN (SELECT mm.match_id, mm.map_id, m.date FROM g_match_maps mm JOIN g_matches m ON m.id = mm.match_id) m
   ON m.map_id = k.map_id AND m.date >= k.form_date - INTERVAL 180 DAY AND m.date < k.form_date
@@ -215,6 +217,5 @@ def feat_map_form(spark, sf_dir):
     form = FT.map_form(d)
     maps = FT.feat_maps(d).withColumnRenamed("match_id", "form_match_id")
     j = form.join(maps, ["form_match_id", "map_id"], "inner")
-    return text_arrays(j.select(F.col("form_date").cast("string").alias("form_date"), "map_id", "form_match_id",
-                                "team_1_def_score", "team_2_def_score", "duration", "team_1_agents",
-                                "team_2_agents"))
+    return j.select(F.col("form_date").cast("string").alias("form_date"), "map_id", "form_match_id",
+                    "team_1_def_score", "team_2_def_score", "duration")

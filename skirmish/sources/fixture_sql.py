@@ -97,6 +97,74 @@ SELECT id AS match_id, team_1_id, team_2_id, concat('T', team_1_id) AS t1_short,
 FROM g_matches""",
 }
 
+
+# Raw page-fragment views (twins of skirmish.sources.raw_views).
+VIEWS.update({
+    "g_geo": """
+SELECT n_name AS country, r_name AS continent, CAST(n_nationkey AS BIGINT) AS row_no
+FROM nation JOIN region ON r_regionkey = n_regionkey""",
+    "g_raw_tournaments": """
+SELECT c_custkey AS id, c_name AS name, concat('/event/', c_custkey, '/', lower(c_mktsegment)) AS url,
+  CASE WHEN c_acctbal < 0 THEN 'TBD' ELSE concat('$', format('{:,}', CAST(floor(c_acctbal * 100) AS BIGINT)), ' USD') END AS prize_txt,
+  CASE WHEN c_nationkey % 5 = 0 THEN concat('/event/group/vct-20', 20 + c_nationkey % 6) ELSE '/event/group/open' END AS group_href
+FROM customer""",
+    "g_raw_teams": """
+SELECT c.c_custkey AS id,
+  CASE c.c_custkey % 3 WHEN 0 THEN concat('T', c.c_custkey % 1000) WHEN 1 THEN concat('Team ', c.c_custkey) ELSE c.c_name END AS name,
+  CASE WHEN c.c_custkey % 2 = 0 THEN '' ELSE concat('C', c.c_custkey % 100) END AS shorthand_txt,
+  concat('/team/', c.c_custkey, '/', lower(c.c_mktsegment)) AS url,
+  CASE c.c_custkey % 4 WHEN 0 THEN lower(g.country) WHEN 1 THEN g.country WHEN 2 THEN concat('  ', g.continent)
+    ELSE concat('Land ', c.c_mktsegment) END AS location_txt
+FROM customer c JOIN g_geo g ON g.row_no = c.c_nationkey""",
+    "g_raw_players": """
+SELECT p.player_id AS id, concat('p', p.player_id) AS name, concat('/player/', p.player_id, '/p', p.player_id) AS url,
+  CASE WHEN p.player_id % 7 = 0 THEN '' ELSE n.n_name END AS country_txt
+FROM (SELECT DISTINCT player_id FROM g_player_overview_stats) p JOIN nation n ON n.n_nationkey = p.player_id % 25""",
+    "g_roster": """
+SELECT match_id, map_id, team_id, concat('p', player_id) AS name, player_id FROM g_player_overview_stats WHERE side = 'def'""",
+    "g_raw_duel_grid": """
+SELECT match_id, map_id, team_1_player_id % 10 AS i, team_2_player_id % 10 AS j,
+  CASE WHEN team_1_player_kills_vs_team_2_player = 0 AND team_2_player_kills_vs_team_1_player = 0 THEN ''
+    ELSE concat(team_1_player_kills_vs_team_2_player, ' ', team_2_player_kills_vs_team_1_player) END AS kills_txt,
+  CASE WHEN team_1_player_first_kills_vs_team_2_player = 0 AND team_2_player_first_kills_vs_team_1_player = 0 THEN ''
+    ELSE concat(team_1_player_first_kills_vs_team_2_player, ' ', team_2_player_first_kills_vs_team_1_player) END AS first_kills_txt,
+  CASE WHEN team_1_player_op_kills_vs_team_2_player = 0 AND team_2_player_op_kills_vs_team_1_player = 0 THEN ''
+    ELSE concat(team_1_player_op_kills_vs_team_2_player, ' ', team_2_player_op_kills_vs_team_1_player) END AS op_kills_txt
+FROM g_players_duel_stats""",
+    "g_raw_duel_headers": """
+SELECT mm.match_id, mm.map_id, n.n_nationkey AS pos, concat('p', mm.team_1_id * 10 + n.n_nationkey) AS row_name,
+  concat('p', mm.team_2_id * 10 + n.n_nationkey) AS col_name
+FROM g_match_maps mm JOIN nation n ON n.n_nationkey < 5""",
+    "g_raw_highlight_cells": """
+SELECT h.match_id, h.map_id, CASE WHEN h.team_id = mm.team_1_id THEN h.player_id % 10 ELSE h.player_id % 10 + 5 END AS pos,
+  concat('p', h.player_id) AS owner_txt, h.round_no, h.highlight_type,
+  string_agg(concat('p', h.player_against_id), ', ' ORDER BY concat('p', h.player_against_id)) AS opponents_txt
+FROM g_player_highlights h JOIN g_match_maps mm ON mm.match_id = h.match_id AND mm.map_id = h.map_id
+GROUP BY h.match_id, h.map_id, CASE WHEN h.team_id = mm.team_1_id THEN h.player_id % 10 ELSE h.player_id % 10 + 5 END,
+  h.player_id, h.round_no, h.highlight_type""",
+    "g_raw_map_overview": """
+SELECT match_id, CAST(map_id AS VARCHAR) AS game_id, concat('Map', map_id) AS map_name,
+  CASE WHEN duration IS NULL THEN '-' ELSE concat(CAST(floor(duration / 60) AS BIGINT), ':', lpad(CAST(duration % 60 AS VARCHAR), 2, '0')) END AS duration_txt,
+  CASE WHEN team_def_first = team_1_id THEN ' mod-ct ' ELSE 'mod-t' END AS def_first_class,
+  CASE WHEN team_pick = team_1_id THEN 'picked mod-1' WHEN team_pick = team_2_id THEN 'picked mod-2' ELSE 'picked' END AS pick_class,
+  CAST(team_1_def_score AS VARCHAR) AS t1_def_txt, CAST(team_1_atk_score AS VARCHAR) AS t1_atk_txt, CAST(team_1_ot_score AS VARCHAR) AS t1_ot_txt,
+  CAST(team_2_def_score AS VARCHAR) AS t2_def_txt, CAST(team_2_atk_score AS VARCHAR) AS t2_atk_txt, CAST(team_2_ot_score AS VARCHAR) AS t2_ot_txt
+FROM g_match_maps
+UNION ALL SELECT id, 'all', NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL FROM g_matches""",
+    "g_raw_map_performance": """
+SELECT match_id, CAST(map_id AS VARCHAR) AS game_id, count(*) AS n_duel_cells FROM g_players_duel_stats GROUP BY match_id, map_id
+UNION ALL SELECT id, 'all', NULL FROM g_matches""",
+    "g_raw_map_economy": """
+SELECT match_id, CAST(map_id AS VARCHAR) AS game_id, count(*) AS n_rounds FROM g_round_stats GROUP BY match_id, map_id
+UNION ALL SELECT id, 'all', NULL FROM g_matches""",
+    "g_raw_listing": """
+SELECT DISTINCT CAST(floor(ud / 7) AS BIGINT) AS page_no, CAST((6 - (ud - floor(ud / 7) * 7)) * 1000000000 AS BIGINT) AS pos,
+  'date' AS kind, strftime(date, '%a, %B %-d, %Y') AS txt
+FROM (SELECT date, date_diff('day', DATE '1970-01-01', date) AS ud FROM g_matches)
+UNION ALL
+SELECT CAST(floor(ud / 7) AS BIGINT), CAST((6 - (ud - floor(ud / 7) * 7)) * 1000000000 + id + 1 AS BIGINT), 'link', url
+FROM (SELECT id, url, date, date_diff('day', DATE '1970-01-01', date) AS ud FROM g_matches)""",
+})
 _ORDER = list(VIEWS)
 _NAME = re.compile(r"\bg_[a-z_]+\b")
 
@@ -121,6 +189,10 @@ def with_views(sql: str, extra: str = "") -> str:
     ctes = [f"{n} AS ({VIEWS[n]}\n)" for n in _ORDER if n in need]
     if extra.strip():
         ctes.append(extra.strip())
+    body = sql.strip()
+    if body[:5].upper() == "WITH " and ctes:
+        # the query's own CTE list continues ours
+        return "WITH " + ",\n".join(ctes) + ",\n" + body[5:]
     if not ctes:
         return sql
     return "WITH " + ",\n".join(ctes) + "\n" + sql
