@@ -42,6 +42,11 @@ URL_PATTERNS = [
     ("team", r"^/team/[0-9]+/[a-zA-Z0-9-]*$", 2),
     ("tournament", r"^/event/[0-9]+/[a-zA-Z0-9-]*/?[a-zA-Z0-9-]*$", 2),
 ]
+# URL path patterns of the captured pages table (the pattern list is a parameter):
+PAGE_URL_PATTERNS = [
+    ("article", r"^/[a-z]{2}/[0-9]+/?$", 2),
+    ("article_html", r"^/[a-z]{2}/[0-9]+\.html$", 2),
+]
 # Page router patterns (full URL or internal tag) -> page kind, in a fixed order (ledger Q20):
 PAGE_ROUTES = [
     ("match", r"^https://www\.vlr\.gg/[0-9]+/[a-z0-9/-]*$"),
@@ -210,7 +215,7 @@ def url_id(url: Column, patterns=URL_PATTERNS) -> Column:
     p = url_path(url)
     out = None
     for _, pat, seg in patterns:
-        val = F.split(p, "/").getItem(seg).try_cast("bigint")
+        val = F.regexp_extract(F.split(p, "/").getItem(seg), r"^[0-9]+", 0).try_cast("bigint")
         out = F.when(p.rlike(pat), val) if out is None else out.when(p.rlike(pat), val)
     return out
 

@@ -284,3 +284,22 @@ SELECT id, CAST(CAST(date - INTERVAL 180 DAY AS DATE) AS VARCHAR) AS window_star
 def f_date_sub(spark, sf_dir):
     m = dom(spark, sf_dir).matches
     return m.select("id", F.date_sub(F.col("date"), 180).cast("string").alias("window_start"))
+
+
+@query("f_url_info_pages", sql=f"""
+SELECT page_id, {S.url_kind('url', R.PAGE_URL_PATTERNS)} AS kind, {S.url_id('url', R.PAGE_URL_PATTERNS)} AS ref_id
+FROM pages""")
+def f_url_info_pages(spark, sf_dir):
+    """URL rule over the captured pages with the pages' own pattern list
+    (the reference's list matches no fixture URL, so it is a parameter)."""
+    p = dom(spark, sf_dir).t.pages
+    return p.select("page_id", R.url_kind(F.col("url"), R.PAGE_URL_PATTERNS).alias("kind"),
+                    R.url_id(F.col("url"), R.PAGE_URL_PATTERNS).alias("ref_id"))
+
+
+@query("f_page_route_pages", sql=f"SELECT page_id, {S.page_route('url')} AS kind FROM pages")
+def f_page_route_pages(spark, sf_dir):
+    """The reference's router over the captured pages: none of them is a
+    known page kind, so every row routes to null (quarantine)."""
+    p = dom(spark, sf_dir).t.pages
+    return p.select("page_id", R.page_route(F.col("url")).alias("kind"))

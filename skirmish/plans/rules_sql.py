@@ -72,7 +72,7 @@ def url_kind(x: str, patterns=R.URL_PATTERNS) -> str:
 def url_id(x: str, patterns=R.URL_PATTERNS) -> str:
     p = url_path(x)
     return "(CASE " + " ".join(
-        f"WHEN regexp_matches({p}, {q(pat)}) THEN TRY_CAST(split_part({p}, '/', {seg + 1}) AS BIGINT)"
+        f"WHEN regexp_matches({p}, {q(pat)}) THEN TRY_CAST(regexp_extract(split_part({p}, '/', {seg + 1}), '^[0-9]+', 0) AS BIGINT)"
         for _, pat, seg in patterns) + " END)"
 
 
