@@ -20,6 +20,12 @@ from html.parser import HTMLParser
 
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
 RAW_TEXT = {"script", "style"}
+_BLOCK = {"p", "div", "ul", "ol", "table", "h1", "h2", "h3", "h4", "h5", "h6", "section", "article", "header",
+          "footer", "nav", "form", "pre", "blockquote", "hr"}
+# Opening tag -> open elements it ends implicitly (HTML's optional end tags).
+IMPLIED_CLOSE = {"li": {"li", "p"}, "td": {"td", "th", "p"}, "th": {"td", "th", "p"}, "tr": {"td", "th", "tr", "p"},
+                 "option": {"option"}, "dt": {"dt", "dd", "p"}, "dd": {"dt", "dd", "p"},
+                 **{b: {"p"} for b in _BLOCK}}
 
 
 @dataclass
@@ -28,14 +34,15 @@ class Node:
     attrs: dict
     parent: "Node | None" = None
     children: list = field(default_factory=list)
-    own_text: list = field(default_factory=list)
+    content: list = field(default_factory=list)  # text pieces and child nodes, in document order
     index: int = 0  # 1-based position among element siblings
 
+    @property
+    def own_text(self) -> list:
+        return [c for c in self.content if isinstance(c, str)]
+
     def text(self) -> str:
-        parts = list(self.own_text)
-        for c in self.children:
-            parts.append(c.text())
-        return "".join(parts)
+        return "".join(c if isinstance(c, str) else c.text() for c in self.content)
 
     def classes(self) -> set:
         return set((self.attrs.get("class") or "").split())
@@ -48,9 +55,12 @@ class _TreeBuilder(HTMLParser):
         self.cur = self.root
 
     def handle_starttag(self, tag, attrs):
+        while self.cur.parent is not None and self.cur.tag in IMPLIED_CLOSE.get(tag, ()):
+            self.cur = self.cur.parent
         node = Node(tag, {k: (v if v is not None else "") for k, v in attrs}, parent=self.cur)
-        node.index = sum(1 for _ in self.cur.children) + 1
+        node.index = len(self.cur.children) + 1
         self.cur.children.append(node)
+        self.cur.content.append(node)
         if tag not in VOID:
             self.cur = node
 
@@ -58,6 +68,7 @@ class _TreeBuilder(HTMLParser):
         node = Node(tag, {k: (v if v is not None else "") for k, v in attrs}, parent=self.cur)
         node.index = len(self.cur.children) + 1
         self.cur.children.append(node)
+        self.cur.content.append(node)
 
     def handle_endtag(self, tag):
         n = self.cur
@@ -69,7 +80,7 @@ class _TreeBuilder(HTMLParser):
     def handle_data(self, data):
         if self.cur.tag in RAW_TEXT:
             return
-        self.cur.own_text.append(data)
+        self.cur.content.append(data)
 
 
 def parse(html: str) -> Node:

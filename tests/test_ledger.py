@@ -11,7 +11,6 @@ from skirmish.operators import windows as W
 from skirmish.plans import features as FT
 from skirmish.plans import ingest as I
 from skirmish.sources import seeds as SD
-from skirmish.sources.tables import Tables
 from skirmish.streaming import incremental as INC
 
 from conftest import SF0001
@@ -90,14 +89,21 @@ def test_veto_note_golden(spark):
 
 
 def test_q16_geography_lookup(spark):
-    stub = SimpleNamespace(t=Tables(spark, SF0001))
-    names = spark.createDataFrame([("RUSSIA",), ("canada",), ("United States",), ("Vietnam",), ("",), ("Atlantis",)],
-                                  "place string")
+    """The reference's golden names resolve by snake-case containment, first row in file order."""
+    nation = spark.createDataFrame(
+        [(0, "Singapore", 0), (1, "Russia", 1), (2, "Canada", 2), (3, "United States", 2), (4, "Vietnam", 0),
+         (5, "United States Minor Outlying Islands", 2)],
+        "n_nationkey int, n_name string, n_regionkey int")
+    region = spark.createDataFrame([(0, "Asia"), (1, "Europe"), (2, "North America")], "r_regionkey int, r_name string")
+    stub = SimpleNamespace(t=SimpleNamespace(nation=nation, region=region))
+    names = spark.createDataFrame([("Singapore",), ("RUSSIA",), ("canada",), ("United States",), ("Vietnam",), ("",),
+                                   ("Atlantis",)], "place string")
     got = {r.place: r.country_country for r in I.geo_lookup(names, stub, "place", "country").collect()}
-    assert got == {"RUSSIA": "RUSSIA", "canada": "CANADA", "United States": "UNITED STATES", "Vietnam": "VIETNAM"}
-    regions = spark.createDataFrame([("Asia",), ("europe",)], "place string")
+    assert got == {"Singapore": "Singapore", "RUSSIA": "Russia", "canada": "Canada",
+                   "United States": "United States", "Vietnam": "Vietnam"}
+    regions = spark.createDataFrame([("Asia",), ("North AMERICA",), ("europe",)], "place string")
     got = {r.place: r.continent_continent for r in I.geo_lookup(regions, stub, "place", "continent").collect()}
-    assert got == {"Asia": "ASIA", "europe": "EUROPE"}
+    assert got == {"Asia": "Asia", "North AMERICA": "North America", "europe": "Europe"}
 
 
 def test_dense_ids_are_stable(spark):
