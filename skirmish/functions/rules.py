@@ -69,9 +69,14 @@ def _lookup(c: Column, mapping: dict[str, str], default: Column | None = None) -
     return out.otherwise(default if default is not None else F.lit(None))
 
 
+# Whitespace trimmed by the text rules: ASCII space, \t \n \v \f \r, NEL and NBSP.
+WHITESPACE = " \t\n\x0b\x0c\r\u0085\u00a0"
+
+
 def strip(c: Column) -> Column:
-    """Trim all whitespace (not only spaces) at both ends."""
-    return F.regexp_replace(c, r"^\s+|\s+$", "")
+    """Trim whitespace (not only spaces) at both ends; a character-set trim,
+    no regular expression."""
+    return F.btrim(c, F.lit(WHITESPACE))
 
 
 def snake(c: Column) -> Column:

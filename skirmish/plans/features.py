@@ -30,8 +30,10 @@ ROLE_COUNTS = [("duelists", "duelist"), ("controllers", "controller"),
 
 
 def rate(num: Column, den: Column) -> Column:
-    """num / den as double, 0 when den is 0 or null (ledger Q3), rounded to 6."""
-    return F.round(F.coalesce(F.try_divide(num.cast("double"), den.cast("double")), F.lit(0.0)), 6)
+    """num / den as double, 0 when den is 0 or null (ledger Q3), rounded to 6.
+    The guard makes the division safe under ANSI mode (only evaluated when den != 0)."""
+    d = den.cast("double")
+    return F.round(F.when(d.isNull() | (d == 0), F.lit(0.0)).otherwise(F.coalesce(num.cast("double") / d, F.lit(0.0))), 6)
 
 
 def flag(c: Column) -> Column:
@@ -96,20 +98,29 @@ def side_pivot(players: DataFrame) -> DataFrame:
 
 
 def round_counts(d: Domain) -> DataFrame:
-    """Total, def and atk rounds per (match, map, team)."""
-    f = L.flip_rounds(d.round_stats)
-    return f.groupBy("match_id", "map_id", "team_id").agg(
-        F.count(F.lit(1)).alias("rounds"), F.sum("def").alias("def_rounds")
-    ).withColumn("atk_rounds", F.col("rounds") - F.col("def_rounds"))
+    """Total, def and atk rounds per (match, map, team): aggregated per map
+    on the unflipped rounds, then flipped (2 rows per map, not per round)."""
+    r = d.round_stats
+    per_map = r.groupBy("match_id", "map_id", "team_1_id", "team_2_id").agg(
+        F.count(F.lit(1)).alias("rounds"),
+        F.count_if(F.col("team_def") == F.col("team_1_id")).alias("def_1"),
+        F.count_if(F.col("team_def") == F.col("team_2_id")).alias("def_2"))
+    f = L.flip(per_map, ["match_id", "map_id", "rounds"], {"team_id": ("team_1_id", "team_2_id"),
+                                                          "def_rounds": ("def_1", "def_2")})
+    return f.withColumn("atk_rounds", F.col("rounds") - F.col("def_rounds"))
 
 
 def enriched_highlights(d: Domain) -> DataFrame:
     """Highlights once per (match, map, team, player, round, type) with the
-    round's def/won for that team (ledger Q5, Q6)."""
+    round's def/won for that team (ledger Q5, Q6). Joined to the unflipped
+    rounds on (match, map, round): one round row serves both teams."""
     keys = ["match_id", "map_id", "team_id", "player_id", "round_no", "highlight_type"]
     h = d.player_highlights.select(*keys).dropDuplicates(keys)
-    r = L.flip_rounds(d.round_stats).select("match_id", "map_id", "team_id", "round_no", "def", "won")
-    return h.join(r, ["match_id", "map_id", "team_id", "round_no"], "inner")
+    r = d.round_stats.select("match_id", "map_id", "round_no", "team_1_id", "team_2_id", "team_def", "team_won")
+    j = h.join(r, ["match_id", "map_id", "round_no"], "inner") \
+         .filter(F.col("team_id").isin(F.col("team_1_id"), F.col("team_2_id")))
+    return j.select(*keys, (F.col("team_def") == F.col("team_id")).cast("int").alias("def"),
+                    (F.col("team_won") == F.col("team_id")).cast("int").alias("won"))
 
 
 def highlight_counts(d: Domain) -> DataFrame:
@@ -181,8 +192,10 @@ def player_inputs(d: Domain) -> tuple[DataFrame, DataFrame]:
 
 def feat_players(d: Domain) -> DataFrame:
     clean, _ = player_inputs(d)
-    j = (clean.join(round_counts(d), ["match_id", "map_id", "team_id"], "left")
-         .join(highlight_counts(d), PLAYER_KEYS, "left"))
+    # Both right sides are per-match aggregates on the same match partitioning:
+    # hash them per partition instead of sorting the wide rows.
+    j = (clean.join(round_counts(d).hint("shuffle_hash"), ["match_id", "map_id", "team_id"], "left")
+         .join(highlight_counts(d).hint("shuffle_hash"), PLAYER_KEYS, "left"))
     j = j.fillna(0, subset=["def_rounds", "atk_rounds"])
     return j.select(*PLAYER_KEYS, *player_feature_columns())
 

@@ -64,20 +64,25 @@ def job_match_maps(d: Domain) -> DataFrame:
 
 # ------------------------------------------------------------------ rounds
 def parse_rounds(d: Domain, pistol_rounds=R.PISTOL_ROUNDS) -> DataFrame:
-    r = d.raw_rounds
+    """Raw round cells -> typed round rows. Text cells are trimmed once in a
+    first projection so every rule works on clean columns (keeps the
+    generated code small and each trim evaluated once)."""
+    text = ["t1_win_class", "win_class", "win_img", "t1_buy_txt", "t2_buy_txt", "t1_bank_txt", "t2_bank_txt"]
+    r = d.raw_rounds.select("match_id", "map_id", "round_no", "team_1_id", "team_2_id",
+                            *[R.strip(F.col(c)).alias(c) for c in text])
     t1, t2, rn = F.col("team_1_id"), F.col("team_2_id"), F.col("round_no")
-    won = R.team_won(F.col("t1_win_class"), t1, t2)
-    parsed = r.select(
+    won = F.when(F.col("t1_win_class") == "", t2).otherwise(t1)       # f_team_won on trimmed text
+    r = r.withColumn("team_won", won)
+    return r.select(
         "match_id", "map_id", "round_no", "team_1_id", "team_2_id",
-        R.team_def(F.col("win_class"), t1, t2, won).alias("team_def"),
+        R.team_def(F.col("win_class"), t1, t2, F.col("team_won")).alias("team_def"),
         R.buy_type(F.col("t1_buy_txt"), rn, pistol_rounds).alias("team_1_buy_type"),
         R.buy_type(F.col("t2_buy_txt"), rn, pistol_rounds).alias("team_2_buy_type"),
         R.bank(F.col("t1_bank_txt")).alias("team_1_bank"),
         R.bank(F.col("t2_bank_txt")).alias("team_2_bank"),
-        won.alias("team_won"),
+        "team_won",
         R.won_method(F.col("win_img")).alias("won_method"),
     )
-    return parsed
 
 
 ROUND_FIELDS = ["team_def", "team_1_buy_type", "team_2_buy_type", "team_1_bank", "team_2_bank", "team_won",
@@ -149,22 +154,22 @@ def job_player_stats(d: Domain, ot_mode: str = "fixed") -> DataFrame:
 
 # ------------------------------------------------------------------ duels
 def join_duel_grid(d: Domain) -> DataFrame:
-    """Row header x column header x cell, all on (match, map, i, j); names
-    resolved to ids within (match, map, team)."""
+    """Row header x column header x cell on (match, map, i, j). Header names
+    are resolved to player ids on the header table first (5 rows per team
+    and map), so the cells take two joins instead of four."""
     g = RV.raw_duel_grid(d)
-    h = RV.raw_duel_headers(d)
-    rows = h.select("match_id", "map_id", F.col("pos").alias("i"), "row_name")
-    cols = h.select("match_id", "map_id", F.col("pos").alias("j"), "col_name")
-    teams = d.match_maps.select("match_id", "map_id", "team_1_id", "team_2_id")
-    j = g.join(rows, ["match_id", "map_id", "i"]).join(cols, ["match_id", "map_id", "j"]) \
-         .join(teams, ["match_id", "map_id"])
+    h = RV.raw_duel_headers(d).join(d.match_maps.select("match_id", "map_id", "team_1_id", "team_2_id"),
+                                    ["match_id", "map_id"])
     ro = RV.roster(d)
     r1 = ro.select("match_id", "map_id", F.col("team_id").alias("team_1_id"), F.col("name").alias("row_name"),
                    F.col("player_id").alias("team_1_player_id"))
     r2 = ro.select("match_id", "map_id", F.col("team_id").alias("team_2_id"), F.col("name").alias("col_name"),
                    F.col("player_id").alias("team_2_player_id"))
-    return j.join(r1, ["match_id", "map_id", "team_1_id", "row_name"], "left") \
-            .join(r2, ["match_id", "map_id", "team_2_id", "col_name"], "left")
+    rows = h.join(r1, ["match_id", "map_id", "team_1_id", "row_name"], "left") \
+            .select("match_id", "map_id", F.col("pos").alias("i"), "row_name", "team_1_player_id")
+    cols = h.join(r2, ["match_id", "map_id", "team_2_id", "col_name"], "left") \
+            .select("match_id", "map_id", F.col("pos").alias("j"), "col_name", "team_2_player_id")
+    return g.join(rows, ["match_id", "map_id", "i"]).join(cols, ["match_id", "map_id", "j"])
 
 
 def _cell_part(c: Column, idx: int) -> Column:
@@ -173,13 +178,26 @@ def _cell_part(c: Column, idx: int) -> Column:
     return R.default_blank(c, 0, R.to_int(part)).cast("bigint")
 
 
+DUEL_CELLS = ("kills", "first_kills", "op_kills")
+
+
 def job_duels(d: Domain) -> DataFrame:
+    """Cells are trimmed and split once into arrays, then each number is read
+    from its array (blank cell -> 0, f_default_blank)."""
     j = join_duel_grid(d)
-    out = [F.col("match_id"), F.col("map_id"), F.col("team_1_player_id"), F.col("team_2_player_id")]
-    for c in ("kills", "first_kills", "op_kills"):
-        out += [_cell_part(F.col(f"{c}_txt"), 0).alias(f"team_1_player_{c}_vs_team_2_player"),
-                _cell_part(F.col(f"{c}_txt"), 1).alias(f"team_2_player_{c}_vs_team_1_player")]
-    return j.select(*out)
+    keys = ["match_id", "map_id", "team_1_player_id", "team_2_player_id"]
+    arrays = j.select(*keys, *[F.split(R.strip(F.col(f"{c}_txt")), r"\s+").alias(c) for c in DUEL_CELLS])
+
+    def part(c: str, idx: int) -> Column:
+        arr = F.col(c)
+        blank = (F.size(arr) == 1) & (arr.getItem(0) == "")
+        return F.when(blank, F.lit(0).cast("bigint")).otherwise(R.to_int(arr.getItem(idx)))
+
+    out = [F.col(k) for k in keys]
+    for c in DUEL_CELLS:
+        out += [part(c, 0).alias(f"team_1_player_{c}_vs_team_2_player"),
+                part(c, 1).alias(f"team_2_player_{c}_vs_team_1_player")]
+    return arrays.select(*out)
 
 
 # ------------------------------------------------------------------ highlights

@@ -9,8 +9,11 @@ def q(s: str) -> str:
     return "'" + s.replace("'", "''") + "'"
 
 
+_WS_SQL = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13) || chr(133) || chr(160)"
+
+
 def strip(x: str) -> str:
-    return f"regexp_replace({x}, '^\\s+|\\s+$', '', 'g')"
+    return f"trim({x}, {_WS_SQL})"
 
 
 def snake(x: str) -> str:

@@ -30,6 +30,9 @@ _DEFAULTS = {
     # Let a join on (match_id, map_id, ...) reuse a partitioning on match_id
     # alone, so facts co-partitioned by match are joined without a shuffle.
     "spark.sql.requireAllClusterKeysForCoPartition": "false",
+    # HotSpot does not JIT-compile methods over 8000 bytecodes; wide feature
+    # projections would otherwise run as interpreted code inside codegen.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
