@@ -8,6 +8,8 @@ from quarantined ones instead of raising.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -47,17 +49,20 @@ PAGE_URL_PATTERNS = [
     ("article", r"^/[a-z]{2}/[0-9]+/?$", 2),
     ("article_html", r"^/[a-z]{2}/[0-9]+\.html$", 2),
 ]
+# Host of the scraped site (page URLs are absolute on it):
+SITE_URL = "https://www.vlr.gg"
+SITE = re.escape(SITE_URL)
 # Page router patterns (full URL or internal tag) -> page kind, in a fixed order (ledger Q20):
 PAGE_ROUTES = [
-    ("match", r"^https://www\.vlr\.gg/[0-9]+/[a-z0-9/-]*$"),
+    ("match", rf"^{SITE}/[0-9]+/[a-z0-9/-]*$"),
     ("match_maps", r"matchMaps"),
-    ("team", r"^https://www\.vlr\.gg/team/[0-9]+/[a-z0-9/-]*$"),
-    ("tournament", r"^https://www\.vlr\.gg/event/[0-9]+/[a-z0-9/-]*$"),
+    ("team", rf"^{SITE}/team/[0-9]+/[a-z0-9/-]*$"),
+    ("tournament", rf"^{SITE}/event/[0-9]+/[a-z0-9/-]*$"),
     ("round_stats", r"^roundStat$"),
     ("player_stats", r"^playerStats$"),
     ("duel_stats", r"^duelStats$"),
     ("highlights", r"^highlights$"),
-    ("player", r"^https://www\.vlr\.gg/player/[0-9]+/[a-z0-9-]*$"),
+    ("player", rf"^{SITE}/player/[0-9]+/[a-z0-9-]*$"),
 ]
 # ---------------------------------------------------------------------------
 

@@ -38,28 +38,3 @@ def semi(df: DataFrame, other: DataFrame, on, anti: bool = False) -> DataFrame:
 # ------------------------------------------------------------ range joins
 def date_bucket(date_col: Column, width_days: int) -> Column:
     return F.floor(F.unix_date(date_col) / F.lit(width_days)).cast("bigint")
-
-
-def range_join(targets: DataFrame, history: DataFrame, keys: list[str], target_date: str,
-               history_date: str, days: int) -> DataFrame:
-    """targets ⋈ history on ``keys`` with history_date in [target_date - days, target_date).
-
-    History rows are replicated into the two buckets they can serve, targets
-    keep one bucket; the join key is (keys, bucket) and the range a residual.
-    """
-    t = targets.withColumn("_bkt", date_bucket(F.col(target_date), days))
-    hb = date_bucket(F.col(history_date), days)
-    h = history.withColumn("_bkt", F.explode(F.array(hb, hb + 1)))
-    cond = [t[k] == h[k] for k in keys] + [t["_bkt"] == h["_bkt"],
-                                           h[history_date] >= F.date_sub(t[target_date], days),
-                                           h[history_date] < t[target_date]]
-    return t, h, cond
-
-
-# ------------------------------------------------------------ name / id maps
-def join_name_id(df: DataFrame, roster: DataFrame, on: list[str], name_col: str, id_col: str,
-                 how: str = "left") -> DataFrame:
-    """Display name -> id within (match, map, team); the roster keeps the last
-    row position per duplicate name (ledger Q23)."""
-    return df.join(roster.select(*on, F.col("name").alias(name_col), F.col("player_id").alias(id_col)),
-                   on + [name_col], how)

@@ -265,8 +265,10 @@ def geo_lookup(names: DataFrame, d: Domain, name_col: str, by: str = "country")
 
 def job_teams(d: Domain) -> DataFrame:
     t = RV.raw_teams(d)
-    by_country = geo_lookup(t, d, "location_txt", "country")
-    by_region = geo_lookup(t, d, "location_txt", "continent")
+    # one row per distinct place: broadcast behind a bound, so a popular place
+    # (few distinct values, many teams) never becomes one hot shuffle key
+    by_country = bounded_broadcast(geo_lookup(t, d, "location_txt", "country"), 1_000_000)
+    by_region = bounded_broadcast(geo_lookup(t, d, "location_txt", "continent"), 1_000_000)
     j = t.join(by_country, "location_txt", "left").join(by_region, "location_txt", "left")
     return j.select(
         "id", "name", R.short_name(F.col("name"), F.col("shorthand_txt")).alias("shorthand_name"), "url",
@@ -278,7 +280,7 @@ def job_teams(d: Domain) -> DataFrame:
 
 def job_players(d: Domain) -> DataFrame:
     p = RV.raw_players(d)
-    by_country = geo_lookup(p, d, "country_txt", "country")
+    by_country = bounded_broadcast(geo_lookup(p, d, "country_txt", "country"), 1_000_000)
     j = p.join(by_country, "country_txt", "left")
     return j.select("id", "name", "url", F.col("country_country").alias("country"))
 

@@ -220,12 +220,12 @@ def f_url_info(spark, sf_dir):
 
 
 @query("f_page_route", sql=f"""
-SELECT match_id, src, {S.page_route("concat('https://www.vlr.gg', href)")} AS kind FROM hrefs""", ctes=_HREFS_SQL)
+SELECT match_id, src, {S.page_route(f"concat('{R.SITE_URL}', href)")} AS kind FROM hrefs""", ctes=_HREFS_SQL)
 def f_page_route(spark, sf_dir):
     """Full site URLs routed to page kinds in a fixed order (event pages
     with a trailing segment and the like route to null = quarantine)."""
     h = _hrefs(dom(spark, sf_dir))
-    return h.select("match_id", "src", R.page_route(F.concat(F.lit("https://www.vlr.gg"), F.col("href"))).alias("kind"))
+    return h.select("match_id", "src", R.page_route(F.concat(F.lit(R.SITE_URL), F.col("href"))).alias("kind"))
 
 
 _FR = QF.FEAT_ROUNDS_SQL

@@ -354,33 +354,33 @@ def set_compare_bags(spark, sf_dir):
 # ------------------------------------------------------------------ 2.12 extensions
 @REG.page_job("match")
 def _match_page(pages):
-    return pages.select("url", "kind", R.url_id(F.regexp_replace("url", "^https://www\\.vlr\\.gg", "")).alias("ref_id"))
+    return pages.select("url", "kind", R.url_id(F.regexp_replace("url", "^" + R.SITE, "")).alias("ref_id"))
 
 
 @REG.page_job("team")
 def _team_page(pages):
-    return pages.select("url", "kind", R.url_id(F.regexp_replace("url", "^https://www\\.vlr\\.gg", "")).alias("ref_id"))
+    return pages.select("url", "kind", R.url_id(F.regexp_replace("url", "^" + R.SITE, "")).alias("ref_id"))
 
 
 @REG.page_job("tournament")
 def _event_page(pages):
-    return pages.select("url", "kind", R.url_id(F.regexp_replace("url", "^https://www\\.vlr\\.gg", "")).alias("ref_id"))
+    return pages.select("url", "kind", R.url_id(F.regexp_replace("url", "^" + R.SITE, "")).alias("ref_id"))
 
 
 @query("ext_page_jobs", sql="""
 SELECT kind, CAST(count(*) AS BIGINT) AS n_pages, CAST(count(DISTINCT ref_id) AS BIGINT) AS n_ids FROM (
   SELECT u AS url, """ + S.page_route("u") + """ AS kind,
-    """ + S.url_id("regexp_replace(u, '^https://www\\.vlr\\.gg', '')") + """ AS ref_id
-  FROM (SELECT concat('https://www.vlr.gg', href) AS u FROM (
+    """ + S.url_id(f"regexp_replace(u, '^{R.SITE}', '')") + """ AS ref_id
+  FROM (SELECT concat('""" + R.SITE_URL + """', href) AS u FROM (
     SELECT url AS href FROM g_raw_matches UNION ALL SELECT team_1_href FROM g_raw_matches
     UNION ALL SELECT event_href FROM g_raw_matches))) WHERE kind IN ('match', 'team', 'tournament')
 GROUP BY kind""")
 def ext_page_jobs(spark, sf_dir):
     """Route every page to its kind, then run the job registered for it."""
     r = dom(spark, sf_dir).raw_matches
-    pages = r.select(F.concat(F.lit("https://www.vlr.gg"), F.col("url")).alias("url")).unionByName(
-        r.select(F.concat(F.lit("https://www.vlr.gg"), F.col("team_1_href")).alias("url"))).unionByName(
-        r.select(F.concat(F.lit("https://www.vlr.gg"), F.col("event_href")).alias("url")))
+    pages = r.select(F.concat(F.lit(R.SITE_URL), F.col("url")).alias("url")).unionByName(
+        r.select(F.concat(F.lit(R.SITE_URL), F.col("team_1_href")).alias("url"))).unionByName(
+        r.select(F.concat(F.lit(R.SITE_URL), F.col("event_href")).alias("url")))
     routed = REG.route_pages(pages)
     outs = [job(routed.filter(F.col("kind") == kind)) for kind, job in REG.PAGE_JOBS.items()]
     allp = reduce(lambda a, b: a.unionByName(b), outs)

@@ -121,7 +121,9 @@ SELECT p.player_id AS id, concat('p', p.player_id) AS name, concat('/player/', p
   CASE WHEN p.player_id % 7 = 0 THEN '' ELSE n.n_name END AS country_txt
 FROM (SELECT DISTINCT player_id FROM g_player_overview_stats) p JOIN nation n ON n.n_nationkey = p.player_id % 25""",
     "g_roster": """
-SELECT match_id, map_id, team_id, concat('p', player_id) AS name, player_id FROM g_player_overview_stats WHERE side = 'def'""",
+SELECT match_id, map_id, team_id, name, arg_max(player_id, pos) AS player_id FROM (
+  SELECT match_id, map_id, team_id, concat('p', player_id) AS name, player_id, player_id % 10 AS pos
+  FROM g_player_overview_stats WHERE side = 'def') GROUP BY match_id, map_id, team_id, name""",
     "g_raw_duel_grid": """
 SELECT match_id, map_id, team_1_player_id % 10 AS i, team_2_player_id % 10 AS j,
   CASE WHEN team_1_player_kills_vs_team_2_player = 0 AND team_2_player_kills_vs_team_1_player = 0 THEN ''

@@ -72,10 +72,22 @@ def raw_players(d) -> DataFrame:
 
 
 def roster(d) -> DataFrame:
-    """(match, map, team, display name, player id) from the stats table."""
+    """(match, map, team, display name, player id) from the stats table.
+
+    A display name that occurs twice in a team keeps the player at the
+    highest row position (ledger Q23); the row position of a player in the
+    stats table is the last digit of its id. One small aggregate per team
+    and map, co-partitioned on match_id.
+    """
     p = d.player_overview_stats.filter(F.col("side") == "def")
-    return p.select("match_id", "map_id", "team_id", F.concat(F.lit("p"), _s(F.col("player_id"))).alias("name"),
-                    "player_id")
+    named = p.select("match_id", "map_id", "team_id", F.concat(F.lit("p"), _s(F.col("player_id"))).alias("name"),
+                     "player_id", (F.col("player_id") % 10).alias("pos"))
+    return dedupe_names(named)
+
+
+def dedupe_names(named: DataFrame) -> DataFrame:
+    return named.groupBy("match_id", "map_id", "team_id", "name").agg(
+        F.max_by("player_id", "pos").alias("player_id"))
 
 
 def raw_duel_grid(d) -> DataFrame:

@@ -124,3 +124,11 @@ def test_ingest_batch_is_idempotent(spark, tmp_path):
     assert n1 == n2
     assert n1["round_stats"] + n1["round_quarantine"] == d.round_stats.count()
     assert n1["player_highlights"] == d.player_highlights.count()
+
+
+def test_q23_duplicate_display_name_last_position_wins(spark):
+    from skirmish.sources.raw_views import dedupe_names
+    named = spark.createDataFrame([(1, 1, 7, "ace", 70, 0), (1, 1, 7, "ace", 73, 3), (1, 1, 7, "bob", 71, 1)],
+                                  "match_id long, map_id long, team_id long, name string, player_id long, pos long")
+    got = {r.name: r.player_id for r in dedupe_names(named).collect()}
+    assert got == {"ace": 73, "bob": 71}
