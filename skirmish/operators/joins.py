@@ -25,6 +25,17 @@ def bounded_broadcast(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
     return F.broadcast(df) if n <= max_rows else df
 
 
+def hash_join(left: DataFrame, small: DataFrame, on, how: str = "inner") -> DataFrame:
+    """Join with ``small`` as the per-partition hash side (``shuffle_hash``).
+
+    For joins of a big fact with a smaller per-match table on the same
+    match partitioning: each task hashes only its own slice of ``small``
+    (its size shrinks with the partition count) instead of sorting both
+    sides, as a sort-merge join would.
+    """
+    return left.join(small.hint("shuffle_hash"), on, how)
+
+
 def exists_flag(left: DataFrame, keys: DataFrame, on: list[str], name: str) -> DataFrame:
     """Left join to a *distinct* key set; ``name`` = 1 when a match exists."""
     k = keys.select(*on).distinct().withColumn(name, F.lit(1))

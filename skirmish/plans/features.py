@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skirmish.operators import loaders as L
-from skirmish.operators.joins import date_bucket
+from skirmish.operators.joins import date_bucket, hash_join
 from skirmish.sources.fixtures import Domain
 
 CLUTCH_TYPES = ["1v1", "1v2", "1v3", "1v4", "1v5"]
@@ -49,7 +49,7 @@ def clutch_teams(d: Domain) -> DataFrame:
 
 
 def feat_rounds(d: Domain) -> DataFrame:
-    r = d.round_stats.join(clutch_teams(d), ["match_id", "map_id", "round_no"], "left")
+    r = hash_join(d.round_stats, clutch_teams(d), ["match_id", "map_id", "round_no"], "left")
     f = L.flip(r, ["match_id", "map_id", "round_no", "team_def", "team_won", "won_method", "clutch_teams"],
                L.ROUND_PAIRS)
     won = F.col("team_won") == F.col("team_id")
@@ -232,8 +232,8 @@ def feat_match_maps(d: Domain) -> DataFrame:
         "team_against_atk_score": ("team_2_atk_score", "team_1_atk_score"),
         "team_against_ot_score": ("team_2_ot_score", "team_1_ot_score"),
     })
-    j = f.join(own, ["match_id", "map_id", "team_id"], "left") \
-         .join(opp, ["match_id", "map_id", "team_against_id"], "left")
+    j = hash_join(hash_join(f, own, ["match_id", "map_id", "team_id"], "left"),
+                  opp, ["match_id", "map_id", "team_against_id"], "left")
     return j.select(
         "match_id", "team_id", "team_against_id", "map_id",
         "team_def_score", "team_atk_score", "team_ot_score",
@@ -257,7 +257,7 @@ def feat_maps(d: Domain, scope: str = "match") -> DataFrame:
         c = comp.select(*join_keys, F.col("team_id").alias(f"{t}_id"),
                         F.col("agents").alias(f"{t}_agents"),
                         *[F.col(n).alias(f"{t}_{n}") for n, _ in ROLE_COUNTS])
-        out = out.join(c, join_keys + [f"{t}_id"], "left")
+        out = hash_join(out, c, join_keys + [f"{t}_id"], "left")
     return out.select(
         "match_id", "map_id",
         "team_1_def_score", "team_1_atk_score", "team_1_ot_score",

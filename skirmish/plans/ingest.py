@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from skirmish.functions import rules as R
-from skirmish.operators.joins import bounded_broadcast
+from skirmish.operators.joins import bounded_broadcast, hash_join
 from skirmish.operators.windows import all_or_nothing, slot_team
 from skirmish.sources import raw_views as RV
 from skirmish.sources.fixtures import Domain
@@ -165,11 +165,11 @@ def join_duel_grid(d: Domain) -> DataFrame:
                    F.col("player_id").alias("team_1_player_id"))
     r2 = ro.select("match_id", "map_id", F.col("team_id").alias("team_2_id"), F.col("name").alias("col_name"),
                    F.col("player_id").alias("team_2_player_id"))
-    rows = h.join(r1, ["match_id", "map_id", "team_1_id", "row_name"], "left") \
-            .select("match_id", "map_id", F.col("pos").alias("i"), "row_name", "team_1_player_id")
-    cols = h.join(r2, ["match_id", "map_id", "team_2_id", "col_name"], "left") \
-            .select("match_id", "map_id", F.col("pos").alias("j"), "col_name", "team_2_player_id")
-    return g.join(rows, ["match_id", "map_id", "i"]).join(cols, ["match_id", "map_id", "j"])
+    rows = hash_join(h, r1, ["match_id", "map_id", "team_1_id", "row_name"], "left") \
+        .select("match_id", "map_id", F.col("pos").alias("i"), "row_name", "team_1_player_id")
+    cols = hash_join(h, r2, ["match_id", "map_id", "team_2_id", "col_name"], "left") \
+        .select("match_id", "map_id", F.col("pos").alias("j"), "col_name", "team_2_player_id")
+    return hash_join(hash_join(g, rows, ["match_id", "map_id", "i"]), cols, ["match_id", "map_id", "j"])
 
 
 def _cell_part(c: Column, idx: int) -> Column:
@@ -206,18 +206,20 @@ def job_highlights(d: Domain) -> DataFrame:
     (win_slot); names -> ids via the roster; an unknown opponent -> 0 (Q17)."""
     cells = RV.raw_highlight_cells(d)
     teams = d.match_maps.select("match_id", "map_id", "team_1_id", "team_2_id")
-    c = cells.join(teams, ["match_id", "map_id"])
-    c = c.select("match_id", "map_id", "round_no", "highlight_type", "owner_txt",
+    c = hash_join(cells, teams, ["match_id", "map_id"])
+    c = c.select("match_id", "map_id", "round_no", "highlight_type", "owner_txt", "opponents_txt",
                  slot_team(F.col("pos"), F.col("team_1_id"), F.col("team_2_id")).alias("team_id"),
-                 slot_team(F.col("pos"), F.col("team_2_id"), F.col("team_1_id")).alias("opp_team_id"),
-                 F.explode(F.split(F.col("opponents_txt"), ",")).alias("opp_txt"))
-    c = c.withColumn("opp_txt", R.strip(F.col("opp_txt")))
+                 slot_team(F.col("pos"), F.col("team_2_id"), F.col("team_1_id")).alias("opp_team_id"))
     ro = RV.roster(d)
     own = ro.select("match_id", "map_id", "team_id", F.col("name").alias("owner_txt"), "player_id")
     opp = ro.select("match_id", "map_id", F.col("team_id").alias("opp_team_id"), F.col("name").alias("opp_txt"),
                     F.col("player_id").alias("player_against_id"))
-    j = c.join(own, ["match_id", "map_id", "team_id", "owner_txt"], "left") \
-         .join(opp, ["match_id", "map_id", "opp_team_id", "opp_txt"], "left")
+    # owner resolved once per cell, before the opponents are exploded
+    c = hash_join(c, own, ["match_id", "map_id", "team_id", "owner_txt"], "left")
+    c = c.select("match_id", "map_id", "round_no", "team_id", "player_id", "highlight_type", "opp_team_id",
+                 F.explode(F.split(F.col("opponents_txt"), ",")).alias("opp_txt"))
+    c = c.withColumn("opp_txt", R.strip(F.col("opp_txt")))
+    j = hash_join(c, opp, ["match_id", "map_id", "opp_team_id", "opp_txt"], "left")
     return j.select("match_id", "map_id", "round_no", "team_id", "player_id", "highlight_type",
                     F.coalesce(F.col("player_against_id"), F.lit(0).cast("bigint")).alias("player_against_id"))
 
