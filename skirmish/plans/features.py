@@ -274,9 +274,21 @@ def feat_duels(d: Domain) -> DataFrame:
 
 # ------------------------------------------------------------------ dataset
 def targets(d: Domain) -> DataFrame:
-    """Every match is a target: (team 1, team 2, stage, date)."""
-    return d.matches.select(F.col("id").alias("target_id"), F.col("date").alias("target_date"),
-                            "stage", "team_1_id", "team_2_id")
+    """Every match is a target: (team 1, team 2, stage, tier, date).
+
+    The tier comes from the tournament dimension. Only the tournaments the
+    targets reference are kept (semi join), and that subset is broadcast
+    behind a row bound, so a popular tournament never becomes one hot
+    shuffle key.
+    """
+    from skirmish.operators.joins import bounded_broadcast
+    from skirmish.plans.ingest import job_tournaments
+    m = d.matches
+    used = job_tournaments(d).select(F.col("id").alias("tournament_id"), F.col("tier_1").alias("tier")) \
+        .join(m.select("tournament_id").distinct(), "tournament_id", "left_semi")
+    t = m.join(bounded_broadcast(used, 1_000_000), "tournament_id", "left")
+    return t.select(F.col("id").alias("target_id"), F.col("date").alias("target_date"),
+                    "stage", "tier", "team_1_id", "team_2_id")
 
 
 def team_history(d: Domain, days: int = L.HISTORY_DAYS) -> DataFrame:
@@ -286,7 +298,7 @@ def team_history(d: Domain, days: int = L.HISTORY_DAYS) -> DataFrame:
     residual; history rows are replicated into the two buckets they can
     serve. Output is long form, one row per (target, side, history match).
     """
-    t = targets(d).select("target_id", "target_date", "stage", F.inline(F.array(
+    t = targets(d).select("target_id", "target_date", "stage", "tier", F.inline(F.array(
         F.struct(F.col("team_1_id").alias("team_id"), F.lit(1).alias("side")),
         F.struct(F.col("team_2_id").alias("team_id"), F.lit(2).alias("side")))))
     t = t.withColumn("_bkt", date_bucket(F.col("target_date"), days))
@@ -352,7 +364,7 @@ def feat_dataset(d: Domain, days: int = L.HISTORY_DAYS) -> DataFrame:
         F.sort_array(F.collect_list(map_struct)).alias("maps"))
     j = hist.join(per_match.withColumnRenamed("match_id", "history_id"), ["history_id", "team_id"], "left")
     return j.select(
-        "target_id", "side", F.col("stage").alias("target_stage"), "history_id",
+        "target_id", "side", F.col("stage").alias("target_stage"), F.col("tier").alias("target_tier"), "history_id",
         F.col("history_stage").alias("stage"), "team_score", "team_against_score",
         "team_rating", "team_against_rating", F.col("target_date").alias("form_date"),
         "maps")

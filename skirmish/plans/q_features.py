@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from skirmish.plans import features as FT
+from skirmish.plans import rules_sql as S
 from skirmish.plans.registry import dom, query
 from skirmish.plans.sqlparts import (FLIP_ROUNDS, PLAYERS_ROLE, TEAM_ROWS, agents_text_sql,
                                      composition_sql, player_features_sql, text_arrays)
@@ -120,9 +121,11 @@ def feat_duels(spark, sf_dir):
 
 
 HISTORY_CTES = f"""{TEAM_ROWS},
-tg AS (SELECT id AS target_id, date AS target_date, stage, team_1_id AS team_id, 1 AS side FROM g_matches
-       UNION ALL SELECT id, date, stage, team_2_id, 2 FROM g_matches),
-th AS (SELECT tg.target_id, tg.side, tg.target_date, tg.stage AS target_stage, h.match_id AS history_id,
+tt AS (SELECT id, CAST({S.tier_1('group_href', S.prize('prize_txt'))} AS INTEGER) AS tier FROM g_raw_tournaments),
+tm AS (SELECT m.*, tt.tier FROM g_matches m LEFT JOIN tt ON tt.id = m.tournament_id),
+tg AS (SELECT id AS target_id, date AS target_date, stage, tier, team_1_id AS team_id, 1 AS side FROM tm
+       UNION ALL SELECT id, date, stage, tier, team_2_id, 2 FROM tm),
+th AS (SELECT tg.target_id, tg.side, tg.target_date, tg.stage AS target_stage, tg.tier AS target_tier, h.match_id AS history_id,
          h.date AS history_date, h.team_id, h.team_against_id, h.stage, h.team_score, h.team_against_score,
          h.team_rating, h.team_against_rating
        FROM tg JOIN team_rows h ON h.team_id = tg.team_id
@@ -187,7 +190,7 @@ _MAP_TEXT_SQL = "concat_ws('|', " + ", ".join(
     + [f"CAST(team_against_{n} AS VARCHAR)" for n in _ROLE_NAMES]) + ")"
 
 DATASET_SQL = f"""
-SELECT th.target_id, th.side, th.target_stage, th.history_id, th.stage, th.team_score, th.team_against_score,
+SELECT th.target_id, th.side, th.target_stage, th.target_tier, th.history_id, th.stage, th.team_score, th.team_against_score,
   th.team_rating, th.team_against_rating, CAST(th.target_date AS VARCHAR) AS form_date, pm.maps
 FROM th LEFT JOIN pm ON pm.match_id = th.history_id AND pm.team_id = th.team_id"""
 DATASET_CTES = (f"{HISTORY_CTES},\n{MATCH_MAPS_CTES},\nfm AS ({MATCH_MAPS_SQL}),\n"
