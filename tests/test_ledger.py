@@ -132,3 +132,18 @@ def test_q23_duplicate_display_name_last_position_wins(spark):
                                   "match_id long, map_id long, team_id long, name string, player_id long, pos long")
     got = {r.name: r.player_id for r in dedupe_names(named).collect()}
     assert got == {"ace": 73, "bob": 71}
+
+
+def test_q17_unknown_opponent_name_maps_to_zero(spark):
+    """A highlight naming an opponent who is not on the other team's roster
+    keeps its row with player_against_id 0; known names resolve to ids."""
+    mm = spark.createDataFrame([(1, 3, 7, 8)], "match_id long, map_id long, team_1_id long, team_2_id long")
+    stats = spark.createDataFrame([(1, 3, 7, 70 + i, "def") for i in range(5)] +
+                                  [(1, 3, 8, 80 + i, "def") for i in range(5)],
+                                  "match_id long, map_id long, team_id long, player_id long, side string")
+    hl = spark.createDataFrame([(1, 3, 4, 7, 70, "2k", 80), (1, 3, 4, 7, 70, "2k", 999)],
+                               "match_id long, map_id long, round_no int, team_id long, player_id long, "
+                               "highlight_type string, player_against_id long")
+    stub = SimpleNamespace(match_maps=mm, player_overview_stats=stats, player_highlights=hl)
+    got = sorted((r.player_id, r.player_against_id) for r in I.job_highlights(stub).collect())
+    assert got == [(70, 0), (70, 80)]
