@@ -9,8 +9,6 @@ hash join or a parquet filter can use.
 
 from __future__ import annotations
 
-import datetime as _dt
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 

@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 from skirmish.plans import features as FT
 from skirmish.plans import rules_sql as S
 from skirmish.plans.registry import dom, query
-from skirmish.plans.sqlparts import (FLIP_ROUNDS, PLAYERS_ROLE, TEAM_ROWS, agents_text_sql,
-                                     composition_sql, player_features_sql, text_arrays)
+from skirmish.plans.sqlparts import (FLIP_ROUNDS, PLAYERS_ROLE, TEAM_ROWS, composition_sql, player_features_sql,
+                                     text_arrays)
 
 _CLUTCH_IN = "('1v1', '1v2', '1v3', '1v4', '1v5')"
 

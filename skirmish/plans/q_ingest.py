@@ -5,7 +5,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from skirmish.functions import rules as R
 from skirmish.operators import aggregates as AG
 from skirmish.operators import quality as Q
 from skirmish.operators.windows import slot_team

@@ -19,7 +19,6 @@ from skirmish.plans import rules_sql as S
 from skirmish.plans.registry import dom, query
 from skirmish.session import scratch_dir
 from skirmish.sources import io as IO
-from skirmish.sources import raw_views as RV
 from skirmish.sources import schemas as SC
 from skirmish.sources import seeds as SD
 from skirmish.streaming import incremental as INC
