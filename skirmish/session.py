@@ -9,6 +9,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -60,9 +61,39 @@ def configure(spark: SparkSession) -> SparkSession:
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.sparkContext.setLogLevel("ERROR")
     _ensure_checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``skirmish`` importable in the Python workers (pandas UDF stages
+    pickle their functions by reference): zip the package once per
+    SparkContext and ``addPyFile`` it, which Spark distributes to every
+    executor. The zip is written next to the checkpoints when that folder is
+    a local path, else to the driver's temp folder (the driver serves it)."""
+    sc = spark.sparkContext
+    key = sc.applicationId
+    if key in _SHIPPED:
+        return
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    base = sc.getCheckpointDir() or ""
+    base = base[len("file:"):] if base.startswith("file:") else base
+    folder = base if base.startswith("/") else tempfile.mkdtemp(prefix="skirmish-pyfiles-")
+    os.makedirs(folder, exist_ok=True)
+    path = os.path.join(folder, f"skirmish-{uuid.uuid4().hex[:8]}.zip")
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+        for root, _, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(root, f)
+                    z.write(full, os.path.relpath(full, os.path.dirname(pkg)))
+    sc.addPyFile(path)
+    _SHIPPED.add(key)
+
+
 def _ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by the cluster.
 
