@@ -147,3 +147,17 @@ def test_q17_unknown_opponent_name_maps_to_zero(spark):
     stub = SimpleNamespace(match_maps=mm, player_overview_stats=stats, player_highlights=hl)
     got = sorted((r.player_id, r.player_against_id) for r in I.job_highlights(stub).collect())
     assert got == [(70, 0), (70, 80)]
+
+
+def test_q19_frontier_keeps_boundary_day_and_drops_known_urls(spark):
+    d = dt.date(1998, 1, 10)
+    listing = spark.createDataFrame([("/1/a", d - dt.timedelta(days=1)), ("/2/b", d), ("/3/c", d + dt.timedelta(days=1)),
+                                     ("/4/d", d), ("/5/e", d + dt.timedelta(days=2))], "url string, date date")
+    queue = spark.createDataFrame([("/4/d", d), ("/6/f", d + dt.timedelta(days=3))], "url string, date date")
+    loaded = spark.createDataFrame([("/5/e",)], "url string")
+    out = {r.url: r.date for r in INC.frontier(listing, queue, loaded, F.lit(d)).collect()}
+    # /1/a is before the limit; /2/b is on the boundary day (kept); /4/d is queued already (once);
+    # /5/e is loaded; /6/f stays from the queue
+    assert out == {"/2/b": d, "/3/c": d + dt.timedelta(days=1), "/4/d": d, "/6/f": d + dt.timedelta(days=3)}
+    limit = INC.high_mark(queue, loaded.withColumn("date", F.lit(d)), "2000-01-01").first()["limit_date"]
+    assert limit == d + dt.timedelta(days=3)
