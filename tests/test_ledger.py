@@ -161,3 +161,15 @@ def test_q19_frontier_keeps_boundary_day_and_drops_known_urls(spark):
     assert out == {"/2/b": d, "/3/c": d + dt.timedelta(days=1), "/4/d": d, "/6/f": d + dt.timedelta(days=3)}
     limit = INC.high_mark(queue, loaded.withColumn("date", F.lit(d)), "2000-01-01").first()["limit_date"]
     assert limit == d + dt.timedelta(days=3)
+
+
+def test_q12_remain_and_remains_are_accepted(spark):
+    stub = SimpleNamespace(
+        veto_notes=spark.createDataFrame([(1, 5, 6, "AA", "BB", "AA ban Ascent; XX pick Bind; Lotus remain"),
+                                          (2, 5, 6, "AA", "BB", "BB pick Nowhere; Split remains")],
+                                         "match_id long, team_1_id long, team_2_id long, t1_short string, "
+                                         "t2_short string, note string"),
+        maps=SD.seed_maps(spark))
+    rows = sorted((r.match_id, r.veto_order, r.team_id, r.veto_action, r.map_id) for r in I.job_vetoes(stub).collect())
+    assert rows == [(1, 1, 5, "ban", 1), (1, 2, None, "pick", 2), (1, 3, None, "remain", 7),
+                    (2, 1, 6, "pick", None), (2, 2, None, "remain", 9)]
