@@ -428,10 +428,17 @@ SELECT 'player_overview_stats', concat(match_id, ':', map_id, ':', player_id, ':
     CASE WHEN rating < 0 THEN 'rating >= 0' END,
     CASE WHEN kast < 0 OR kast > 100 THEN 'kast in 0..100' END,
     CASE WHEN hs < 0 OR hs > 100 THEN 'hs in 0..100' END]) AS rule FROM g_player_overview_stats)
-WHERE rule IS NOT NULL""", ctes=PARSE_ROUNDS_SQL)
+WHERE rule IS NOT NULL
+UNION ALL
+SELECT 'ban_pick_log', concat(match_id, ':', veto_order), rule FROM (
+  SELECT match_id, veto_order, unnest([
+    CASE WHEN veto_action IS NULL THEN 'veto_action enum' END,
+    CASE WHEN map_id IS NULL THEN 'map_id not null' END,
+    CASE WHEN veto_action IN ('ban', 'pick') AND team_id IS NULL THEN 'team_id for ban/pick' END]) AS rule FROM vj)
+WHERE rule IS NOT NULL""", ctes=PARSE_ROUNDS_SQL + ",\n" + VETO_SQL)
 def dq_checks(spark, sf_dir):
     d = dom(spark, sf_dir)
-    return Q.dq_checks(I.parse_rounds(d), d.player_overview_stats)
+    return Q.dq_checks(I.parse_rounds(d), d.player_overview_stats, I.job_vetoes(d))
 
 
 @query("dq_keys", sql="""

@@ -173,3 +173,17 @@ def test_q12_remain_and_remains_are_accepted(spark):
     rows = sorted((r.match_id, r.veto_order, r.team_id, r.veto_action, r.map_id) for r in I.job_vetoes(stub).collect())
     assert rows == [(1, 1, 5, "ban", 1), (1, 2, None, "pick", 2), (1, 3, None, "remain", 7),
                     (2, 1, 6, "pick", None), (2, 2, None, "remain", 9)]
+
+
+def test_veto_violations_are_reported(spark):
+    from skirmish.operators import quality as Q
+    vetoes = spark.createDataFrame([(1, 5, 1, 1, "ban"), (1, None, 2, 2, "pick"), (1, None, 3, None, "remain"),
+                                    (1, None, 4, 3, None)],
+                                   "match_id long, team_id long, veto_order int, map_id long, veto_action string")
+    empty_r = spark.createDataFrame([], "match_id long, map_id long, round_no int, team_1_id long, team_2_id long, "
+                                        "team_def long, team_1_buy_type string, team_1_bank int, team_2_bank int, "
+                                        "won_method string")
+    empty_p = spark.createDataFrame([], "match_id long, map_id long, player_id long, side string, rating double, "
+                                        "kast double, hs double")
+    got = sorted((r.row_key, r.rule) for r in Q.dq_checks(empty_r, empty_p, vetoes).collect())
+    assert got == [("1:2", "team_id for ban/pick"), ("1:3", "map_id not null"), ("1:4", "veto_action enum")]
