@@ -56,9 +56,8 @@ def configure(spark: SparkSession) -> SparkSession:
     for key, value in _DEFAULTS.items():
         if spark.conf.get(key, None) in (None, ""):
             spark.conf.set(key, value)
-    # The two knobs above that matter for oracle equality are forced.
+    # The one knob above that matters for oracle equality is forced.
     spark.conf.set("spark.sql.session.timeZone", "UTC")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.sparkContext.setLogLevel("ERROR")
     _ensure_checkpoint_dir(spark)
     ship_package(spark)
