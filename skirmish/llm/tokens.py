@@ -29,7 +29,7 @@ WORD_LEVEL = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 _RUN = re.compile(r"\s{2,}")
 _RUN_RE2 = r"[\x01\x02]|[\x09-\x0D\x1C-\x20\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]{2}"
 _HELD = "\x01"  # stands for a space inside a run of white space while a text is cut
-_SLICE = 16 << 20
+_SLICE = 8 << 20
 _PUNCTUATION = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"  # without the apostrophe, which can start a pre-token
 
 
