@@ -3,8 +3,11 @@ benchmark decontamination, packing.
 
 Each stage works on all documents that the one before it kept and returns the
 columns of documents; the last one returns the packed pieces. A document is a
-row: its id and the hash of its text together, so repeated ids with other texts
-are judged on their own, and rows with a null id take part like any other.
+row, so repeated ids with other texts are judged on their own, and rows with a
+null id take part like any other. Where a verdict is a row's own, the row
+itself is the operator's id and passes through it; the classifier's and the
+near-duplicates' verdicts come back by a join on id and text hash. That join is
+a sort-merge join at every size: the verdicts grow with the documents.
 """
 
 from __future__ import annotations
@@ -34,7 +37,7 @@ def _with_row(docs: DataFrame) -> tuple[DataFrame, str]:
 def _without(docs: DataFrame, row: str, rejected: DataFrame) -> DataFrame:
     """Rows whose name is not among the rejected ones."""
     gone = stored(rejected.select(F.col(row)).distinct(), "rejected")
-    return docs.join(gone, row, "left_anti").drop(row)
+    return docs.join(gone.hint("merge"), row, "left_anti").drop(row)
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -49,8 +52,8 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps what passes the base rules and is no outlier."""
     ship_package(spark)
-    named, row = _with_row(docs)
-    return _without(named, row, quality_rules(named, id_col=row).where("not kept"))
+    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("whole"), "text", "lang", "source")
+    return quality_rules(whole, id_col="whole").where("kept").select("whole.*")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -61,7 +64,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     found = simhash_components(named, id_col=row, words=3, radius=2)
     least = found.where(F.col(row) == F.col("component_id")).groupBy(row).agg(F.count("*").alias("n"))
     least = stored(least, "representatives")
-    kept = named.join(least.select(row), row, "left_semi")
+    kept = named.join(least.select(row).hint("merge"), row, "left_semi")
     repeated = least.where("n > 1").select(row)
     if repeated.isEmpty():
         return kept.drop(row)
@@ -72,9 +75,11 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps documents without a leaked benchmark item."""
     ship_package(spark)
-    named, row = _with_row(docs)
+    others = [F.col(f"`{c}`") for c in docs.columns if c != "text"]
+    whole = docs.select(F.struct(*others).alias("others"), "text")
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    return _without(named, row, decontaminate(named, benchmark, id_col=row).where("contaminated"))
+    clean = decontaminate(whole, benchmark, id_col="others", with_text=True).where("not contaminated")
+    return clean.select("others.*", "text").select([f"`{c}`" for c in docs.columns])
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -182,12 +182,12 @@ def blocks(benchmark: DataFrame, id_col: str, text_col: str, block_bytes: int =
 
 def decontaminate(df: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                   item_col: str = "item_id", item_text: str = "text", coverage: float = COVERAGE,
-                  block_bytes: int = BLOCK_BYTES) -> DataFrame:
+                  block_bytes: int = BLOCK_BYTES, with_text: bool = False) -> DataFrame:
     """Leaked test items of every document.
 
     Returns ``id_col``, contaminated (any item leaked), coverage (the largest,
     0 if none is leaked), leaks (array of item, coverage, tiles; by item within
-    a block). A null or empty text or test item matches nothing; repeated rows
+    a block); ``with_text`` adds the text as column text. A null or empty text or test item matches nothing; repeated rows
     are judged each, null ids stay null; an item given twice is reported
     twice; items shorter than ``MIN_MATCH`` words must stand whole; other
     columns are not read; an empty table gives an empty result.
@@ -201,11 +201,12 @@ def decontaminate(df: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", t
     block = next(searches)
     while block:
         following = next(searches, None)
-        # The last pass has no more use for the texts.
-        schema = f"id {id_type}, " + ("text string, " if following else "") + f"leaks {leak}"
-        rows, block = _search(rows, block, coverage, schema, "text" if following else None), following
+        more = bool(following) or with_text  # else the last pass has no more use for the texts
+        schema = f"id {id_type}, " + ("text string, " if more else "") + f"leaks {leak}"
+        rows, block = _search(rows, block, coverage, schema, "text" if more else None), following
     return rows.select(F.col("id").alias(id_col), (F.size("leaks") > 0).alias("contaminated"),
-                       F.coalesce(F.array_max("leaks.coverage"), F.lit(0.0)).alias("coverage"), "leaks")
+                       F.coalesce(F.array_max("leaks.coverage"), F.lit(0.0)).alias("coverage"), "leaks",
+                       *["text"] * with_text)
 
 
 def _search(rows: DataFrame, block: Block, coverage: float, schema: str, text: str | None) -> DataFrame:
