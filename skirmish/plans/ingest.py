@@ -203,7 +203,8 @@ def job_duels(d: Domain) -> DataFrame:
 # ------------------------------------------------------------------ highlights
 def job_highlights(d: Domain) -> DataFrame:
     """One row per highlight opponent. Owner slot 0-4 -> team 1, 5-9 -> team 2
-    (win_slot); names -> ids via the roster; an unknown opponent -> 0 (Q17)."""
+    (win_slot); names -> ids via the roster; an unknown opponent -> 0, an
+    unknown owner rejects all highlights of the map (Q17)."""
     cells = RV.raw_highlight_cells(d)
     teams = d.match_maps.select("match_id", "map_id", "team_1_id", "team_2_id")
     c = hash_join(cells, teams, ["match_id", "map_id"])
@@ -216,6 +217,8 @@ def job_highlights(d: Domain) -> DataFrame:
                     F.col("player_id").alias("player_against_id"))
     # owner resolved once per cell, before the opponents are exploded
     c = hash_join(c, own, ["match_id", "map_id", "team_id", "owner_txt"], "left")
+    of_map = Window.partitionBy("match_id", "map_id")
+    c = c.withColumn("known", F.min(F.col("player_id").isNotNull()).over(of_map)).filter("known").drop("known")
     c = c.select("match_id", "map_id", "round_no", "team_id", "player_id", "highlight_type", "opp_team_id",
                  F.explode(F.split(F.col("opponents_txt"), ",")).alias("opp_txt"))
     c = c.withColumn("opp_txt", R.strip(F.col("opp_txt")))
@@ -266,6 +269,8 @@ def geo_lookup(names: DataFrame, d: Domain, name_col: str, by: str = "country")
 
 
 def job_teams(d: Domain) -> DataFrame:
+    """Country by country name, region by region name only (a team listed
+    under a country has no region of its own)."""
     t = RV.raw_teams(d)
     # one row per distinct place: broadcast behind a bound, so a popular place
     # (few distinct values, many teams) never becomes one hot shuffle key
@@ -274,10 +279,7 @@ def job_teams(d: Domain) -> DataFrame:
     j = t.join(by_country, "location_txt", "left").join(by_region, "location_txt", "left")
     return j.select(
         "id", "name", R.short_name(F.col("name"), F.col("shorthand_txt")).alias("shorthand_name"), "url",
-        F.col("country_country").alias("country"),
-        F.coalesce(F.col("country_continent"), F.col("continent_continent")).alias("region"),
-        F.when(F.col("country_country").isNull() & F.col("continent_continent").isNull()
-               & (R.strip(F.col("location_txt")) != ""), R.strip(F.col("location_txt"))).alias("new_country"))
+        F.col("country_country").alias("country"), F.col("continent_continent").alias("region"))
 
 
 def job_players(d: Domain) -> DataFrame:
@@ -310,16 +312,24 @@ def dense_ids(df: DataFrame, order_col: str, start: Column | int) -> DataFrame:
     return out.withColumn("id", start_col + F.col("_rn")).drop("_part", "_off", "_rn")
 
 
+def stored_countries(d: Domain) -> DataFrame:
+    """Country dimension as stored before the run: all but the last region's."""
+    nation = d.t.nation
+    last = nation.agg(F.max("n_regionkey").alias("last"))
+    return nation.crossJoin(F.broadcast(last)).filter("n_regionkey < last").select(
+        (F.col("n_nationkey") + 1).cast("bigint").alias("id"), F.col("n_name").alias("name"))
+
+
 def job_dim_upsert(d: Domain) -> DataFrame:
-    """Get-or-create countries: names seen in team locations that resolve to
-    no country/region get new ids after the current max, in name order."""
-    existing = d.t.nation.select((F.col("n_nationkey") + 1).cast("bigint").alias("id"),
-                                 F.col("n_name").alias("name"))
-    new_names = job_teams(d).select(F.col("new_country").alias("name")).filter(F.col("name").isNotNull()) \
+    """Get-or-create countries: a place that geography resolves to a country
+    the table lacks adds that country, with ids after the current max in name
+    order; an unresolved place adds nothing."""
+    existing = stored_countries(d)
+    new_names = job_teams(d).select(F.col("country").alias("name")).filter(F.col("name").isNotNull()) \
         .distinct().join(existing.select("name"), "name", "left_anti")
-    # one aggregate value (the current max id) is the numbering start
-    max_id = existing.agg(F.max("id")).first()[0] or 0
-    numbered = dense_ids(new_names, "name", int(max_id)).select("id", "name")
+    start = existing.agg(F.coalesce(F.max("id"), F.lit(0)).alias("start"))
+    numbered = dense_ids(new_names, "name", 0).crossJoin(F.broadcast(start)) \
+        .select((F.col("start") + F.col("id")).alias("id"), "name")
     return existing.unionByName(numbered)
 
 

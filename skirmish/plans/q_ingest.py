@@ -283,8 +283,10 @@ HL_SQL = """hc AS (
 SELECT hc.match_id, hc.map_id, hc.round_no, hc.team_id, o.player_id, hc.highlight_type,
   coalesce(a.player_id, 0) AS player_against_id
 FROM hc LEFT JOIN g_roster o ON o.match_id = hc.match_id AND o.map_id = hc.map_id AND o.team_id = hc.team_id AND o.name = hc.owner_txt
-LEFT JOIN g_roster a ON a.match_id = hc.match_id AND a.map_id = hc.map_id AND a.team_id = hc.opp_team_id AND a.name = hc.opp_txt""",
-       ctes=HL_SQL)
+LEFT JOIN g_roster a ON a.match_id = hc.match_id AND a.map_id = hc.map_id AND a.team_id = hc.opp_team_id AND a.name = hc.opp_txt
+WHERE NOT EXISTS (SELECT 1 FROM hc u LEFT JOIN g_roster r ON r.match_id = u.match_id AND r.map_id = u.map_id
+  AND r.team_id = u.team_id AND r.name = u.owner_txt
+  WHERE r.player_id IS NULL AND u.match_id = hc.match_id AND u.map_id = hc.map_id)""", ctes=HL_SQL)
 def job_highlights(spark, sf_dir):
     return I.job_highlights(dom(spark, sf_dir))
 
@@ -353,8 +355,7 @@ def _geo_sql(name: str, src: str, col: str, by: str) -> str:
 
 TEAMS_SQL = f"""
 SELECT t.id, t.name, {S.short_name('t.name', 't.shorthand_txt')} AS shorthand_name, t.url, c.country AS country,
-  coalesce(c.continent, r.continent) AS region,
-  CASE WHEN c.country IS NULL AND r.continent IS NULL AND {S.strip('t.location_txt')} != '' THEN {S.strip('t.location_txt')} END AS new_country
+  r.continent AS region
 FROM g_raw_teams t LEFT JOIN gc c ON c.place = t.location_txt LEFT JOIN gr r ON r.place = t.location_txt"""
 TEAMS_CTES = (_geo_sql("gc", "g_raw_teams", "location_txt", "country") + ",\n"
               + _geo_sql("gr", "g_raw_teams", "location_txt", "continent"))
@@ -388,9 +389,10 @@ def job_tournaments(spark, sf_dir):
 
 
 @query("job_dim_upsert", sql=f"""
-WITH ex AS (SELECT CAST(n_nationkey + 1 AS BIGINT) AS id, n_name AS name FROM nation),
-nw AS (SELECT DISTINCT new_country AS name FROM ({TEAMS_SQL}) WHERE new_country IS NOT NULL
-       AND new_country NOT IN (SELECT name FROM ex))
+WITH ex AS (SELECT CAST(n_nationkey + 1 AS BIGINT) AS id, n_name AS name FROM nation
+       WHERE n_regionkey < (SELECT max(n_regionkey) FROM nation)),
+nw AS (SELECT DISTINCT country AS name FROM ({TEAMS_SQL}) WHERE country IS NOT NULL
+       AND country NOT IN (SELECT name FROM ex))
 SELECT id, name FROM ex
 UNION ALL SELECT CAST((SELECT max(id) FROM ex) + row_number() OVER (ORDER BY name) AS BIGINT), name FROM nw""",
        ctes=TEAMS_CTES)

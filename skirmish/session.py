@@ -96,8 +96,9 @@ def ship_package(spark: SparkSession) -> None:
 def _ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by the cluster.
 
-    ``spark.checkpoint.dir`` is read from the session; only when it is unset
-    (local tests) a fresh folder under /tmp is taken.
+    ``spark.checkpoint.dir`` is read from the session; a fresh folder under
+    /tmp is taken only where it is unset and the master is local, so that all
+    tasks share this machine.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -105,6 +106,8 @@ def _ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="skirmish-ckpt-", dir="/tmp")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured

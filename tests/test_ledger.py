@@ -187,3 +187,27 @@ def test_veto_violations_are_reported(spark):
                                         "kast double, hs double")
     got = sorted((r.row_key, r.rule) for r in Q.dq_checks(empty_r, empty_p, vetoes).collect())
     assert got == [("1:2", "team_id for ban/pick"), ("1:3", "map_id not null"), ("1:4", "veto_action enum")]
+
+
+def test_unknown_owner_rejects_the_maps_highlights(spark, monkeypatch):
+    """An owner who is not on the roster rejects all highlights of that map
+    (Q17); other maps stay."""
+    from types import SimpleNamespace
+    from skirmish.plans import ingest as I
+    cells = spark.createDataFrame([(1, 1, 1, "2k", 0, "ann", "cy"), (1, 1, 2, "2k", 1, "nobody", "cy"), (1, 2, 1, "2k", 0, "ann", "cy, zed")],
+                                  "match_id long, map_id long, round_no int, highlight_type string, pos int, owner_txt string, opponents_txt string")
+    roster = spark.createDataFrame([(1, m, t, n, p) for m in (1, 2) for t, n, p in ((10, "ann", 100), (20, "cy", 200))],
+                                   "match_id long, map_id long, team_id long, name string, player_id long")
+    maps = spark.createDataFrame([(1, 1, 10, 20), (1, 2, 10, 20)], "match_id long, map_id long, team_1_id long, team_2_id long")
+    monkeypatch.setattr(I.RV, "raw_highlight_cells", lambda d: cells)
+    monkeypatch.setattr(I.RV, "roster", lambda d: roster)
+    got = sorted((r.map_id, r.player_id, r.player_against_id) for r in I.job_highlights(SimpleNamespace(match_maps=maps)).collect())
+    assert got == [(2, 100, 0), (2, 100, 200)]
+
+
+def test_append_writes_a_repeated_key_once(spark, tmp_path):
+    from skirmish.sources.io import append_new
+    rows = spark.createDataFrame([(1, "a"), (1, "a"), (2, "b")], "id long, x string")
+    append_new(rows, f"{tmp_path}/t", ["id"])
+    append_new(spark.createDataFrame([(2, "b"), (3, "c"), (3, "c")], rows.schema), f"{tmp_path}/t", ["id"])
+    assert sorted(r.id for r in spark.read.parquet(f"{tmp_path}/t").collect()) == [1, 2, 3]
