@@ -64,10 +64,10 @@ def load_maps(spark, sf_dir):
     return _date_str(L.load_maps(dom(spark, sf_dir)))
 
 
-@query("filter_exclude", sql=LOAD_MAPS_SQL)
+@query("filter_exclude", sql=LOAD_MAPS_SQL.replace("!= -1", "!= 1"))
 def filter_exclude(spark, sf_dir):
-    # the reference's default exclusion argument (-1): the predicate runs, nothing is excluded
-    return _date_str(L.load_maps(dom(spark, sf_dir), match_id=-1))
+    """All maps but those of match 1."""
+    return _date_str(L.load_maps(dom(spark, sf_dir), match_id=1))
 
 
 @query("recode_ordinal", sql="""
@@ -92,10 +92,10 @@ def load_rounds(spark, sf_dir):
 
 
 @query("sort_rounds", sql=f"SELECT {ROUNDS_COLS} FROM fr JOIN g_matches m ON m.id = fr.match_id "
-                          f"WHERE m.{WINDOW_SQL} ORDER BY m.date DESC, fr.match_id, fr.map_id, fr.round_no",
+                          "ORDER BY m.date DESC, fr.match_id, fr.map_id, fr.round_no",
        ctes=FLIP_ROUNDS)
 def sort_rounds(spark, sf_dir):
-    return _date_str(L.load_rounds(dom(spark, sf_dir), as_of=AS_OF, sort=True))
+    return _date_str(L.load_rounds(dom(spark, sf_dir), sort=True))
 
 
 @query("bool_to_int", sql="SELECT match_id, map_id, round_no, team_id, def, won FROM fr", ctes=FLIP_ROUNDS)
@@ -143,22 +143,21 @@ def filter_in(spark, sf_dir):
     return dom(spark, sf_dir).player_highlights.filter(F.col("highlight_type").isin(FT.CLUTCH_TYPES))
 
 
-@query("filter_either_side", sql=f"""
+@query("filter_either_side", sql="""
 SELECT id, CAST(date AS VARCHAR) AS date, team_1_id, team_2_id FROM g_matches
-WHERE {WINDOW_SQL} AND (team_1_id IN (SELECT team_id FROM fin) OR team_2_id IN (SELECT team_id FROM fin))""",
-       ctes=TEAM_ROWS + f""",
-fin AS (SELECT DISTINCT team_id FROM team_rows WHERE stage = 'grand_final'
-        AND team_score > team_against_score AND {WINDOW_SQL})""")
+WHERE team_1_id IN (SELECT team_id FROM fin) OR team_2_id IN (SELECT team_id FROM fin)""",
+       ctes=TEAM_ROWS + """,
+gf AS (SELECT team_id, date FROM team_rows WHERE stage = 'grand_final' AND team_score > team_against_score),
+fin AS (SELECT DISTINCT team_id FROM gf WHERE date = (SELECT max(date) FROM gf))""")
 def filter_either_side(spark, sf_dir):
-    """Matches in the window where any grand-final winner of the window is on
-    either side: flip + equality semi-join instead of an OR of two columns."""
+    """Matches where a winner of the last grand-final day is on either side: flip + equality semi-join instead of an OR of two columns."""
     d = dom(spark, sf_dir)
-    tm = L.load_matches(d, as_of=AS_OF)
-    finalists = tm.filter((F.col("stage") == "grand_final") & (F.col("team_score") > F.col("team_against_score"))) \
-                  .select("team_id").distinct()
+    tm = L.load_matches(d)
+    won = tm.filter((F.col("stage") == "grand_final") & (F.col("team_score") > F.col("team_against_score")))
+    last = won.agg(F.max("date").alias("date"))  # one row
+    finalists = won.join(F.broadcast(last), "date").select("team_id").distinct()
     hit = tm.join(finalists, "team_id", "left_semi").select("id").distinct()
-    m = L.filter_window(d.matches, AS_OF)
-    return _date_str(m.join(hit, "id", "left_semi").select("id", "date", "team_1_id", "team_2_id"))
+    return _date_str(d.matches.join(hit, "id", "left_semi").select("id", "date", "team_1_id", "team_2_id"))
 
 
 @query("load_duels", sql="SELECT * FROM duels", ctes="duels AS (" + __import__(
@@ -255,11 +254,11 @@ def join_exists_flag(spark, sf_dir):
 
 
 @query("join_semi_exists", sql=f"""
-SELECT id, url FROM g_raw_matches q WHERE EXISTS (SELECT 1 FROM g_matches m WHERE m.id = q.id AND m.{WINDOW_SQL})""")
+SELECT id, url FROM g_raw_matches q WHERE EXISTS (SELECT 1 FROM g_matches m WHERE m.id = q.id AND m.date < DATE '{AS_OF}')""")
 def join_semi_exists(spark, sf_dir):
-    """Which queued match pages are loaded already (loaded = matches of the window)."""
+    """Which queued match pages are loaded already (loaded = all matches before the cut)."""
     d = dom(spark, sf_dir)
-    loaded = L.filter_window(d.matches, AS_OF).select("id")
+    loaded = d.matches.filter(F.col("date") < F.lit(AS_OF).cast("date")).select("id")
     return d.raw_matches.select("id", "url").join(loaded, "id", "left_semi")
 
 
