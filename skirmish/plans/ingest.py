@@ -17,7 +17,7 @@ from skirmish.functions import rules as R
 from skirmish.operators.joins import bounded_broadcast, hash_join
 from skirmish.operators.windows import all_or_nothing, slot_team
 from skirmish.sources import raw_views as RV
-from skirmish.sources.fixtures import Domain
+from skirmish.sources.fixtures import COUNT_STATS, Domain
 
 
 def maps_by_name(d: Domain) -> DataFrame:
@@ -26,14 +26,16 @@ def maps_by_name(d: Domain) -> DataFrame:
 
 # ------------------------------------------------------------------ matches
 def job_matches(d: Domain) -> DataFrame:
+    """Match header rows; url and date come from the queue, the rest from the page."""
     r = d.raw_matches
     return r.select(
-        R.url_id(F.col("url")).alias("id"), "url",
+        R.url_id(F.col("url")).alias("id"), "url", "date",
         R.url_id(F.col("event_href")).alias("tournament_id"),
         R.stage(F.col("series_txt")).alias("stage"),
         R.url_id(F.col("team_1_href")).alias("team_1_id"),
         R.url_id(F.col("team_2_href")).alias("team_2_id"),
-        R.rating(F.col("team_1_rating_txt")).alias("team_1_rating"),
+        *[R.to_int(F.col(f"team_{t}_score_txt")).alias(f"team_{t}_score") for t in (1, 2)],
+        *[R.rating(F.col(f"team_{t}_rating_txt")).alias(f"team_{t}_rating") for t in (1, 2)],
         R.duration(F.col("duration_txt")).alias("duration"),
     )
 
@@ -126,30 +128,46 @@ def side_rounds_of_team(d: Domain, ot_mode: str = "fixed") -> DataFrame:
     return both
 
 
+ROUND_STATS = ("rating", "acs", "kast", "adr")
+PLAYER_STATS = ("rating", "acs", "kills", "deaths", "assists", "kast", "adr", "hs", "first_kills", "first_deaths")
+PLAYER_KEYS = ("match_id", "map_id", "team_id", "player_id")
+
+
 def fill_player_stats(d: Domain, ot_mode: str = "fixed") -> DataFrame:
-    """Gap filling, kills before headshots (they weight by filled kills)."""
+    """Gap filling of all ten statistics: counts from the total, per-round ones
+    weighted by the side's rounds, headshots by the filled kills. ``failed``
+    lists the statistics whose gap cannot be filled."""
     raw = d.raw_player_stats.join(side_rounds_of_team(d, ot_mode), ["match_id", "map_id", "team_id"], "left")
     c = F.col
-    dk, ak, k_ok = R.fill_count(c("def_kills"), c("atk_kills"), c("both_kills"))
-    dr, ar, r_ok = R.fill_weighted(c("def_rating"), c("atk_rating"), c("both_rating"), c("def_rounds"), c("atk_rounds"))
-    f = raw.select("match_id", "map_id", "team_id", "player_id", "def_rounds", "atk_rounds", "def_hs", "atk_hs",
-                   "both_hs", dk.alias("f_def_kills"), ak.alias("f_atk_kills"), dr.alias("f_def_rating"),
-                   ar.alias("f_atk_rating"), (k_ok & r_ok).alias("ok"))
-    dh, ah, h_ok = R.fill_weighted(c("def_hs"), c("atk_hs"), c("both_hs"), c("f_def_kills"), c("f_atk_kills"))
-    return f.select("match_id", "map_id", "team_id", "player_id",
-                    F.col("f_def_kills").alias("def_kills"), F.col("f_atk_kills").alias("atk_kills"),
-                    F.round(F.col("f_def_rating"), 6).alias("def_rating"),
-                    F.round(F.col("f_atk_rating"), 6).alias("atk_rating"),
-                    F.round(dh, 6).alias("def_hs"), F.round(ah, 6).alias("atk_hs"),
-                    (F.col("ok") & h_ok).cast("int").alias("ok"))
-
-
-def job_player_stats(d: Domain, ot_mode: str = "fixed") -> DataFrame:
-    """Filled def/atk columns stacked back into two side rows per player."""
-    f = fill_player_stats(d, ot_mode).filter(F.col("ok") == 1)
-    return f.select("match_id", "map_id", "team_id", "player_id", F.expr(
-        "stack(2, 'def', def_kills, def_rating, def_hs, 'atk', atk_kills, atk_rating, atk_hs) "
-        "AS (side, kills, rating, hs)"))
+    filled, gaps = [], {}
+    for s in COUNT_STATS + ROUND_STATS:
+        cells = c(f"def_{s}"), c(f"atk_{s}"), c(f"both_{s}")
+        def_v, atk_v, gaps[s] = (R.fill_count(*cells) if s in COUNT_STATS
+                                 else R.fill_weighted(*cells, c("def_rounds"), c("atk_rounds")))
+        filled += [(v if s in COUNT_STATS else F.round(v, 6)).alias(f"f_{side}_{s}")
+                   for side, v in (("def", def_v), ("atk", atk_v))]
+    f = raw.select(*PLAYER_KEYS, "agent_name", "def_hs", "atk_hs", "both_hs", *filled,
+                   F.array(*[F.when(~ok, F.lit(s)) for s, ok in gaps.items()]).alias("gaps"))
+    def_hs, atk_hs, hs_ok = R.fill_weighted(c("def_hs"), c("atk_hs"), c("both_hs"), c("f_def_kills"), c("f_atk_kills"))
+    failed = F.array_compact(F.concat("gaps", F.array(F.when(~hs_ok, F.lit("hs")))))
+    return f.select(*PLAYER_KEYS, "agent_name",
+                    *[c(f"f_{side}_{s}").alias(f"{side}_{s}") for s in gaps for side in ("def", "atk")],
+                    F.round(def_hs, 6).alias("def_hs"), F.round(atk_hs, 6).alias("atk_hs"), failed.alias("failed"))
+
+
+def job_player_stats(d: Domain, ot_mode: str = "fixed") -> tuple[DataFrame, DataFrame]:
+    """(side rows, rejected players): filled def/atk columns stacked into two
+    side rows per player, the agent's name resolved to its id. One player with
+    a gap that cannot be filled or an unknown agent rejects the match; the
+    rejected players carry what failed (nothing for those that were sound)."""
+    agents = bounded_broadcast(d.agents.select(F.col("name").alias("agent_name"), F.col("id").alias("agent_id")), 10_000)
+    f = fill_player_stats(d, ot_mode).join(agents, "agent_name", "left")
+    f = f.withColumn("failed", F.when(F.col("agent_id").isNull(), F.array_append("failed", F.lit("agent")))
+                     .otherwise(F.col("failed")))
+    clean, bad = all_or_nothing(f, ["match_id"], F.size("failed") == 0)
+    sides = ", ".join(f"'{side}', " + ", ".join(f"{side}_{s}" for s in PLAYER_STATS) for side in ("def", "atk"))
+    rows = clean.select(*PLAYER_KEYS, "agent_id", F.expr(f"stack(2, {sides}) AS (side, {', '.join(PLAYER_STATS)})"))
+    return rows, bad.select(*PLAYER_KEYS, F.array_join("failed", ",").alias("failed"))
 
 
 # ------------------------------------------------------------------ duels

@@ -12,6 +12,7 @@ from skirmish.plans import ingest as I
 from skirmish.plans import rules_sql as S
 from skirmish.plans.registry import dom, query
 from skirmish.sources import raw_views as RV
+from skirmish.sources.fixtures import COUNT_STATS
 
 
 def _big(df, cols):
@@ -20,15 +21,16 @@ def _big(df, cols):
 
 # ------------------------------------------------------------------ matches
 JOB_MATCHES_SQL = f"""
-SELECT {S.url_id('url')} AS id, url, {S.url_id('event_href')} AS tournament_id, {S.stage('series_txt')} AS stage,
+SELECT {S.url_id('url')} AS id, url, date, {S.url_id('event_href')} AS tournament_id, {S.stage('series_txt')} AS stage,
   {S.url_id('team_1_href')} AS team_1_id, {S.url_id('team_2_href')} AS team_2_id,
-  {S.rating('team_1_rating_txt')} AS team_1_rating, {S.duration('duration_txt')} AS duration
+  {S.to_int('team_1_score_txt')} AS team_1_score, {S.to_int('team_2_score_txt')} AS team_2_score,
+  {S.rating('team_1_rating_txt')} AS team_1_rating, {S.rating('team_2_rating_txt')} AS team_2_rating, {S.duration('duration_txt')} AS duration
 FROM g_raw_matches"""
 
 
-@query("job_matches", sql=JOB_MATCHES_SQL)
+@query("job_matches", sql=f"SELECT * REPLACE (CAST(date AS VARCHAR) AS date) FROM ({JOB_MATCHES_SQL})")
 def job_matches(spark, sf_dir):
-    return I.job_matches(dom(spark, sf_dir))
+    return I.job_matches(dom(spark, sf_dir)).withColumn("date", F.col("date").cast("string"))
 
 
 # ------------------------------------------------------------------ maps
@@ -178,51 +180,85 @@ def _solve(both, other, other_w, own_w, dw, aw):
             f"- CAST({other_w} AS DOUBLE) * CAST({other} AS DOUBLE)) / CAST({own_w} AS DOUBLE) END, 0.0)")
 
 
-FILL_SQL = f"""fk AS (
-  SELECT r.match_id, r.map_id, r.team_id, r.player_id, sr.def_rounds, sr.atk_rounds, r.def_hs, r.atk_hs, r.both_hs,
-    CASE WHEN {_ok('r.def_kills', 'r.atk_kills', 'r.both_kills')} THEN coalesce(r.def_kills, greatest(r.both_kills - r.atk_kills, 0)) END AS def_kills,
-    CASE WHEN {_ok('r.def_kills', 'r.atk_kills', 'r.both_kills')} THEN coalesce(r.atk_kills, greatest(r.both_kills - r.def_kills, 0)) END AS atk_kills,
-    CASE WHEN {_ok('r.def_rating', 'r.atk_rating', 'r.both_rating')} THEN coalesce(CAST(r.def_rating AS DOUBLE), {_solve('r.both_rating', 'r.atk_rating', 'sr.atk_rounds', 'sr.def_rounds', 'sr.def_rounds', 'sr.atk_rounds')}) END AS def_rating,
-    CASE WHEN {_ok('r.def_rating', 'r.atk_rating', 'r.both_rating')} THEN coalesce(CAST(r.atk_rating AS DOUBLE), {_solve('r.both_rating', 'r.def_rating', 'sr.def_rounds', 'sr.atk_rounds', 'sr.def_rounds', 'sr.atk_rounds')}) END AS atk_rating,
-    {_ok('r.def_kills', 'r.atk_kills', 'r.both_kills')} AND {_ok('r.def_rating', 'r.atk_rating', 'r.both_rating')} AS ok
+def _fill_sql() -> str:
+    """fk: filled counts and per-round statistics; fh: headshots by filled
+    kills; fp: with the agent; fm: with the verdict on the match."""
+    cells, gaps = [], []
+    for s in COUNT_STATS + I.ROUND_STATS:
+        d, a, b = f"r.def_{s}", f"r.atk_{s}", f"r.both_{s}"
+        if s in COUNT_STATS:
+            dv, av = f"coalesce({d}, greatest({b} - {a}, 0))", f"coalesce({a}, greatest({b} - {d}, 0))"
+        else:
+            rounds = "sr.def_rounds", "sr.atk_rounds"
+            dv = f"round(coalesce(CAST({d} AS DOUBLE), {_solve(b, a, *rounds[::-1], *rounds)}), 6)"
+            av = f"round(coalesce(CAST({a} AS DOUBLE), {_solve(b, d, *rounds, *rounds)}), 6)"
+        cells += [f"CASE WHEN {_ok(d, a, b)} THEN {v} END AS {side}_{s}" for side, v in (("def", dv), ("atk", av))]
+        gaps.append(f"CASE WHEN NOT {_ok(d, a, b)} THEN '{s}' END")
+    names = ", ".join(f"{side}_{s}" for s in COUNT_STATS + I.ROUND_STATS for side in ("def", "atk"))
+    hs = _ok("hs_def", "hs_atk", "both_hs")
+    solved = {"def": _solve("both_hs", "hs_atk", "atk_kills", "def_kills", "def_kills", "atk_kills"),
+              "atk": _solve("both_hs", "hs_def", "def_kills", "atk_kills", "def_kills", "atk_kills")}
+    hs_cells = ", ".join(f"round(CASE WHEN {hs} THEN coalesce(CAST(hs_{side} AS DOUBLE), {v}) END, 6) AS {side}_hs"
+                         for side, v in solved.items())
+    return f"""fk AS (
+  SELECT r.match_id, r.map_id, r.team_id, r.player_id, r.agent_name, r.def_hs AS hs_def, r.atk_hs AS hs_atk, r.both_hs,
+    {", ".join(cells)}, concat_ws(',', {", ".join(gaps)}) AS gaps
   FROM g_raw_player_stats r LEFT JOIN sr ON sr.match_id = r.match_id AND sr.map_id = r.map_id AND sr.team_id = r.team_id),
 fh AS (
-  SELECT match_id, map_id, team_id, player_id, def_kills, atk_kills, round(def_rating, 6) AS def_rating,
-    round(atk_rating, 6) AS atk_rating,
-    round(CASE WHEN {_ok('def_hs', 'atk_hs', 'both_hs')} THEN coalesce(CAST(def_hs AS DOUBLE), {_solve('both_hs', 'atk_hs', 'atk_kills', 'def_kills', 'def_kills', 'atk_kills')}) END, 6) AS def_hs,
-    round(CASE WHEN {_ok('def_hs', 'atk_hs', 'both_hs')} THEN coalesce(CAST(atk_hs AS DOUBLE), {_solve('both_hs', 'def_hs', 'def_kills', 'atk_kills', 'def_kills', 'atk_kills')}) END, 6) AS atk_hs,
-    CAST(ok AND {_ok('def_hs', 'atk_hs', 'both_hs')} AS INTEGER) AS ok
-  FROM fk)"""
+  SELECT match_id, map_id, team_id, player_id, agent_name, {names}, {hs_cells},
+    concat_ws(',', nullif(gaps, ''), CASE WHEN NOT {hs} THEN 'hs' END) AS failed
+  FROM fk),
+fp AS (
+  SELECT fh.* EXCLUDE (failed), a.id AS agent_id,
+    concat_ws(',', nullif(failed, ''), CASE WHEN a.id IS NULL THEN 'agent' END) AS failed
+  FROM fh LEFT JOIN g_agents a ON a.name = fh.agent_name),
+fm AS (SELECT *, bool_and(failed = '') OVER (PARTITION BY match_id) AS match_ok FROM fp)"""
 
 
-@query("f_fill_kda", sql="SELECT match_id, map_id, team_id, player_id, def_kills, atk_kills FROM fh",
-       ctes=SIDE_ROUNDS_SQL + ",\n" + FILL_SQL)
+FILL_SQL = _fill_sql()
+
+
+def _filled(stats) -> list[str]:
+    return [*I.PLAYER_KEYS, *(f"{side}_{s}" for s in stats for side in ("def", "atk"))]
+
+
+@query("f_fill_kda", sql=f"SELECT {', '.join(_filled(COUNT_STATS))} FROM fh", ctes=SIDE_ROUNDS_SQL + ",\n" + FILL_SQL)
 def f_fill_kda(spark, sf_dir):
-    return I.fill_player_stats(dom(spark, sf_dir)).select("match_id", "map_id", "team_id", "player_id",
-                                                          "def_kills", "atk_kills")
+    return I.fill_player_stats(dom(spark, sf_dir)).select(_filled(COUNT_STATS))
 
 
-@query("f_fill_per_round", sql="SELECT match_id, map_id, team_id, player_id, def_rating, atk_rating FROM fh",
+@query("f_fill_per_round", sql=f"SELECT {', '.join(_filled(I.ROUND_STATS))} FROM fh",
        ctes=SIDE_ROUNDS_SQL + ",\n" + FILL_SQL)
 def f_fill_per_round(spark, sf_dir):
-    return I.fill_player_stats(dom(spark, sf_dir)).select("match_id", "map_id", "team_id", "player_id",
-                                                          "def_rating", "atk_rating")
+    return I.fill_player_stats(dom(spark, sf_dir)).select(_filled(I.ROUND_STATS))
 
 
-@query("f_fill_per_kill", sql="SELECT match_id, map_id, team_id, player_id, def_hs, atk_hs, ok FROM fh",
+@query("f_fill_per_kill", sql="""
+SELECT match_id, map_id, team_id, player_id, def_hs, atk_hs, CAST(failed = '' AS INTEGER) AS ok FROM fh""",
        ctes=SIDE_ROUNDS_SQL + ",\n" + FILL_SQL)
 def f_fill_per_kill(spark, sf_dir):
-    return I.fill_player_stats(dom(spark, sf_dir)).select("match_id", "map_id", "team_id", "player_id",
-                                                          "def_hs", "atk_hs", "ok")
+    return I.fill_player_stats(dom(spark, sf_dir)).select(
+        *_filled(["hs"]), (F.size("failed") == 0).cast("int").alias("ok"))
 
 
-@query("job_player_stats", sql="""
-SELECT match_id, map_id, team_id, player_id, 'def' AS side, def_kills AS kills, def_rating AS rating, def_hs AS hs FROM fh WHERE ok = 1
-UNION ALL
-SELECT match_id, map_id, team_id, player_id, 'atk', atk_kills, atk_rating, atk_hs FROM fh WHERE ok = 1""",
-       ctes=SIDE_ROUNDS_SQL + ",\n" + FILL_SQL)
+_SIDES_SQL = "\nUNION ALL\n".join(
+    f"SELECT match_id, map_id, team_id, player_id, agent_id, '{side}' AS side, "
+    + ", ".join(f"{side}_{s} AS {s}" for s in I.PLAYER_STATS) + " FROM fm WHERE match_ok" for side in ("def", "atk"))
+
+
+@query("job_player_stats", sql=_SIDES_SQL, ctes=SIDE_ROUNDS_SQL + ",\n" + FILL_SQL)
 def job_player_stats(spark, sf_dir):
-    return I.job_player_stats(dom(spark, sf_dir))
+    rows, _ = I.job_player_stats(dom(spark, sf_dir))
+    return rows
+
+
+@query("job_player_stats_rejected", sql="""
+SELECT match_id, map_id, team_id, player_id, failed FROM fm WHERE NOT match_ok""",
+       ctes=SIDE_ROUNDS_SQL + ",\n" + FILL_SQL)
+def job_player_stats_rejected(spark, sf_dir):
+    """Players of rejected matches with what failed (empty for sound ones)."""
+    _, rejected = I.job_player_stats(dom(spark, sf_dir))
+    return rejected
 
 
 # ------------------------------------------------------------------ duels

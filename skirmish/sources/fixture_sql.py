@@ -8,6 +8,22 @@ from __future__ import annotations
 
 import re
 
+from skirmish.sources.fixtures import COUNT_STATS, WEIGHTED_STATS
+
+
+
+def _raw_stat(c: str) -> str:
+    """The def, atk and both cells of one player statistic."""
+    both = f"CAST(sum({c}) AS BIGINT)" if c in COUNT_STATS else f"avg({c})"
+    if c == "deaths":
+        both = f"CASE WHEN match_id % 101 = 0 AND player_id % 10 = 0 THEN NULL ELSE {both} END"
+    sides = [f"CASE WHEN player_id % 5 = {off} THEN NULL ELSE max(CASE WHEN side = '{s}' THEN {c} END) END AS {s}_{c}"
+             for off, s in enumerate(("def", "atk"))]
+    return ", ".join(sides + [f"{both} AS both_{c}"])
+
+
+_RAW_STATS = ",\n  ".join(_raw_stat(c) for c in COUNT_STATS + WEIGHTED_STATS)
+
 VIEWS: dict[str, str] = {
     "g_agents": """
 SELECT CAST(n_nationkey + 1 AS INT) AS id, concat('agent_', n_nationkey) AS name,
@@ -70,10 +86,12 @@ SELECT mm.match_id, mm.map_id, mm.team_1_id * 10 + a.n_nationkey AS team_1_playe
   (mm.map_id + a.n_nationkey) % 2 AS team_1_player_op_kills_vs_team_2_player, (mm.map_id + b.n_nationkey) % 2 AS team_2_player_op_kills_vs_team_1_player
 FROM g_match_maps mm JOIN nation a ON a.n_nationkey < 5 JOIN nation b ON b.n_nationkey < 5""",
     "g_raw_matches": """
-SELECT id, url, concat('/event/', tournament_id, '/cup-', tournament_id, '/stage') AS event_href,
+SELECT id, url, date, concat('/event/', tournament_id, '/cup-', tournament_id, '/stage') AS event_href,
   CASE stage WHEN 'grand_final' THEN 'Playoffs: Grand  Final' WHEN 'playoff' THEN ' Playoffs: Upper Round 1' ELSE 'Main Event: Week 2' END AS series_txt,
   concat('/team/', team_1_id, '/t', team_1_id) AS team_1_href, concat('/team/', team_2_id, '/t', team_2_id) AS team_2_href,
   CASE WHEN team_1_rating IS NULL THEN '' ELSE concat(' [', team_1_rating, '] ') END AS team_1_rating_txt,
+  CASE WHEN team_2_rating IS NULL THEN '' ELSE concat(' [', team_2_rating, '] ') END AS team_2_rating_txt,
+  concat(' ', team_1_score, chr(10)) AS team_1_score_txt, concat(' ', team_2_score, chr(10)) AS team_2_score_txt,
   CASE WHEN id % 17 = 0 THEN '-' WHEN id % 3 = 0 THEN '1:02:05' ELSE concat(20 + id % 39, ':', 10 + id % 49) END AS duration_txt
 FROM g_matches""",
     "g_raw_rounds": """
@@ -86,10 +104,10 @@ SELECT match_id, map_id, round_no, team_1_id, team_2_id,
   CASE WHEN match_id % 50 = 0 AND round_no = 5 THEN 'n/a' ELSE concat(CAST(floor(team_1_bank / 1000) AS INT), '.', CAST((team_1_bank % 1000) / 100 AS INT), 'k') END AS t1_bank_txt,
   concat(CAST(floor(team_2_bank / 1000) AS INT), '.', CAST((team_2_bank % 1000) / 100 AS INT), 'k') AS t2_bank_txt
 FROM g_round_stats""",
-    "g_raw_player_stats": """
-SELECT match_id, map_id, team_id, player_id, CASE WHEN player_id % 5 = 0 THEN NULL ELSE max(CASE WHEN side = 'def' THEN kills END) END AS def_kills, CASE WHEN player_id % 5 = 1 THEN NULL ELSE max(CASE WHEN side = 'atk' THEN kills END) END AS atk_kills, sum(kills) AS both_kills,
-  CASE WHEN player_id % 5 = 0 THEN NULL ELSE max(CASE WHEN side = 'def' THEN rating END) END AS def_rating, CASE WHEN player_id % 5 = 1 THEN NULL ELSE max(CASE WHEN side = 'atk' THEN rating END) END AS atk_rating, avg(rating) AS both_rating,
-  CASE WHEN player_id % 5 = 0 THEN NULL ELSE max(CASE WHEN side = 'def' THEN hs END) END AS def_hs, CASE WHEN player_id % 5 = 1 THEN NULL ELSE max(CASE WHEN side = 'atk' THEN hs END) END AS atk_hs, avg(hs) AS both_hs
+    "g_raw_player_stats": f"""
+SELECT match_id, map_id, team_id, player_id,
+  CASE WHEN match_id % 97 = 0 AND player_id % 10 = 3 THEN 'agent_new' ELSE concat('agent_', max(agent_id) - 1) END AS agent_name,
+  {_RAW_STATS}
 FROM g_player_overview_stats GROUP BY match_id, map_id, team_id, player_id""",
     "g_veto_notes": """
 SELECT id AS match_id, team_1_id, team_2_id, concat('T', team_1_id) AS t1_short, concat('T', team_2_id) AS t2_short,

@@ -40,6 +40,8 @@ WON_METHODS = ["eliminate", "spike_explode", "defuse", "out_of_time"]
 ROLES = ["duelist", "controller", "sentinel", "initiator"]
 HIGHLIGHT_TYPES = ["2k", "3k", "4k", "5k", "1v1", "1v2", "1v3", "1v4", "1v5"]
 HIGHLIGHT_OPPONENTS = [2, 3, 4, 5, 1, 2, 3, 4, 5]
+COUNT_STATS = ("kills", "deaths", "assists", "first_kills", "first_deaths")
+WEIGHTED_STATS = ("rating", "acs", "kast", "adr", "hs")
 
 
 class Domain:
@@ -209,7 +211,7 @@ class Domain:
         m = self.matches
         i = F.col("id")
         return m.select(
-            i, "url",
+            i, "url", "date",
             F.concat(F.lit("/event/"), F.col("tournament_id").cast("string"), F.lit("/cup-"),
                      F.col("tournament_id").cast("string"), F.lit("/stage")).alias("event_href"),
             F.when(F.col("stage") == "grand_final", "Playoffs: Grand  Final")
@@ -219,9 +221,11 @@ class Domain:
                      F.col("team_1_id").cast("string")).alias("team_1_href"),
             F.concat(F.lit("/team/"), F.col("team_2_id").cast("string"), F.lit("/t"),
                      F.col("team_2_id").cast("string")).alias("team_2_href"),
-            F.when(F.col("team_1_rating").isNull(), F.lit(""))
-             .otherwise(F.concat(F.lit(" ["), F.col("team_1_rating").cast("string"), F.lit("] ")))
-             .alias("team_1_rating_txt"),
+            *[F.when(F.col(f"team_{t}_rating").isNull(), F.lit(""))
+              .otherwise(F.concat(F.lit(" ["), F.col(f"team_{t}_rating").cast("string"), F.lit("] ")))
+              .alias(f"team_{t}_rating_txt") for t in (1, 2)],
+            *[F.concat(F.lit(" "), F.col(f"team_{t}_score").cast("string"), F.lit("\n")).alias(f"team_{t}_score_txt")
+              for t in (1, 2)],
             F.when(i % 17 == 0, F.lit("-")).when(i % 3 == 0, F.lit("1:02:05"))
              .otherwise(F.concat((20 + i % 39).cast("string"), F.lit(":"), (10 + i % 49).cast("string")))
              .alias("duration_txt"),
@@ -262,21 +266,21 @@ class Domain:
         p = self.player_overview_stats
         pid, side = F.col("player_id"), F.col("side")
 
+        mid = F.col("match_id")
+
         def side_val(c: str, s: str, drop_when: int) -> Column:
             return F.when(pid % 5 == drop_when, F.lit(None)).otherwise(
                 F.max(F.when(side == s, F.col(c))))
 
-        return p.groupBy("match_id", "map_id", "team_id", "player_id").agg(
-            side_val("kills", "def", 0).alias("def_kills"),
-            side_val("kills", "atk", 1).alias("atk_kills"),
-            F.sum("kills").alias("both_kills"),
-            side_val("rating", "def", 0).alias("def_rating"),
-            side_val("rating", "atk", 1).alias("atk_rating"),
-            F.avg("rating").alias("both_rating"),
-            side_val("hs", "def", 0).alias("def_hs"),
-            side_val("hs", "atk", 1).alias("atk_hs"),
-            F.avg("hs").alias("both_hs"),
-        )
+        cells = [F.when((mid % 97 == 0) & (pid % 10 == 3), F.lit("agent_new"))
+                 .otherwise(F.concat(F.lit("agent_"), (F.max("agent_id") - 1).cast("string"))).alias("agent_name")]
+        for c in COUNT_STATS + WEIGHTED_STATS:
+            both = F.sum(c) if c in COUNT_STATS else F.avg(c)
+            if c == "deaths":  # a gap that cannot be filled
+                both = F.when((mid % 101 == 0) & (pid % 10 == 0), F.lit(None)).otherwise(both)
+            cells += [side_val(c, "def", 0).alias(f"def_{c}"), side_val(c, "atk", 1).alias(f"atk_{c}"),
+                      both.alias(f"both_{c}")]
+        return p.groupBy("match_id", "map_id", "team_id", "player_id").agg(*cells)
 
     @cached_property
     def veto_notes(self) -> DataFrame:
