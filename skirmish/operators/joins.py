@@ -2,9 +2,11 @@
 
 Physical choices made here, so they hold at cluster scale:
 
-* Broadcast only behind a proven bound: ``bounded_broadcast`` counts at most
-  ``max_rows + 1`` rows of the candidate side (a LIMIT scan, cheap) and only
-  then adds the hint; above the bound the join stays a shuffle join.
+* Broadcast only behind a checked size: ``bounded_broadcast`` reads the
+  optimizer's size estimate of the candidate, which for a scan comes from the
+  files' bytes (no job runs), and only then adds the hint; above the bound,
+  or where nothing is known, the join stays a shuffle join that adaptive
+  execution converts or splits by measured bytes.
 * Range joins on a date (history, map form) are never equi-joins on a few hot
   keys alone: both sides get a date bucket (width = window length) so the
   join key is (key, bucket) with the exact range kept as a residual filter.
@@ -19,10 +21,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
-    """Broadcast ``df`` only if it provably has at most ``max_rows`` rows."""
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+BROADCAST_BYTES = 16 << 20
+
+
+def bounded_broadcast(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """Broadcast ``df`` only if the optimizer puts it at ``max_bytes`` or less.
+    Not for frames that multiply rows (``explode``), which the estimate misses."""
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return F.broadcast(df) if size <= max_bytes else df
 
 
 def hash_join(left: DataFrame, small: DataFrame, on, how: str = "inner") -> DataFrame:

@@ -138,9 +138,9 @@ def sort_rounds(df: DataFrame) -> DataFrame:
 
 
 def agents_dim(d: Domain) -> DataFrame:
-    """Agent dimension, broadcast only behind a row-count bound."""
+    """Agent dimension, broadcast only behind a size bound."""
     return bounded_broadcast(d.agents.select(F.col("id").alias("agent_id"),
-                                             F.col("agent_type").alias("role")), max_rows=10_000)
+                                             F.col("agent_type").alias("role")))
 
 
 def join_role(players: DataFrame, d: Domain) -> DataFrame:

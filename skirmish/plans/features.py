@@ -286,7 +286,7 @@ def targets(d: Domain) -> DataFrame:
     m = d.matches
     used = job_tournaments(d).select(F.col("id").alias("tournament_id"), F.col("tier_1").alias("tier")) \
         .join(m.select("tournament_id").distinct(), "tournament_id", "left_semi")
-    t = m.join(bounded_broadcast(used, 1_000_000), "tournament_id", "left")
+    t = m.join(bounded_broadcast(used), "tournament_id", "left")
     return t.select(F.col("id").alias("target_id"), F.col("date").alias("target_date"),
                     "stage", "tier", "team_1_id", "team_2_id")
 

@@ -21,7 +21,7 @@ from skirmish.sources.fixtures import COUNT_STATS, Domain
 
 
 def maps_by_name(d: Domain) -> DataFrame:
-    return bounded_broadcast(d.maps.select(F.col("name").alias("map_name"), F.col("id").alias("map_id")), 10_000)
+    return bounded_broadcast(d.maps.select(F.col("name").alias("map_name"), F.col("id").alias("map_id")))
 
 
 # ------------------------------------------------------------------ matches
@@ -160,7 +160,7 @@ def job_player_stats(d: Domain, ot_mode: str = "fixed") -> tuple[DataFrame, Data
     side rows per player, the agent's name resolved to its id. One player with
     a gap that cannot be filled or an unknown agent rejects the match; the
     rejected players carry what failed (nothing for those that were sound)."""
-    agents = bounded_broadcast(d.agents.select(F.col("name").alias("agent_name"), F.col("id").alias("agent_id")), 10_000)
+    agents = bounded_broadcast(d.agents.select(F.col("name").alias("agent_name"), F.col("id").alias("agent_id")))
     f = fill_player_stats(d, ot_mode).join(agents, "agent_name", "left")
     f = f.withColumn("failed", F.when(F.col("agent_id").isNull(), F.array_append("failed", F.lit("agent")))
                      .otherwise(F.col("failed")))
@@ -270,18 +270,24 @@ def job_vetoes(d: Domain) -> DataFrame:
 
 
 # ------------------------------------------------------------------ dimensions
+def name_parts(d: Domain, by: str) -> DataFrame:
+    """Every part of a snake-cased geography name with the first row (file
+    order) that contains it: (part, g). Names are short, so a name has a
+    bounded number of parts, and "contains" becomes an equality."""
+    g = RV.geography(d).select(R.snake(F.col(by)).alias("name"), F.struct("country", "continent", "row_no").alias("g"))
+    starts = g.select("name", "g", F.explode(F.sequence(F.lit(1), F.length("name"))).alias("i"))
+    parts = starts.select("g", F.explode(F.transform(
+        F.sequence(F.lit(1), F.length("name") - F.col("i") + 1), lambda n: F.substring("name", F.col("i"), n))).alias("part"))
+    return parts.groupBy("part").agg(F.min_by("g", F.col("g.row_no")).alias("g"))
+
+
 def geo_lookup(names: DataFrame, d: Domain, name_col: str, by: str = "country") -> DataFrame:
     """Free text -> first geography row (file order) whose snake-cased
-    ``by`` column contains the snake-cased text (ledger Q16; blank -> null).
-
-    Distinct names only, against a broadcast table of proven size, then
-    ``min_by`` over the row number.
-    """
-    geo = bounded_broadcast(RV.geography(d), 10_000)
+    ``by`` column contains the snake-cased text (ledger Q16; blank -> null):
+    an equality join of the distinct names with the parts of all names."""
     distinct = names.select(F.col(name_col).alias("_place")).distinct() \
         .filter(F.col("_place").isNotNull() & (R.strip(F.col("_place")) != ""))
-    hit = distinct.join(geo, R.snake(F.col(by)).contains(R.snake(F.col("_place"))), "inner")
-    first = hit.groupBy("_place").agg(F.min_by(F.struct("country", "continent", "row_no"), F.col("row_no")).alias("g"))
+    first = distinct.withColumn("part", R.snake(F.col("_place"))).join(name_parts(d, by), "part")
     return first.select(F.col("_place").alias(name_col), F.col("g.country").alias(f"{by}_country"),
                         F.col("g.continent").alias(f"{by}_continent"))
 
@@ -292,8 +298,8 @@ def job_teams(d: Domain) -> DataFrame:
     t = RV.raw_teams(d)
     # one row per distinct place: broadcast behind a bound, so a popular place
     # (few distinct values, many teams) never becomes one hot shuffle key
-    by_country = bounded_broadcast(geo_lookup(t, d, "location_txt", "country"), 1_000_000)
-    by_region = bounded_broadcast(geo_lookup(t, d, "location_txt", "continent"), 1_000_000)
+    by_country = bounded_broadcast(geo_lookup(t, d, "location_txt", "country"))
+    by_region = bounded_broadcast(geo_lookup(t, d, "location_txt", "continent"))
     j = t.join(by_country, "location_txt", "left").join(by_region, "location_txt", "left")
     return j.select(
         "id", "name", R.short_name(F.col("name"), F.col("shorthand_txt")).alias("shorthand_name"), "url",
@@ -302,7 +308,7 @@ def job_teams(d: Domain) -> DataFrame:
 
 def job_players(d: Domain) -> DataFrame:
     p = RV.raw_players(d)
-    by_country = bounded_broadcast(geo_lookup(p, d, "country_txt", "country"), 1_000_000)
+    by_country = bounded_broadcast(geo_lookup(p, d, "country_txt", "country"))
     j = p.join(by_country, "country_txt", "left")
     return j.select("id", "name", "url", F.col("country_country").alias("country"))
 

@@ -34,7 +34,7 @@ def raw_tournaments(d) -> DataFrame:
 def geography(d) -> DataFrame:
     """Country -> continent rows in file order (nation x region)."""
     n = d.t.nation.select("n_nationkey", "n_name", "n_regionkey")
-    r = bounded_broadcast(d.t.region.select("r_regionkey", "r_name"), 10_000)
+    r = bounded_broadcast(d.t.region.select("r_regionkey", "r_name"))
     return n.join(r, n.n_regionkey == r.r_regionkey).select(
         F.col("n_name").alias("country"), F.col("r_name").alias("continent"),
         F.col("n_nationkey").cast("bigint").alias("row_no"))
@@ -44,7 +44,7 @@ def raw_teams(d) -> DataFrame:
     """One team page per customer: name, shorthand, url, free-text location."""
     c = d.t.customer.select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
     geo = bounded_broadcast(geography(d).select(F.col("row_no").cast("int").alias("c_nationkey"),
-                                                "country", "continent"), 10_000)
+                                                "country", "continent"))
     j = c.join(geo, "c_nationkey")
     k = F.col("c_custkey")
     return j.select(
@@ -62,7 +62,7 @@ def raw_teams(d) -> DataFrame:
 def raw_players(d) -> DataFrame:
     """One player page per player seen in the stats: name, url, country text."""
     p = d.player_overview_stats.select("player_id").distinct()
-    n = bounded_broadcast(d.t.nation.select(F.col("n_nationkey").cast("bigint").alias("nk"), "n_name"), 10_000)
+    n = bounded_broadcast(d.t.nation.select(F.col("n_nationkey").cast("bigint").alias("nk"), "n_name"))
     j = p.join(n, (p.player_id % 25) == n.nk)
     pid = F.col("player_id")
     return j.select(

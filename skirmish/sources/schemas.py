@@ -82,6 +82,8 @@ KEYS = {
     "player_highlights": ["match_id", "map_id", "round_no", "team_id", "player_id", "highlight_type",
                           "player_against_id"],
     "ban_pick_log": ["match_id", "veto_order"],
+    "player_stats_rejected": ["match_id", "map_id", "player_id"],
+    "tournaments": ["id"], "teams": ["id"], "players": ["id"], "countries": ["id"],
 }
 
 

@@ -124,6 +124,39 @@ def test_ingest_batch_is_idempotent(spark, tmp_path):
     assert n1 == n2
     assert n1["round_stats"] + n1["round_quarantine"] == d.round_stats.count()
     assert n1["player_highlights"] == d.player_highlights.count()
+    assert n1["player_overview_stats"] / 2 + n1["player_stats_rejected"] == d.raw_player_stats.count()
+    assert n1["player_stats_rejected"] > 0
+
+
+def test_one_bad_player_rejects_the_match(spark):
+    from skirmish.plans import ingest as I
+    from skirmish.sources.fixtures import COUNT_STATS, WEIGHTED_STATS
+
+    def player(match, pid, agent="agent_1", **gaps):
+        cells = {f"{side}_{s}": 2.0 if s in WEIGHTED_STATS else 2 for s in COUNT_STATS + WEIGHTED_STATS
+                 for side in ("def", "atk", "both")}
+        return dict(match_id=match, map_id=1, team_id=5, player_id=pid, agent_name=agent, **{**cells, **gaps})
+
+    names = ", ".join(f"{side}_{s} {'double' if s in WEIGHTED_STATS else 'long'}" for s in COUNT_STATS + WEIGHTED_STATS
+                      for side in ("def", "atk", "both"))
+
+    class Stub:
+        raw_player_stats = spark.createDataFrame(
+            [player(1, 50, def_kills=None, both_kills=9, def_acs=None, both_acs=3.0), player(2, 50), player(2, 51, agent="new"),
+             player(3, 50, def_deaths=None, both_deaths=None)],
+            "match_id long, map_id long, team_id long, player_id long, agent_name string, " + names)
+        agents = spark.createDataFrame([(7, "agent_1")], "id int, name string")
+        match_maps = spark.createDataFrame(
+            [(m, 1, 5, 6, 6, 6, 0, 6, 6, 0) for m in (1, 2, 3)],
+            "match_id long, map_id long, team_1_id long, team_2_id long, " + ", ".join(
+                f"team_{t}_{s}_score long" for t in (1, 2) for s in ("def", "atk", "ot")))
+
+    rows, rejected = I.job_player_stats(Stub())
+    got = {r.side: r for r in rows.collect()}
+    assert {r.match_id for r in got.values()} == {1} and got["def"].agent_id == 7
+    assert got["def"].kills == 7 and got["atk"].kills == 2 and got["def"].acs == 4.0
+    assert {(r.match_id, r.player_id): r.failed for r in rejected.collect()} == {
+        (2, 50): "", (2, 51): "agent", (3, 50): "deaths"}
 
 
 def test_q23_duplicate_display_name_last_position_wins(spark):
