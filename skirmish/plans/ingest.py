@@ -10,6 +10,8 @@ broadcast only behind a row bound.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -192,7 +194,7 @@ def join_duel_grid(d: Domain) -> DataFrame:
 
 def _cell_part(c: Column, idx: int) -> Column:
     """'a b' -> a (idx 0) or b (idx 1); blank -> 0 (f_default_blank)."""
-    part = F.split(R.strip(c), r"\s+").getItem(idx)
+    part = F.get(F.split(R.strip(c), r"\s+"), F.lit(idx))
     return R.default_blank(c, 0, R.to_int(part)).cast("bigint")
 
 
@@ -201,7 +203,8 @@ DUEL_CELLS = ("kills", "first_kills", "op_kills")
 
 def job_duels(d: Domain) -> DataFrame:
     """Cells are trimmed and split once into arrays, then each number is read
-    from its array (blank cell -> 0, f_default_blank)."""
+    from its array (blank cell -> 0, f_default_blank). An unknown name or a
+    cell that cannot be read rejects the duels of its map (25 rows)."""
     j = join_duel_grid(d)
     keys = ["match_id", "map_id", "team_1_player_id", "team_2_player_id"]
     arrays = j.select(*keys, *[F.split(R.strip(F.col(f"{c}_txt")), r"\s+").alias(c) for c in DUEL_CELLS])
@@ -209,13 +212,15 @@ def job_duels(d: Domain) -> DataFrame:
     def part(c: str, idx: int) -> Column:
         arr = F.col(c)
         blank = (F.size(arr) == 1) & (arr.getItem(0) == "")
-        return F.when(blank, F.lit(0).cast("bigint")).otherwise(R.to_int(arr.getItem(idx)))
+        return F.when(blank, F.lit(0).cast("bigint")).otherwise(R.to_int(F.get(arr, F.lit(idx))))
 
     out = [F.col(k) for k in keys]
     for c in DUEL_CELLS:
         out += [part(c, 0).alias(f"team_1_player_{c}_vs_team_2_player"),
                 part(c, 1).alias(f"team_2_player_{c}_vs_team_1_player")]
-    return arrays.select(*out)
+    parsed = arrays.select(*out)
+    sound = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in parsed.columns])
+    return all_or_nothing(parsed, ["match_id", "map_id"], sound)[0]
 
 
 # ------------------------------------------------------------------ highlights

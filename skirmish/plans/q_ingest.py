@@ -291,8 +291,16 @@ _DUEL_COLS = ", ".join(f"{_cell_sql(f'{c}_txt', 0)} AS team_1_player_{c}_vs_team
                        for c in ("kills", "first_kills", "op_kills"))
 
 
-@query("job_duels", sql=f"SELECT match_id, map_id, team_1_player_id, team_2_player_id, {_DUEL_COLS} FROM dg",
-       ctes=DUEL_GRID_SQL)
+DUELS_CTES = DUEL_GRID_SQL + f""",
+dr AS (SELECT match_id, map_id, team_1_player_id, team_2_player_id, {_DUEL_COLS} FROM dg),
+dk AS (SELECT match_id, map_id FROM dr GROUP BY match_id, map_id
+       HAVING bool_and(team_1_player_id IS NOT NULL AND team_2_player_id IS NOT NULL
+         AND team_1_player_kills_vs_team_2_player IS NOT NULL AND team_2_player_kills_vs_team_1_player IS NOT NULL
+         AND team_1_player_first_kills_vs_team_2_player IS NOT NULL AND team_2_player_first_kills_vs_team_1_player IS NOT NULL
+         AND team_1_player_op_kills_vs_team_2_player IS NOT NULL AND team_2_player_op_kills_vs_team_1_player IS NOT NULL))"""
+
+
+@query("job_duels", sql="SELECT dr.* FROM dr JOIN dk USING (match_id, map_id)", ctes=DUELS_CTES)
 def job_duels(spark, sf_dir):
     return I.job_duels(dom(spark, sf_dir))
 
@@ -315,14 +323,16 @@ HL_SQL = """hc AS (
   FROM g_raw_highlight_cells c JOIN g_match_maps mm ON mm.match_id = c.match_id AND mm.map_id = c.map_id)"""
 
 
-@query("job_highlights", sql="""
-SELECT hc.match_id, hc.map_id, hc.round_no, hc.team_id, o.player_id, hc.highlight_type,
-  coalesce(a.player_id, 0) AS player_against_id
-FROM hc LEFT JOIN g_roster o ON o.match_id = hc.match_id AND o.map_id = hc.map_id AND o.team_id = hc.team_id AND o.name = hc.owner_txt
-LEFT JOIN g_roster a ON a.match_id = hc.match_id AND a.map_id = hc.map_id AND a.team_id = hc.opp_team_id AND a.name = hc.opp_txt
-WHERE NOT EXISTS (SELECT 1 FROM hc u LEFT JOIN g_roster r ON r.match_id = u.match_id AND r.map_id = u.map_id
-  AND r.team_id = u.team_id AND r.name = u.owner_txt
-  WHERE r.player_id IS NULL AND u.match_id = hc.match_id AND u.map_id = hc.map_id)""", ctes=HL_SQL)
+HIGHLIGHTS_CTES = HL_SQL + """,
+hj AS (SELECT hc.match_id, hc.map_id, hc.round_no, hc.team_id, o.player_id, hc.highlight_type,
+    coalesce(a.player_id, 0) AS player_against_id
+  FROM hc LEFT JOIN g_roster o ON o.match_id = hc.match_id AND o.map_id = hc.map_id AND o.team_id = hc.team_id AND o.name = hc.owner_txt
+  LEFT JOIN g_roster a ON a.match_id = hc.match_id AND a.map_id = hc.map_id AND a.team_id = hc.opp_team_id AND a.name = hc.opp_txt),
+hk AS (SELECT match_id, map_id FROM hj GROUP BY match_id, map_id HAVING bool_and(player_id IS NOT NULL)),
+jh AS (SELECT hj.* FROM hj JOIN hk USING (match_id, map_id))"""
+
+
+@query("job_highlights", sql="SELECT * FROM jh", ctes=HIGHLIGHTS_CTES)
 def job_highlights(spark, sf_dir):
     return I.job_highlights(dom(spark, sf_dir))
 

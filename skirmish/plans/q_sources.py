@@ -336,11 +336,7 @@ j AS (SELECT coalesce(a.match_id, b.match_id) AS match_id, coalesce(a.map_id, b.
         AND a.player_against_id = b.player_against_id)
 SELECT match_id, map_id, team_id, CAST(sum(na) AS BIGINT) AS n_a, CAST(sum(nb) AS BIGINT) AS n_b,
   CAST(bool_and(na = nb) AS INTEGER) AS equal FROM j GROUP BY match_id, map_id, team_id""",
-       ctes=QI.HL_SQL + """,
-jh AS (SELECT hc.match_id, hc.map_id, hc.round_no, hc.team_id, o.player_id, hc.highlight_type,
-  coalesce(a.player_id, 0) AS player_against_id
-FROM hc LEFT JOIN g_roster o ON o.match_id = hc.match_id AND o.map_id = hc.map_id AND o.team_id = hc.team_id AND o.name = hc.owner_txt
-LEFT JOIN g_roster a ON a.match_id = hc.match_id AND a.map_id = hc.map_id AND a.team_id = hc.opp_team_id AND a.name = hc.opp_txt)""")
+       ctes=QI.HIGHLIGHTS_CTES)
 def set_compare_bags(spark, sf_dir):
     """Per (match, map, team): is the bag of stored highlight rows equal to
     the bag re-parsed from the highlight cells?"""

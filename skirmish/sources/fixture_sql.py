@@ -144,7 +144,8 @@ SELECT match_id, map_id, team_id, name, arg_max(player_id, pos) AS player_id FRO
   FROM g_player_overview_stats WHERE side = 'def') GROUP BY match_id, map_id, team_id, name""",
     "g_raw_duel_grid": """
 SELECT match_id, map_id, team_1_player_id % 10 AS i, team_2_player_id % 10 AS j,
-  CASE WHEN team_1_player_kills_vs_team_2_player = 0 AND team_2_player_kills_vs_team_1_player = 0 THEN ''
+  CASE WHEN match_id % 79 = 0 AND team_1_player_id % 10 = 1 AND team_2_player_id % 10 = 1 THEN 'x'
+    WHEN team_1_player_kills_vs_team_2_player = 0 AND team_2_player_kills_vs_team_1_player = 0 THEN ''
     ELSE concat(team_1_player_kills_vs_team_2_player, ' ', team_2_player_kills_vs_team_1_player) END AS kills_txt,
   CASE WHEN team_1_player_first_kills_vs_team_2_player = 0 AND team_2_player_first_kills_vs_team_1_player = 0 THEN ''
     ELSE concat(team_1_player_first_kills_vs_team_2_player, ' ', team_2_player_first_kills_vs_team_1_player) END AS first_kills_txt,
@@ -152,12 +153,13 @@ SELECT match_id, map_id, team_1_player_id % 10 AS i, team_2_player_id % 10 AS j,
     ELSE concat(team_1_player_op_kills_vs_team_2_player, ' ', team_2_player_op_kills_vs_team_1_player) END AS op_kills_txt
 FROM g_players_duel_stats""",
     "g_raw_duel_headers": """
-SELECT mm.match_id, mm.map_id, n.n_nationkey AS pos, concat('p', mm.team_1_id * 10 + n.n_nationkey) AS row_name,
+SELECT mm.match_id, mm.map_id, n.n_nationkey AS pos,
+  CASE WHEN mm.match_id % 83 = 0 AND n.n_nationkey = 2 THEN 'sub' ELSE concat('p', mm.team_1_id * 10 + n.n_nationkey) END AS row_name,
   concat('p', mm.team_2_id * 10 + n.n_nationkey) AS col_name
 FROM g_match_maps mm JOIN nation n ON n.n_nationkey < 5""",
     "g_raw_highlight_cells": """
 SELECT h.match_id, h.map_id, CASE WHEN h.team_id = mm.team_1_id THEN h.player_id % 10 ELSE h.player_id % 10 + 5 END AS pos,
-  concat('p', h.player_id) AS owner_txt, h.round_no, h.highlight_type,
+  CASE WHEN h.match_id % 89 = 0 AND h.round_no = 3 THEN 'sub' ELSE concat('p', h.player_id) END AS owner_txt, h.round_no, h.highlight_type,
   string_agg(concat('p', h.player_against_id), ', ' ORDER BY concat('p', h.player_against_id)) AS opponents_txt
 FROM g_player_highlights h JOIN g_match_maps mm ON mm.match_id = h.match_id AND mm.map_id = h.map_id
 GROUP BY h.match_id, h.map_id, CASE WHEN h.team_id = mm.team_1_id THEN h.player_id % 10 ELSE h.player_id % 10 + 5 END,

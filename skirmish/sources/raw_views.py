@@ -93,7 +93,7 @@ def dedupe_names(named: DataFrame) -> DataFrame:
 def raw_duel_grid(d) -> DataFrame:
     """Cells of the 5 x 5 duel matrices (kills, first kills, op kills): row i
     is a team-1 player, column j a team-2 player; a cell reads 'a b', blank
-    when both are 0."""
+    when both are 0. Some matches have a cell that cannot be read."""
     g = d.players_duel_stats
 
     def cell(c: str) -> Column:
@@ -103,22 +103,26 @@ def raw_duel_grid(d) -> DataFrame:
 
     return g.select("match_id", "map_id", (F.col("team_1_player_id") % 10).alias("i"),
                     (F.col("team_2_player_id") % 10).alias("j"),
-                    cell("kills").alias("kills_txt"), cell("first_kills").alias("first_kills_txt"),
+                    F.when((F.col("match_id") % 79 == 0) & (F.col("team_1_player_id") % 10 == 1)
+                           & (F.col("team_2_player_id") % 10 == 1), F.lit("x")).otherwise(cell("kills")).alias("kills_txt"), cell("first_kills").alias("first_kills_txt"),
                     cell("op_kills").alias("op_kills_txt"))
 
 
 def raw_duel_headers(d) -> DataFrame:
-    """Row (team 1) and column (team 2) headers of the duel matrices."""
+    """Row (team 1) and column (team 2) headers of the duel matrices; some
+    matches name a player that the roster lacks."""
     mm = d.match_maps.select("match_id", "map_id", "team_1_id", "team_2_id",
                              F.explode(F.sequence(F.lit(0), F.lit(4))).alias("pos"))
     return mm.select("match_id", "map_id", "pos",
-                     F.concat(F.lit("p"), _s(F.col("team_1_id") * 10 + F.col("pos"))).alias("row_name"),
+                     F.when((F.col("match_id") % 83 == 0) & (F.col("pos") == 2), F.lit("sub"))
+                      .otherwise(F.concat(F.lit("p"), _s(F.col("team_1_id") * 10 + F.col("pos")))).alias("row_name"),
                      F.concat(F.lit("p"), _s(F.col("team_2_id") * 10 + F.col("pos"))).alias("col_name"))
 
 
 def raw_highlight_cells(d) -> DataFrame:
     """Highlight table cells: row position 0-9 (0-4 team 1, 5-9 team 2), owner
-    name, round, type and the opponents' names (≤ 5 per cell)."""
+    name (unknown in a round of some matches), round, type and the opponents'
+    names (≤ 5 per cell)."""
     h = d.player_highlights
     mm = d.match_maps.select("match_id", "map_id", "team_1_id")
     j = h.join(mm, ["match_id", "map_id"])
@@ -127,7 +131,9 @@ def raw_highlight_cells(d) -> DataFrame:
     g = j.groupBy("match_id", "map_id", pos.alias("pos"), "player_id", "round_no", "highlight_type").agg(
         F.concat_ws(", ", F.sort_array(F.collect_list(F.concat(F.lit("p"), _s(F.col("player_against_id"))))))
          .alias("opponents_txt"))
-    return g.select("match_id", "map_id", "pos", F.concat(F.lit("p"), _s(F.col("player_id"))).alias("owner_txt"),
+    return g.select("match_id", "map_id", "pos",
+                    F.when((F.col("match_id") % 89 == 0) & (F.col("round_no") == 3), F.lit("sub"))
+                     .otherwise(F.concat(F.lit("p"), _s(F.col("player_id")))).alias("owner_txt"),
                     "round_no", "highlight_type", "opponents_txt")
 
 

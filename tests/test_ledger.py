@@ -123,7 +123,9 @@ def test_ingest_batch_is_idempotent(spark, tmp_path):
     n2 = {k: spark.read.parquet(v).count() for k, v in p1.items()}
     assert n1 == n2
     assert n1["round_stats"] + n1["round_quarantine"] == d.round_stats.count()
-    assert n1["player_highlights"] == d.player_highlights.count()
+    rejected = d.player_highlights.filter("match_id % 89 = 0 and round_no = 3").select("match_id", "map_id").distinct()
+    assert n1["player_highlights"] == d.player_highlights.join(rejected, ["match_id", "map_id"], "left_anti").count()
+    assert n1["players_duel_stats"] == d.players_duel_stats.filter("match_id % 79 <> 0 and match_id % 83 <> 0").count()
     assert n1["player_overview_stats"] / 2 + n1["player_stats_rejected"] == d.raw_player_stats.count()
     assert n1["player_stats_rejected"] > 0
 
