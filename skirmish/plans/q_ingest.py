@@ -13,6 +13,7 @@ from skirmish.plans import rules_sql as S
 from skirmish.plans.registry import dom, query
 from skirmish.sources import raw_views as RV
 from skirmish.sources.fixtures import COUNT_STATS
+from skirmish.sources.schemas import FOREIGN_KEYS, KEYS
 
 
 def _big(df, cols):
@@ -489,21 +490,21 @@ def dq_checks(spark, sf_dir):
     return Q.dq_checks(I.parse_rounds(d), d.player_overview_stats, I.job_vetoes(d))
 
 
-@query("dq_keys", sql="""
-SELECT DISTINCT 'matches.tournament_id -> tournaments' AS check_name, CAST(m.tournament_id AS VARCHAR) AS row_key FROM g_matches m
-  WHERE NOT EXISTS (SELECT 1 FROM g_raw_tournaments t WHERE t.id = m.tournament_id)
-UNION ALL
-SELECT 'round_stats -> match_maps', concat(r.match_id, ':', r.map_id) FROM (SELECT DISTINCT match_id, map_id FROM g_round_stats) r
-  WHERE NOT EXISTS (SELECT 1 FROM g_match_maps mm WHERE mm.match_id = r.match_id AND mm.map_id = r.map_id)
-UNION ALL
-SELECT 'player_highlights.player_against_id -> players', CAST(h.player_against_id AS VARCHAR)
-  FROM (SELECT DISTINCT player_against_id FROM g_player_highlights) h
-  WHERE NOT EXISTS (SELECT 1 FROM g_raw_players p WHERE p.id = h.player_against_id)
-UNION ALL
-SELECT 'matches.url unique', url FROM g_matches GROUP BY url HAVING count(*) > 1
-UNION ALL
-SELECT 'match_maps (match_id, map_id) unique', concat(match_id, ':', map_id) FROM g_match_maps
-  GROUP BY match_id, map_id HAVING count(*) > 1""")
+_PARENTS = {"tournaments": "g_raw_tournaments", "teams": "g_raw_teams", "players": "g_raw_players", "maps": "g_maps",
+            "agents": "g_agents", "matches": "g_matches", "agent names": "g_agents"}
+
+
+def _keys_sql() -> str:
+    parts = [f"SELECT DISTINCT '{t}.{c} -> {p}' AS check_name, CAST({c} AS VARCHAR) AS row_key FROM g_{t} WHERE {c} IS NOT NULL "
+             f"AND {c} NOT IN (SELECT {'name' if p == 'agent names' else 'id'} FROM {_PARENTS[p]})"
+             for t, cols in FOREIGN_KEYS.items() for c, p in cols.items()]
+    unique = [("matches", ["url"])] + [(t, KEYS[t]) for t in FOREIGN_KEYS if t in KEYS]
+    parts += [f"SELECT '{t} ({', '.join(k)}) unique', concat_ws(':', {', '.join(k)}) FROM g_{t} GROUP BY {', '.join(k)} "
+              "HAVING count(*) > 1" for t, k in unique]
+    return "\nUNION ALL\n".join(parts)
+
+
+@query("dq_keys", sql=_keys_sql())
 def dq_keys(spark, sf_dir):
     d = dom(spark, sf_dir)
     return Q.dq_keys(d)

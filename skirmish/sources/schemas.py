@@ -86,6 +86,22 @@ KEYS = {
     "tournaments": ["id"], "teams": ["id"], "players": ["id"], "countries": ["id"],
 }
 
+# Foreign keys: table -> column -> parent table. Fixed values of the schema.
+FOREIGN_KEYS = {
+    "matches": {"tournament_id": "tournaments", "team_1_id": "teams", "team_2_id": "teams"},
+    "match_maps": {"match_id": "matches", "map_id": "maps", "team_1_id": "teams", "team_2_id": "teams",
+                   "team_def_first": "teams", "team_pick": "teams"},
+    "round_stats": {"match_id": "matches", "map_id": "maps", "team_1_id": "teams", "team_2_id": "teams",
+                    "team_def": "teams", "team_won": "teams"},
+    "players_duel_stats": {"match_id": "matches", "map_id": "maps", "team_1_player_id": "players",
+                           "team_2_player_id": "players"},
+    "player_overview_stats": {"match_id": "matches", "map_id": "maps", "agent_id": "agents", "team_id": "teams",
+                              "player_id": "players"},
+    "player_highlights": {"match_id": "matches", "map_id": "maps", "player_id": "players",
+                          "player_against_id": "players"},
+    "raw_player_stats": {"agent_name": "agent names"},
+}
+
 
 def conform(df: DataFrame, table: str) -> DataFrame:
     """Cast and order ``df``'s columns to the declared schema of ``table``."""
