@@ -77,6 +77,23 @@ def test_bm25_returns_the_most_alike_unused():
     assert shard.neighbours(0, np.array([False, True, False, True])).tolist() == [3]
 
 
+def test_packing_brings_copies_of_different_files_together(spark, tmp_path):
+    from skirmish.llm.packing import pack_documents
+    rng = np.random.default_rng(1)
+    words = [f"w{i}" for i in range(4000)]
+    texts = [" ".join(rng.choice(words, 150)) for _ in range(120)]
+    copies = [f"{t} tail{i}" for i, t in enumerate(texts)]
+    order = rng.permutation(120).tolist()
+    for name, part in (("a", list(enumerate(texts))), ("b", [(1000 + i, copies[i]) for i in order])):
+        spark.createDataFrame(part, "doc_id long, text string").coalesce(1).write.parquet(f"{tmp_path}/{name}")
+    both = spark.read.parquet(f"{tmp_path}/a").unionByName(spark.read.parquet(f"{tmp_path}/b")).repartitionByRange(2, "doc_id")
+    held = collections.defaultdict(set)
+    for r in pack_documents(both, public_tokenizers.path("word_bpe_49k.json")).collect():
+        held[r["doc_id"]].add(r["sequence_id"])
+    together = sum(bool(held[i] & held[1000 + i]) for i in range(120))
+    assert together > 60  # by slices: none, as the files lie in two partitions
+
+
 def test_warc_round_trip_with_magic_in_payloads(spark):
     from skirmish.llm.warc import MAGIC, round_trip
     from skirmish.session import scratch_dir
