@@ -4,7 +4,10 @@ Text statistics become a vector of four numbers on a fixed grid; per language
 and source a minimum-covariance-determinant estimate (centre and scatter of the
 share ``H`` of the documents that lies closest together) is found by C-steps,
 and a document is rejected whose Mahalanobis distance is beyond a chi-square
-quantile. DataFrame functions only. Every C-step is two grouped aggregations
+quantile. Most documents have none of the last three numbers at all, so a
+group's closest share may have no scatter in them; each number's variance is
+therefore raised by its pooled robust scatter, taken from the data (``floors``).
+DataFrame functions only. Every C-step is two grouped aggregations
 over a narrow stored table: counts by distance step, and sums of products;
 both combine before the shuffle, so a hot group costs no more than a cold one.
 Grid values make all sums whole numbers, so results do not depend on the order
@@ -26,10 +29,9 @@ C_STEPS = 3
 TAIL = 1e-6  # share of a normal group that would lie beyond the limit
 MIN_GROUP = 100  # smaller groups use their language's estimate, then the estimate of all
 GRID = 1024  # steps per unit of the vector
-#: Least standard deviation of each number: most documents have none of the last three at all.
-FLOOR = (0.25, 0.1, 0.1, 0.1)
+TINY = 1 / GRID  # least standard deviation, only against singular matrices
 PRIOR_WORDS, PRIOR_CHARS = 50, 300  # weigh short texts' mean word length down
-P = len(FLOOR)
+P = 4  # numbers of the vector
 
 SPACE = r"[\x20\x09-\x0D]+"
 BLANK = " \t\n\x0b\x0c\r"
@@ -121,7 +123,7 @@ def _distance() -> Column:
     return out
 
 
-def _factor(moments: DataFrame) -> DataFrame:
+def _factor(moments: DataFrame, least: list[float]) -> DataFrame:
     """Centres m and Cholesky factors l from a group's n, sums s and products
     q: scatter times ``CONSISTENCY`` plus the floors."""
     out = moments
@@ -131,7 +133,7 @@ def _factor(moments: DataFrame) -> DataFrame:
         for j in range(i + 1):
             cov = (F.col(f"q{i}{j}") / (F.col("n") * F.lit(GRID * GRID)) - F.col(f"m{i}") * F.col(f"m{j}")) * CONSISTENCY
             if i == j:
-                cov = F.greatest(cov, F.lit(0.0)) + FLOOR[i] ** 2
+                cov = F.greatest(cov, F.lit(0.0)) + least[i] ** 2
             for k in range(j):
                 cov = cov - F.col(f"l{i}{k}") * F.col(f"l{j}{k}")
             out = out.withColumn(f"l{i}{j}", F.sqrt(cov) if i == j else cov / F.col(f"l{j}{j}"))
@@ -146,28 +148,42 @@ def _moments(vectors: DataFrame) -> DataFrame:
 
 
 def _medians(vectors: DataFrame) -> DataFrame:
-    """Start: coordinate medians, with twice the floors as scales."""
+    """Coordinate medians m of each group."""
     number = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.col(f"x{i}").alias("x")) for i in range(P)]))
     counts = vectors.select("g", "w", number.alias("v")).groupBy("g", "v.i", "v.x").agg(F.sum("w").alias("n"))
     part = Window.partitionBy("g", "i")
     middle = (counts.withColumn("upto", F.sum("n").over(part.orderBy("x").rowsBetween(Window.unboundedPreceding, 0)))
               .withColumn("all", F.sum("n").over(part))
               .where("2 * upto >= all").groupBy("g", "i").agg((F.min("x") / GRID).alias("m")))
-    wide = middle.groupBy("g").agg(*[F.max(F.when(F.col("i") == i, F.col("m"))).alias(f"m{i}") for i in range(P)])
-    return wide.select("*", *[F.lit(2 * FLOOR[i] if i == j else 0.0).alias(f"l{i}{j}") for i in range(P) for j in range(i + 1)])
+    return middle.groupBy("g").agg(*[F.max(F.when(F.col("i") == i, F.col("m"))).alias(f"m{i}") for i in range(P)])
 
 
-def _c_step(vectors: DataFrame, estimate: DataFrame) -> DataFrame:
+def _closest(near: DataFrame) -> DataFrame:
+    """(g, cut): the least step within which the share ``H`` of a group lies."""
+    counts = near.groupBy("g", "step").agg(F.sum("w").alias("n"))
+    part = Window.partitionBy("g")
+    return (counts.withColumn("upto", F.sum("n").over(part.orderBy("step").rowsBetween(Window.unboundedPreceding, 0)))
+            .withColumn("all", F.sum("n").over(part))
+            .where(F.col("upto") >= F.col("all") * H).groupBy("g").agg(F.min("step").alias("cut")))
+
+
+def floors(vectors: DataFrame, medians: DataFrame) -> list[float]:
+    """Pooled robust scatter of each number: root mean square distance from
+    the group's median, over the share ``H`` of every group whose word length,
+    the one number that all documents have, lies closest to the median."""
+    near = vectors.join(medians, "g").select("g", "w", *[
+        (F.col(f"x{i}") - F.round(F.col(f"m{i}") * GRID).cast("long")).alias(f"d{i}") for i in range(P)]).withColumn("step", F.abs("d0"))
+    inner = near.join(stored(_closest(near), "cut"), "g").where("step <= cut")
+    n, *sums = inner.agg(F.sum("w"), *[F.sum(F.col(f"d{i}") * F.col(f"d{i}") * F.col("w")) for i in range(P)]).first()
+    return [max(math.sqrt((q or 0) / (n or 1)) / GRID, TINY) for q in sums]
+
+
+def _c_step(vectors: DataFrame, estimate: DataFrame, least: list[float]) -> DataFrame:
     """Estimate from the share ``H`` of each group that lies closest to an
     estimate; distances are compared in steps of 1/64."""
     near = vectors.join(estimate, "g").select("g", "w", *[f"x{i}" for i in range(P)],
                                               F.floor(F.sqrt(_distance()) * 64).alias("step"))
-    counts = near.groupBy("g", "step").agg(F.sum("w").alias("n"))
-    part = Window.partitionBy("g")
-    cut = (counts.withColumn("upto", F.sum("n").over(part.orderBy("step").rowsBetween(Window.unboundedPreceding, 0)))
-           .withColumn("all", F.sum("n").over(part))
-           .where(F.col("upto") >= F.col("all") * H).groupBy("g").agg(F.min("step").alias("cut")))
-    return _factor(_moments(near.join(stored(cut, "cut"), "g").where("step <= cut")))
+    return _factor(_moments(near.join(stored(_closest(near), "cut"), "g").where("step <= cut")), least)
 
 
 def _levels() -> list[Column]:
@@ -189,9 +205,11 @@ def _groups(rows: DataFrame) -> DataFrame:
 def mcd(vectors: DataFrame) -> DataFrame:
     """Minimum covariance determinant of weighted grid vectors (g, x.., w) per
     group g: centre m.. and Cholesky factor l.. of the scatter."""
-    estimate = stored(_medians(vectors), "start")
+    medians = stored(_medians(vectors), "medians")
+    least = floors(vectors, medians)
+    estimate = medians.select("*", *[F.lit(2 * least[i] if i == j else 0.0).alias(f"l{i}{j}") for i in range(P) for j in range(i + 1)])
     for _ in range(C_STEPS):
-        estimate = stored(_c_step(vectors, estimate), "estimate")
+        estimate = stored(_c_step(vectors, estimate, least), "estimate")
     return estimate
 
 

@@ -186,6 +186,20 @@ def test_quality_rules(spark, docs, none):
     assert rows(quality_rules(none)) == []
 
 
+def test_moderate_symbol_junk_is_an_outlier(spark):
+    from skirmish.llm.quality_rules import quality_rules
+    rng = np.random.default_rng(2)
+
+    def words(n):
+        return ["".join(rng.choice(list("abcdefghij"), k)) for k in rng.integers(3, 9, n)]
+
+    clean = [(i, " ".join(words(int(rng.integers(60, 200)))), "en", "s") for i in range(300)]
+    junk = [(1000 + i, " | ".join(" ".join(words(4)) for _ in range(20)), "en", "s") for i in range(4)]
+    got = rows(quality_rules(spark.createDataFrame(clean + junk, "doc_id long, text string, lang string, source string")))
+    kept = {r[0] for r in got if r[-1]}
+    assert not any(i >= 1000 for i in kept) and len(kept) >= 297
+
+
 def test_simhash_components(spark, docs, none):
     from skirmish.llm.simhash import fingerprint, simhash_components
     got = rows(simhash_components(docs))
