@@ -9,13 +9,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skirmish.llm.decontaminate import decontaminate
+from skirmish.llm.hard_negatives import hard_negatives, quantised
 from skirmish.llm.html_template import extract_main_text
+from skirmish.llm.jaccard import jaccard_components
 from skirmish.llm.lang_id import predict_languages
 from skirmish.llm.packing import pack_documents
 from skirmish.llm.quality_classifier import quality_scores
 from skirmish.llm.quality_rules import quality_rules
 from skirmish.llm.simhash import simhash_components
-from skirmish.llm.sql import OP1_SQL, OP10_SQL
+from skirmish.llm.spelling import spelling_variants
+from skirmish.llm.sql import OP1_SQL, OP10_SQL, OP11_SQL, OP12_SQL, OP13_SQL
 from skirmish.llm.tokens import count_tokens
 from skirmish.llm.url_filter import filter_urls, host_of
 from skirmish.llm.warc import round_trip
@@ -81,6 +84,23 @@ def op10_bloom_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_urls(pages, pages.where(host_of(F.col("url")).rlike(LISTED_HOSTS)).select("url"))
 
 
+def op11_prefix_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of all documents by the Jaccard similarity of their 3-word shingles."""
+    return jaccard_components(_table(spark, sf_dir, "documents"), words=3, percent=90)
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every 50th vector; every 7th vector's label is moved by one."""
+    rows = quantised(_table(spark, sf_dir, "embeddings"), "vec_id", "embedding", "label", scale=256)
+    moved = F.when(F.col("id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(rows.withColumn("label", moved), every=50, positives=5, negatives=3)
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spelling variants among the words of all documents."""
+    return spelling_variants(_table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The corpus pipeline on all documents."""
     import corpus_pipeline
@@ -90,6 +110,8 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_warc, op2_html_template, op3_token_counts, op4_retrieval_packing, op5_string_tiling, op6_robust_outliers,
-    op7_simhash_bktree, op8_empirical_bayes, op9_segmentation_lang_id, op10_bloom_url_filter, pipeline)}
+    op7_simhash_bktree, op8_empirical_bayes, op9_segmentation_lang_id, op10_bloom_url_filter,
+    op11_prefix_jaccard, op12_hard_negatives, op13_spelling_variants, pipeline)}
 
-ORACLE: dict[str, str] = {"op1_warc": OP1_SQL, "op10_bloom_url_filter": OP10_SQL}
+ORACLE: dict[str, str] = {"op1_warc": OP1_SQL, "op10_bloom_url_filter": OP10_SQL, "op11_prefix_jaccard": OP11_SQL,
+                          "op12_hard_negatives": OP12_SQL, "op13_spelling_variants": OP13_SQL}
