@@ -4,9 +4,11 @@ Of two words that differ by one edit, the shorter (of equal lengths: the lesser)
 gives two disjoint chunks that cover it, the other one all positional grams of
 the chunks' sizes. One edit spoils at most one chunk, so the other chunk is a
 gram of the partner at its own place, or one place later where the partner is
-longer by one. The join is on equality of (length, chunk, place after the
-shift); grams whose place no chunk can have are not sent. Each pair is verified
-by its edit distance.
+longer by one; grams whose place no chunk can have are not sent. The edit lies
+in the first or the second half of what is outside that chunk, so the other half
+is equal too: the join is on equality of (length, chunk, place after the shift,
+one half), which keeps a frequent chunk such as a common ending from meeting all
+its grams. Each pair is verified by its edit distance.
 
 Counting, the join and the roots are DataFrame operations throughout.
 """
@@ -20,7 +22,7 @@ from skirmish.llm.storage import stored
 
 RUNS = "[A-Za-zÀ-ÿ]+"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-SPLIT = 4096  # chunks of one key above which they are dealt to parts
+SPLIT = 512  # chunks of one key above which they are dealt to parts
 
 
 def word_counts(df: DataFrame, id_col: str, text_col: str, spoil: int, shortest: int, least: int) -> DataFrame:
@@ -37,46 +39,58 @@ def word_counts(df: DataFrame, id_col: str, text_col: str, spoil: int, shortest:
     return counted.where(F.col("n") >= least).select(F.col("run").alias("word"), "n")
 
 
+def _head(size: Column) -> Column:
+    return F.floor(size / 2).cast("int")
+
+
+def _keys(word: Column, size: Column, shift: int, less: int) -> list[Column]:
+    """Join keys: for both chunks of a word of ``size``, its gram ``shift``
+    places later, with either half of what is outside it. ``word`` is longer
+    than ``size`` by ``less``."""
+    head = _head(size)
+    keys = []
+    for which, place, width in ((0, F.lit(0), head), (1, head, size - head)):
+        gram = F.substring(word, place + shift + 1, width)
+        # What is outside: after the first chunk, or before the second; as many letters more as the shift leaves.
+        start, rest = (head + shift, size - head) if which == 0 else (F.lit(0), head)
+        more = less - shift if which == 0 else shift
+        half = _head(rest)
+        for part, at, n in ((0, start, half), (1, start + half + more, rest - half)):
+            keys.append(F.xxhash64(F.lit(2 * which + part), size, gram, F.substring(word, at + 1, n)))
+    return keys
+
+
 def _chunks(words: DataFrame) -> DataFrame:
-    """Two disjoint chunks of each word: size (of the word), which, place, gram."""
-    head = F.floor(F.col("size") / 2).cast("int")
-    both = F.array(F.struct(F.lit(0).alias("which"), F.lit(0).alias("place"), F.substring("word", F.lit(1), head).alias("gram")),
-                   F.struct(F.lit(1).alias("which"), head.alias("place"), F.substring("word", head + 1, F.col("size") - head).alias("gram")))
-    return words.select("word", "size", F.explode(both).alias("c")).select("word", "size", "c.*")
+    """The keys of each word's own two chunks."""
+    keys = _keys(F.col("word"), F.col("size"), 0, 0)
+    return words.select("word", F.explode(F.array(*keys)).alias("key"))
 
 
 def _grams(words: DataFrame) -> DataFrame:
-    """Positional grams of each word that can equal a chunk of a word of its
-    own size (same place) or of one letter less (same place, or one later):
-    size and place are those of the chunk."""
-    out = []
-    for less in (0, 1):
-        size = F.col("size") - less
-        head = F.floor(size / 2).cast("int")
-        for which, place, width in ((0, F.lit(0), head), (1, head, size - head)):
-            for shift in range(less + 1):
-                out.append(F.struct(size.alias("size"), F.lit(which).alias("which"), place.alias("place"),
-                                    F.substring("word", place + shift + 1, width).alias("gram")))
-    return words.select(F.col("word").alias("other"), F.explode(F.array_distinct(F.array(*out))).alias("c")).select("other", "c.*")
+    """The keys of each word's positional grams that can equal a chunk of a
+    word of its own size (same place) or of one letter less (same place, or one
+    later)."""
+    word, size = F.col("word"), F.col("size")
+    keys = _keys(word, size, 0, 0) + _keys(word, size - 1, 0, 1) + _keys(word, size - 1, 1, 1)
+    return words.select(word.alias("other"), F.explode(F.array_distinct(F.array(*keys))).alias("key"))
 
 
 def near_pairs(words: DataFrame) -> DataFrame:
     """Every pair of words one edit apart, once: word (the shorter or lesser) and other.
     ``words``: distinct words, as column word."""
     sized = words.select("word", F.length("word").alias("size"))
-    key = ["size", "which", "place", "gram"]
     chunks, grams = _chunks(sized), _grams(sized)
     # A key with many chunks is dealt to parts; its grams meet each part.
-    large = stored(chunks.groupBy(*key).agg(F.count("*").alias("k")).where(F.col("k") > SPLIT), "large-keys")
+    large = stored(chunks.groupBy("key").agg(F.count("*").alias("k")).where(F.col("k") > SPLIT), "large-keys")
     parts = F.ceil(F.col("k") / F.lit(SPLIT)).cast("int")
-    few = (chunks.join(large, key, "left_anti").withColumn("part", F.lit(0)),
-           grams.join(large, key, "left_anti").withColumn("part", F.lit(0)))
-    many = (chunks.join(large, key).withColumn("part", F.pmod(F.xxhash64("word"), parts).cast("int")).drop("k"),
-            grams.join(large, key).withColumn("part", F.explode(F.sequence(F.lit(0), parts - 1))).drop("k"))
+    few = (chunks.join(large, "key", "left_anti").withColumn("part", F.lit(0)),
+           grams.join(large, "key", "left_anti").withColumn("part", F.lit(0)))
+    many = (chunks.join(large, "key").withColumn("part", F.pmod(F.xxhash64("word"), parts).cast("int")).drop("k"),
+            grams.join(large, "key").withColumn("part", F.explode(F.sequence(F.lit(0), parts - 1))).drop("k"))
     out = None
     for x, y in (few, many):
-        met = x.join(y, [*key, "part"])
-        met = met.where((F.length("other") > F.col("size")) | (F.col("other") > F.col("word")))
+        met = x.join(y, ["key", "part"])
+        met = met.where((F.length("other") > F.length("word")) | (F.col("other") > F.col("word")))
         found = met.where(F.levenshtein("word", "other", 1) == 1).select("word", "other")
         out = found if out is None else out.union(found)
     return out.distinct()
