@@ -35,7 +35,7 @@ BUCKET_BITS = 18  # buckets of the count table: 2 MB at any size of the corpus
 PARTS = 512       # parts of the suffix filter in the lists, a multiple of 64
 FINE = 4096       # parts of the suffix filter on pairs, for sets over ``PARTS``
 SPLIT = 512       # entries of a list above which it is salted
-ROUNDS = 1        # times that components are found along two entries of each list first
+ROUNDS = 2        # times that components are found along two entries of each list first
 WORDS = 1 << 18   # 64-bit words of the filter of texts to fetch: 2 MB at any size of the corpus
 SLICE = 4 << 20   # bytes of text held at once in a task
 
