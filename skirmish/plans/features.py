@@ -20,7 +20,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skirmish.operators import loaders as L
-from skirmish.operators.joins import date_bucket, hash_join
+from skirmish.operators.joins import hash_join
+from skirmish.operators.ranges import expanded, numbered, ranges
 from skirmish.sources.fixtures import Domain
 
 CLUTCH_TYPES = ["1v1", "1v2", "1v3", "1v4", "1v5"]
@@ -291,61 +292,138 @@ def targets(d: Domain) -> DataFrame:
                     "stage", "tier", "team_1_id", "team_2_id")
 
 
-def team_history(d: Domain, days: int = L.HISTORY_DAYS) -> DataFrame:
-    """Per target and side (1/2): that team's matches in [D - days, D).
+def latest_targets(d: Domain) -> DataFrame:
+    """The targets of the last day that has matches: those to be predicted next."""
+    t = targets(d)
+    last = t.agg(F.max("target_date").alias("target_date"))
+    return t.join(F.broadcast(last), "target_date", "left_semi")
 
-    Range join keyed on (team, 180-day bucket) with the exact window as a
-    residual; history rows are replicated into the two buckets they can
-    serve. Output is long form, one row per (target, side, history match).
-    """
-    t = targets(d).select("target_id", "target_date", "stage", "tier", F.inline(F.array(
+
+def _sides(t: DataFrame) -> DataFrame:
+    """One row per target and side (1, 2) with that side's team."""
+    return t.select("target_id", "target_date", "stage", "tier", F.inline(F.array(
         F.struct(F.col("team_1_id").alias("team_id"), F.lit(1).alias("side")),
         F.struct(F.col("team_2_id").alias("team_id"), F.lit(2).alias("side")))))
-    t = t.withColumn("_bkt", date_bucket(F.col("target_date"), days))
+
+
+def team_sequence(d: Domain) -> DataFrame:
+    """Both perspectives of all matches, numbered per team by (date, match)."""
     h = L.load_matches(d).select(
-        F.col("id").alias("history_id"), F.col("date").alias("history_date"), "team_id",
-        "team_against_id", F.col("stage").alias("history_stage"), "team_score", "team_against_score",
-        "team_rating", "team_against_rating")
-    hb = date_bucket(F.col("history_date"), days)
-    h = h.withColumn("_bkt", F.explode(F.array(hb, hb + 1)))
-    j = t.join(h, ["team_id", "_bkt"], "inner").filter(
-        (F.col("history_date") >= F.date_sub(F.col("target_date"), days))
-        & (F.col("history_date") < F.col("target_date")))
-    return j.drop("_bkt")
-
-
-def map_form(d: Domain, days: int = L.HISTORY_DAYS) -> DataFrame:
-    """Per (form date D, map_id): every league map with that map_id in
-    [D - days, D) (ledger Q8: the history match itself included).
-
-    Keys are the distinct (date, map) pairs of all matches, so the form is
-    computed once per pair, not once per history row. Joined on
-    (map_id, 180-day bucket), never on map_id alone (12 hot keys).
-    """
-    keys = (d.match_maps.select("match_id", "map_id")
-            .join(L.match_dates(d), "match_id").select(F.col("date").alias("form_date"), "map_id")
-            .distinct())
-    keys = keys.withColumn("_bkt", date_bucket(F.col("form_date"), days))
-    maps = L.load_maps(d).select(F.col("match_id").alias("form_match_id"), "map_id",
-                                 F.col("date").alias("form_map_date"))
-    mb = date_bucket(F.col("form_map_date"), days)
-    maps = maps.withColumn("_bkt", F.explode(F.array(mb, mb + 1)))
-    j = keys.join(maps, ["map_id", "_bkt"], "inner").filter(
-        (F.col("form_map_date") >= F.date_sub(F.col("form_date"), days))
-        & (F.col("form_map_date") < F.col("form_date")))
-    return j.select("form_date", "map_id", "form_match_id")
-
-
-def feat_append_maps(d: Domain, days: int = L.HISTORY_DAYS) -> DataFrame:
-    """(target, side, history match, map) -> the map's features from the
-    history team's perspective, plus the key of its map form."""
-    hist = team_history(d, days)
+        F.col("id").alias("history_id"), F.col("date").alias("history_date"), "team_id", "team_against_id",
+        F.col("stage").alias("history_stage"), "team_score", "team_against_score", "team_rating", "team_against_rating")
+    return numbered(h, ["team_id"], "history_date", ["history_id"])
+
+
+def history_ranges(d: Domain, named: DataFrame | None = None, days: int = L.HISTORY_DAYS) -> DataFrame:
+    """Per target and side: that team's matches in [D - days, D) as a range
+    (lo, hi] of ``team_sequence``. ``named``: a table like ``targets`` (any
+    teams and date, played or not); without it every match is a target."""
+    t = _sides(targets(d) if named is None else named)
+    events = L.load_matches(d).select("team_id", F.col("date").alias("target_date"))
+    return t.join(ranges(events, t, ["team_id"], "target_date", days), ["team_id", "target_date"])
+
+
+def team_history(d: Domain, named: DataFrame | None = None, days: int = L.HISTORY_DAYS) -> DataFrame:
+    """``history_ranges`` expanded: one row per (target, side, history match)."""
+    return expanded(history_ranges(d, named, days), team_sequence(d), ["team_id"]).drop("seq")
+
+
+def _map_games(d: Domain) -> DataFrame:
+    return L.load_maps(d).select(F.col("match_id").alias("form_match_id"), "map_id", F.col("date").alias("form_date"))
+
+
+def map_sequence(d: Domain) -> DataFrame:
+    """All league maps, numbered per map_id by (date, match)."""
+    return numbered(_map_games(d), ["map_id"], "form_date", ["form_match_id"])
+
+
+def form_ranges(d: Domain, keys: DataFrame | None = None, days: int = L.HISTORY_DAYS) -> DataFrame:
+    """Per (form date D, map_id): the league maps with that map_id in
+    [D - days, D) (ledger Q8: the history match itself included) as a range of
+    ``map_sequence``. ``keys``: the wanted pairs; without it those of all matches."""
+    games = _map_games(d)
+    return ranges(games, games if keys is None else keys, ["map_id"], "form_date", days)
+
+
+def map_form(d: Domain, keys: DataFrame | None = None, days: int = L.HISTORY_DAYS) -> DataFrame:
+    """``form_ranges`` expanded: one row per (form date, map_id, league map)."""
+    games = map_sequence(d).drop("form_date")
+    return expanded(form_ranges(d, keys, days), games, ["map_id"]).select("form_date", "map_id", "form_match_id")
+
+
+def feat_append_maps(d: Domain, named: DataFrame | None = None, days: int = L.HISTORY_DAYS) -> DataFrame:
+    """(target, side, history match, map) -> the map's 17 features from the
+    history team's perspective, and its map form as a range (form_lo, form_hi]
+    of ``map_sequence`` at the target's date."""
+    hist = team_history(d, named, days).select("target_id", "side", "target_date", "history_id", "team_id", "team_against_id")
     mm = feat_match_maps(d).withColumnRenamed("match_id", "history_id")
-    j = hist.join(mm, ["history_id", "team_id", "team_against_id"], "inner")
-    return j.select("target_id", "side", "history_id", "map_id",
-                    F.col("target_date").alias("form_date"), *[c for c in mm.columns
-                                                               if c not in ("history_id", "team_id",
-                                                                            "team_against_id", "map_id")])
+    j = hist.join(mm, ["history_id", "team_id", "team_against_id"]).withColumnRenamed("target_date", "form_date")
+    form = form_ranges(d, j.select("form_date", "map_id"), days).withColumnsRenamed({"lo": "form_lo", "hi": "form_hi"})
+    return j.join(form, ["form_date", "map_id"]).drop("team_id", "team_against_id")
+
+
+MAP_FEATURES = ["team_def_score", "team_atk_score", "team_ot_score", "team_against_def_score", "team_against_atk_score",
+                "team_against_ot_score", "duration", "team_agents", "team_against_agents",
+                *[f"team_{n}" for n, _ in ROLE_COUNTS], *[f"team_against_{n}" for n, _ in ROLE_COUNTS]]
+FORM_FEATURES = ["team_1_def_score", "team_1_atk_score", "team_1_ot_score", "team_2_def_score", "team_2_atk_score",
+                 "team_2_ot_score", "duration", "team_1_agents", "team_2_agents",
+                 *[f"team_1_{n}" for n, _ in ROLE_COUNTS], *[f"team_2_{n}" for n, _ in ROLE_COUNTS]]
+
+
+FORM_PART = 1000  # games of a form that are nested in one row
+
+
+def training_document(d: Domain, named: DataFrame, days: int = L.HISTORY_DAYS) -> DataFrame:
+    """The training document of the ``named`` targets (a table like ``targets``).
+
+    One row per target, side and history match: the target's stage and tier, the
+    match's fields, and its maps nested (at most three) with their 17 features
+    and their map form as the range (form_lo, form_hi] at form_date; the form's
+    games are in ``training_forms``. History and maps are reduced to what the
+    named targets reach before anything is nested.
+    """
+    hist = team_history(d, named, days)
+    used = hist.select(F.col("history_id").alias("match_id")).distinct()
+    mm = feat_match_maps(d).join(used, "match_id", "left_semi").withColumnRenamed("match_id", "history_id")
+    j = hist.select("target_id", "side", "target_date", "history_id", "team_id").join(mm, ["history_id", "team_id"])
+    j = j.withColumnRenamed("target_date", "form_date")
+    form = form_ranges(d, j.select("form_date", "map_id"), days).withColumnsRenamed({"lo": "form_lo", "hi": "form_hi"})
+    one_map = F.struct("map_id", *MAP_FEATURES, "form_lo", "form_hi")
+    maps = (j.join(form, ["form_date", "map_id"])
+            .groupBy("target_id", "side", "history_id").agg(F.sort_array(F.collect_list(one_map)).alias("maps")))
+    rows = hist.join(maps, ["target_id", "side", "history_id"], "left")
+    return rows.select(
+        "target_id", "side", F.col("stage").alias("target_stage"), F.col("tier").alias("target_tier"), "history_id",
+        F.col("history_stage").alias("stage"), "team_score", "team_against_score", "team_rating", "team_against_rating",
+        F.col("target_date").alias("form_date"), "maps")
+
+
+def training_forms(d: Domain, document: DataFrame, days: int = L.HISTORY_DAYS) -> DataFrame:
+    """The map forms that a ``training_document`` refers to, once per (date, map):
+    the features of the league maps in the window, nested in the order of their
+    numbers, ``FORM_PART`` games a row (part 0, 1, ...)."""
+    keys = document.select("form_date", F.explode("maps").alias("m")).select("form_date", "m.map_id").distinct()
+    ranged = form_ranges(d, keys, days).withColumn("first", F.col("lo"))
+    games = expanded(ranged, map_sequence(d).drop("form_date"), ["map_id"])
+    league = feat_maps(d).withColumnRenamed("match_id", "form_match_id")
+    league = league.join(games.select("form_match_id", "map_id").distinct(), ["form_match_id", "map_id"], "left_semi")
+    game = F.struct("seq", F.col("form_match_id").alias("match_id"), *FORM_FEATURES)
+    part = F.floor((F.col("seq") - F.col("first") - 1) / FORM_PART).cast("int")
+    return (games.join(league, ["form_match_id", "map_id"]).withColumn("part", part)
+            .groupBy("form_date", "map_id", "part").agg(F.sort_array(F.collect_list(game)).alias("map_form")))
+
+
+def with_forms(document: DataFrame, forms: DataFrame) -> DataFrame:
+    """The document with every map's whole form nested in it, as one file for
+    one target has it. The form is repeated under each history map, so this is
+    for a few targets; for many, keep the two tables."""
+    whole = forms.groupBy("form_date", "map_id").agg(F.flatten(F.transform(
+        F.sort_array(F.collect_list(F.struct("part", "map_form"))), lambda x: x["map_form"])).alias("map_form"))
+    keys = ["target_id", "side", "history_id"]
+    each = document.select(*keys, "form_date", F.explode("maps").alias("m")).withColumn("map_id", F.col("m.map_id"))
+    nested = each.join(whole, ["form_date", "map_id"], "left").groupBy(*keys).agg(F.sort_array(F.collect_list(
+        F.struct(*[F.col(f"m.{f}").alias(f) for f in ["map_id", *MAP_FEATURES]], "map_form"))).alias("maps"))
+    return document.drop("maps").join(nested, keys, "left")
 
 
 def feat_dataset(d: Domain, days: int = L.HISTORY_DAYS) -> DataFrame:
@@ -353,7 +431,7 @@ def feat_dataset(d: Domain, days: int = L.HISTORY_DAYS) -> DataFrame:
     match) with the match fields kept by the reference and its maps nested
     (≤ 3 per match, so the array is bounded). ``map_form`` is referenced by
     (form_date, map_id) into ``map_form``."""
-    hist = team_history(d, days)
+    hist = team_history(d, days=days)
     fm = feat_match_maps(d)
     map_struct = F.struct(
         "map_id", "team_def_score", "team_atk_score", "team_ot_score",

@@ -132,37 +132,103 @@ th AS (SELECT tg.target_id, tg.side, tg.target_date, tg.stage AS target_stage, t
          AND h.date >= tg.target_date - INTERVAL 180 DAY AND h.date < tg.target_date)"""
 
 
+# Windows as ranges: per team (or map) the number of matches before D - 180
+# and before D; the sequence queries give the numbers' matches.
+RANGE_CTES = f"""{HISTORY_CTES},
+last_day AS (SELECT max(date) AS date FROM g_matches),
+tnum AS (SELECT team_id, match_id, date, row_number() OVER (PARTITION BY team_id ORDER BY date, match_id) AS seq FROM team_rows),
+tday AS (SELECT DISTINCT team_id, date FROM team_rows),
+trange AS (SELECT t.team_id, t.date, count(*) FILTER (WHERE h.date < t.date - INTERVAL 180 DAY) AS lo,
+             count(*) FILTER (WHERE h.date < t.date) AS hi
+           FROM tday t JOIN team_rows h ON h.team_id = t.team_id GROUP BY t.team_id, t.date),
+mgame AS (SELECT mm.match_id, mm.map_id, m.date FROM g_match_maps mm JOIN g_matches m ON m.id = mm.match_id),
+mday AS (SELECT map_id, date, count(*) AS n FROM mgame GROUP BY map_id, date),
+mnum AS (SELECT map_id, match_id, date, row_number() OVER (PARTITION BY map_id ORDER BY date, match_id) AS seq FROM mgame),
+mkey AS (SELECT map_id, date AS form_date FROM mday),
+mrange AS (SELECT k.map_id, k.form_date, coalesce(sum(x.n) FILTER (WHERE x.date < k.form_date - INTERVAL 180 DAY), 0)::BIGINT AS lo,
+             coalesce(sum(x.n) FILTER (WHERE x.date < k.form_date), 0)::BIGINT AS hi
+           FROM mkey k JOIN mday x ON x.map_id = k.map_id GROUP BY k.map_id, k.form_date)"""
+
+
 @query("join_history", sql="""
-SELECT target_id, side, history_id, CAST(history_date AS VARCHAR) AS history_date FROM th""", ctes=HISTORY_CTES)
+SELECT tg.target_id, tg.side, tg.team_id, r.lo, r.hi FROM tg JOIN trange r ON r.team_id = tg.team_id AND r.date = tg.target_date""",
+       ctes=RANGE_CTES)
 def join_history(spark, sf_dir):
+    """Every target side's window as a range of its team's match numbers."""
+    return FT.history_ranges(dom(spark, sf_dir)).select("target_id", "side", "team_id", "lo", "hi")
+
+
+@query("join_history_sequence", sql="SELECT team_id, seq, match_id AS history_id FROM tnum", ctes=RANGE_CTES)
+def join_history_sequence(spark, sf_dir):
+    return FT.team_sequence(dom(spark, sf_dir)).select("team_id", "seq", "history_id")
+
+
+@query("join_history_rows", sql="""
+SELECT target_id, side, history_id, CAST(history_date AS VARCHAR) AS history_date FROM th""", ctes=HISTORY_CTES)
+def join_history_rows(spark, sf_dir):
+    """The ranges of all targets expanded to their matches."""
     h = FT.team_history(dom(spark, sf_dir))
     return h.select("target_id", "side", "history_id", F.col("history_date").cast("string").alias("history_date"))
 
 
-@query("join_map_form", sql="""
+@query("join_map_form", sql="SELECT CAST(form_date AS VARCHAR) AS form_date, map_id, lo, hi FROM mrange", ctes=RANGE_CTES)
+def join_map_form(spark, sf_dir):
+    """The form window of every (date, map) as a range of the map's game numbers."""
+    return FT.form_ranges(dom(spark, sf_dir)).select(F.col("form_date").cast("string").alias("form_date"), "map_id", "lo", "hi")
+
+
+@query("join_map_form_sequence", sql="SELECT map_id, seq, match_id AS form_match_id FROM mnum", ctes=RANGE_CTES)
+def join_map_form_sequence(spark, sf_dir):
+    return FT.map_sequence(dom(spark, sf_dir)).select("map_id", "seq", "form_match_id")
+
+
+@query("join_map_form_rows", sql="""
 SELECT CAST(k.form_date AS VARCHAR) AS form_date, k.map_id, m.match_id AS form_match_id
 FROM (SELECT DISTINCT m.date AS form_date, mm.map_id FROM g_match_maps mm JOIN g_matches m ON m.id = mm.match_id) k
 JOIN (SELECT mm.match_id, mm.map_id, m.date FROM g_match_maps mm JOIN g_matches m ON m.id = mm.match_id) m
   ON m.map_id = k.map_id AND m.date >= k.form_date - INTERVAL 180 DAY AND m.date < k.form_date""")
-def join_map_form(spark, sf_dir):
+def join_map_form_rows(spark, sf_dir):
+    """The form ranges expanded to their league maps."""
     f = FT.map_form(dom(spark, sf_dir))
     return f.select(F.col("form_date").cast("string").alias("form_date"), "map_id", "form_match_id")
 
 
-# The full map features live in feat_match_maps (one row per match, map and
-# team); the append step is the association target x history match x map,
-# carried with the form key and the map's headline numbers.
-APPEND_SQL = """
+_FORM_CTES = f"{RANGE_CTES},\n{MATCH_MAPS_CTES},\nfm AS ({MATCH_MAPS_SQL})"
+
+# All features of the maps that the targets of the last day reach, with the form's range.
+APPEND_SQL = f"""
+SELECT th.target_id, th.side, th.history_id, fm.map_id, CAST(th.target_date AS VARCHAR) AS form_date,
+  {", ".join(f"fm.{f}" for f in FT.MAP_FEATURES)}, r.lo AS form_lo, r.hi AS form_hi
+FROM th JOIN last_day l ON th.target_date = l.date
+JOIN fm ON fm.match_id = th.history_id AND fm.team_id = th.team_id
+JOIN (SELECT k.map_id, coalesce(sum(x.n) FILTER (WHERE x.date < l.date - INTERVAL 180 DAY), 0)::BIGINT AS lo,
+        coalesce(sum(x.n) FILTER (WHERE x.date < l.date), 0)::BIGINT AS hi
+      FROM (SELECT DISTINCT map_id FROM mday) k JOIN mday x ON x.map_id = k.map_id, last_day l GROUP BY k.map_id) r
+  ON r.map_id = fm.map_id"""
+
+
+@query("feat_append_maps", sql=APPEND_SQL, ctes=_FORM_CTES)
+def feat_append_maps(spark, sf_dir):
+    """Map features and form ranges for the targets of the last day."""
+    d = dom(spark, sf_dir)
+    df = FT.feat_append_maps(d, FT.latest_targets(d))
+    return text_arrays(df.withColumn("form_date", F.col("form_date").cast("string")))
+
+
+APPEND_LONG_SQL = """
 SELECT th.target_id, th.side, th.history_id, mm.map_id, CAST(th.target_date AS VARCHAR) AS form_date,
   mm.team_def_score, mm.team_against_def_score, mm.duration
 FROM th JOIN fmm mm ON mm.match_id = th.history_id AND mm.team_id = th.team_id"""
-APPEND_CTES = f"{HISTORY_CTES},\n{FMM_CTE}"
+APPEND_LONG_CTES = f"{HISTORY_CTES},\n{FMM_CTE}"
 
 
-@query("feat_append_maps", sql=APPEND_SQL, ctes=APPEND_CTES)
-def feat_append_maps(spark, sf_dir):
-    df = FT.feat_append_maps(dom(spark, sf_dir))
-    return df.select("target_id", "side", "history_id", "map_id", F.col("form_date").cast("string").alias("form_date"),
+@query("feat_append_maps_long", sql=APPEND_LONG_SQL, ctes=APPEND_LONG_CTES)
+def feat_append_maps_long(spark, sf_dir):
+    """Headline numbers of the maps that all targets reach."""
+    d = dom(spark, sf_dir)
+    maps = FT.feat_match_maps(d).withColumnRenamed("match_id", "history_id")
+    df = FT.team_history(d).join(maps, ["history_id", "team_id", "team_against_id"])
+    return df.select("target_id", "side", "history_id", "map_id", F.col("target_date").cast("string").alias("form_date"),
                      "team_def_score", "team_against_def_score", "duration")
 
 
@@ -198,14 +264,88 @@ DATASET_CTES = (f"{HISTORY_CTES},\n{MATCH_MAPS_CTES},\nfm AS ({MATCH_MAPS_SQL}),
                 f"FROM fm GROUP BY match_id, team_id)")
 
 
-@query("feat_dataset", sql=DATASET_SQL, ctes=DATASET_CTES)
-def feat_dataset(spark, sf_dir):
+@query("feat_dataset_long", sql=DATASET_SQL, ctes=DATASET_CTES)
+def feat_dataset_long(spark, sf_dir):
+    """History of all targets with their maps nested; forms by key."""
     df = FT.feat_dataset(dom(spark, sf_dir))
     return df.select(*[c for c in df.columns if c not in ("maps", "form_date")],
                      F.col("form_date").cast("string").alias("form_date"),
                      _maps_text_spark("maps").alias("maps"))
 
 
+def _record_text(row, first: str, fields: list[str]):
+    """A nested record as text: fields by |, agents by comma."""
+    parts = [F.coalesce(row[first].cast("string"), F.lit(""))]
+    for f in fields:
+        parts.append(F.coalesce(F.array_join(F.transform(row[f], lambda x: x.cast("string")), ","), F.lit(""))
+                     if f.endswith("agents") else F.coalesce(row[f].cast("string"), F.lit("")))
+    return F.concat_ws("|", *parts)
+
+
+def document_text(doc):
+    """``training_document`` with its maps as text, one after another by ;"""
+    fields = [*FT.MAP_FEATURES, "form_lo", "form_hi"]
+    return doc.select(*[c for c in doc.columns if c not in ("maps", "form_date")],
+                      F.col("form_date").cast("string").alias("form_date"),
+                      F.array_join(F.transform("maps", lambda m: _record_text(m, "map_id", fields)), ";").alias("maps"))
+
+
+def forms_text(forms):
+    """``training_forms`` with its games as text, one after another by a slash."""
+    games = F.transform("map_form", lambda g: _record_text(g, "seq", ["match_id", *FT.FORM_FEATURES]))
+    return forms.select(F.col("form_date").cast("string").alias("form_date"), "map_id", "part",
+                        F.array_join(games, "/").alias("map_form"))
+
+
+def _record_sql(alias: str, first: str, fields: list[str]) -> str:
+    return "concat_ws('|', " + ", ".join(f"coalesce(CAST({alias}.{f} AS VARCHAR), '')" for f in [first, *fields]) + ")"
+
+
+DOCUMENT_CTES = f"""{_FORM_CTES},
+lastrange AS (SELECT k.map_id, coalesce(sum(x.n) FILTER (WHERE x.date < l.date - INTERVAL 180 DAY), 0)::BIGINT AS form_lo,
+                coalesce(sum(x.n) FILTER (WHERE x.date < l.date), 0)::BIGINT AS form_hi
+              FROM (SELECT DISTINCT map_id FROM mday) k JOIN mday x ON x.map_id = k.map_id, last_day l GROUP BY k.map_id),
+lasthist AS (SELECT th.* FROM th JOIN last_day l ON th.target_date = l.date),
+docrow AS (SELECT fm.*, r.form_lo, r.form_hi FROM fm JOIN lastrange r USING (map_id)),
+docmaps AS (SELECT match_id, team_id, string_agg({_record_sql("docrow", "map_id", [*FT.MAP_FEATURES, "form_lo", "form_hi"])},
+              ';' ORDER BY map_id) AS maps
+            FROM docrow WHERE match_id IN (SELECT history_id FROM lasthist) GROUP BY match_id, team_id),
+fcomp AS (SELECT match_id, team_id, array_to_string(list_sort(list(DISTINCT agent_id)), ',') AS agents,
+            {", ".join(f"count(*) FILTER (WHERE role = '{r}') AS {n}" for n, r in FT.ROLE_COUNTS)}
+          FROM pr WHERE side = 'def' GROUP BY match_id, team_id),
+fmaps AS (SELECT mm.match_id, mm.map_id, {", ".join(f"mm.{f}" for f in FT.FORM_FEATURES[:7])},
+            c1.agents AS team_1_agents, c2.agents AS team_2_agents,
+            {", ".join(f"coalesce(c{i}.{n}, 0) AS team_{i}_{n}" for i in (1, 2) for n in _ROLE_NAMES)}
+          FROM g_match_maps mm LEFT JOIN fcomp c1 ON c1.match_id = mm.match_id AND c1.team_id = mm.team_1_id
+          LEFT JOIN fcomp c2 ON c2.match_id = mm.match_id AND c2.team_id = mm.team_2_id),
+formrow AS (SELECT f.*, n.seq, (n.seq - r.form_lo - 1) // {FT.FORM_PART} AS part FROM lastrange r
+            JOIN mnum n ON n.map_id = r.map_id AND n.seq > r.form_lo AND n.seq <= r.form_hi
+            JOIN fmaps f ON f.match_id = n.match_id AND f.map_id = n.map_id)"""
+DOCUMENT_SQL = """
+SELECT th.target_id, th.side, th.target_stage, th.target_tier, th.history_id, th.stage, th.team_score, th.team_against_score,
+  th.team_rating, th.team_against_rating, CAST(th.target_date AS VARCHAR) AS form_date, dm.maps
+FROM lasthist th LEFT JOIN docmaps dm ON dm.match_id = th.history_id AND dm.team_id = th.team_id"""
+FORMS_SQL = f"""
+SELECT CAST(l.date AS VARCHAR) AS form_date, map_id, part::INT AS part,
+  string_agg({_record_sql("formrow", "seq", ["match_id", *FT.FORM_FEATURES])}, '/' ORDER BY seq) AS map_form
+FROM formrow, last_day l WHERE map_id IN (SELECT fm.map_id FROM fm JOIN lasthist th ON th.history_id = fm.match_id AND th.team_id = fm.team_id)
+GROUP BY l.date, map_id, part"""
+
+
+@query("feat_dataset", sql=DOCUMENT_SQL, ctes=DOCUMENT_CTES)
+def feat_dataset(spark, sf_dir):
+    """The training document of the targets of the last day: their history with its maps."""
+    d = dom(spark, sf_dir)
+    return document_text(FT.training_document(d, FT.latest_targets(d)))
+
+
+@query("feat_dataset_forms", sql=FORMS_SQL, ctes=DOCUMENT_CTES)
+def feat_dataset_forms(spark, sf_dir):
+    """The map forms of that document."""
+    d = dom(spark, sf_dir)
+    return forms_text(FT.training_forms(d, FT.training_document(d, FT.latest_targets(d))))
+
+
 # feat_maps rows that make up each (date, map) form, joined to their features.
 @query("feat_map_form", sql=f"""
 SELECT CAST(k.form_date AS VARCHAR) AS form_date, k.map_id, f.match_id AS form_match_id,

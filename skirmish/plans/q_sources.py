@@ -13,7 +13,9 @@ from skirmish.functions import html_cells
 from skirmish.functions import registry as REG
 from skirmish.functions import rules as R
 from skirmish.operators import sets as SO
+from skirmish.plans import features as FT
 from skirmish.plans import ingest as I
+from skirmish.plans import q_features as QF
 from skirmish.plans import q_ingest as QI
 from skirmish.plans import rules_sql as S
 from skirmish.plans.registry import dom, query
@@ -141,10 +143,38 @@ def snk_csv(spark, sf_dir):
     return spark.read.schema(schema).option("header", True).csv(path)
 
 
-@query("snk_json", sql="""
+@query("snk_json", sql=f"""
+WITH doc AS ({QF.DOCUMENT_SQL}), form AS ({QF.FORMS_SQL})
+SELECT 'match' AS kind, form_date, target_id, side, history_id, NULL::BIGINT AS map_id, NULL::INT AS part,
+  concat_ws('#', target_stage, coalesce(target_tier::VARCHAR, ''), stage, team_score, team_against_score,
+    coalesce(team_rating::VARCHAR, ''), coalesce(team_against_rating::VARCHAR, ''), coalesce(maps, '')) AS body FROM doc
+UNION ALL
+SELECT 'form', form_date, NULL, NULL, NULL, map_id, part, map_form FROM form""", ctes=QF.DOCUMENT_CTES)
+def snk_json(spark, sf_dir):
+    """The training document of the targets of the last day and the forms it
+    refers to, written as JSON lines (match with its maps, form with its games)
+    and read back with their schemas."""
+    d = dom(spark, sf_dir)
+    doc = FT.training_document(d, FT.latest_targets(d))
+    path = scratch_dir(spark, "json")
+    IO.write_json(doc, f"{path}/matches")
+    doc = spark.read.schema(doc.schema).json(f"{path}/matches")
+    forms = FT.training_forms(d, doc)
+    IO.write_json(forms, f"{path}/forms")
+    rows = QF.document_text(doc)
+    text = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in (
+        "target_stage", "target_tier", "stage", "team_score", "team_against_score", "team_rating", "team_against_rating", "maps")]
+    rows = rows.select(F.lit("match").alias("kind"), "form_date", "target_id", "side", "history_id",
+                       F.lit(None).cast("long").alias("map_id"), F.lit(None).cast("int").alias("part"), F.concat_ws("#", *text).alias("body"))
+    games = QF.forms_text(spark.read.schema(forms.schema).json(f"{path}/forms"))
+    return rows.unionByName(games.select(F.lit("form").alias("kind"), "form_date", "map_id", "part", F.col("map_form").alias("body")),
+                            allowMissingColumns=True)
+
+
+@query("snk_json_maps", sql="""
 SELECT match_id, string_agg(CAST(map_id AS VARCHAR) || ':' || CAST(team_1_def_score AS VARCHAR), ';' ORDER BY map_id)
   AS maps FROM g_match_maps GROUP BY match_id""")
-def snk_json(spark, sf_dir):
+def snk_json_maps(spark, sf_dir):
     """Nested per-match documents (maps array) written as JSON lines and read
     back with an explicit schema."""
     mm = dom(spark, sf_dir).match_maps
