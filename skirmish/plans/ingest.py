@@ -370,3 +370,11 @@ def job_listing(d: Domain) -> DataFrame:
     carried = cells.withColumn("header", F.last(F.when(F.col("kind") == "date", F.col("txt")), ignorenulls=True).over(w))
     links = carried.filter(F.col("kind") == "link")
     return links.select(F.col("txt").alias("url"), R.listing_date(F.col("header")).alias("date"))
+
+
+def pair_cells(a: DataFrame, b: DataFrame, on: list[str], a_name: str, b_name: str) -> DataFrame:
+    """Full pairing of two positioned fragments; ``missing`` names the fragment
+    that lacks the cell (null: both have it)."""
+    x, y = a.withColumn("_a", F.lit(True)), b.withColumn("_b", F.lit(True))
+    missing = F.when(F.col("_a").isNull(), a_name).when(F.col("_b").isNull(), b_name)
+    return x.join(y, on, "full").withColumn("missing", missing).drop("_a", "_b")

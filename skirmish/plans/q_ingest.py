@@ -140,18 +140,28 @@ def agg_error_summary(spark, sf_dir):
     return AG.error_summary(v)
 
 
-@query("join_positional", sql="""
-SELECT o.match_id, o.map_id, o.pos, o.win_img, e.t1_bank_txt
-FROM (SELECT match_id, map_id, round_no - 1 AS pos, win_img FROM g_raw_rounds) o
-LEFT JOIN (SELECT match_id, map_id, round_no - 1 AS pos, t1_bank_txt FROM g_raw_rounds) e
-  ON e.match_id = o.match_id AND e.map_id = o.map_id AND e.pos = o.pos""")
+_PAIRED_SQL = """
+SELECT coalesce(o.match_id, e.match_id) AS match_id, coalesce(o.map_id, e.map_id) AS map_id, coalesce(o.pos, e.pos)::INT AS pos,
+  o.win_class, e.t1_bank_txt, CASE WHEN o.pos IS NULL THEN 'overview' WHEN e.pos IS NULL THEN 'economy' END AS missing
+FROM g_raw_overview_cells o FULL JOIN g_raw_economy_cells e ON e.match_id = o.match_id AND e.map_id = o.map_id AND e.pos = o.pos"""
+
+
+@query("join_positional", sql=_PAIRED_SQL)
 def join_positional(spark, sf_dir):
-    """The i-th overview cell with the i-th economy cell: a left join on
-    (match, map, position) instead of zipping two lists."""
-    r = dom(spark, sf_dir).raw_rounds
-    o = r.select("match_id", "map_id", (F.col("round_no") - 1).alias("pos"), "win_img")
-    e = r.select("match_id", "map_id", (F.col("round_no") - 1).alias("pos"), "t1_bank_txt")
-    return o.join(e, ["match_id", "map_id", "pos"], "left")
+    """The i-th overview cell with the i-th economy cell of a map, two
+    fragments of their own length: a full pairing on (match, map, position), so
+    a cell that either fragment lacks is named and not shifted (ledger Q21)."""
+    d = dom(spark, sf_dir)
+    return I.pair_cells(d.raw_overview_cells, d.raw_economy_cells, ["match_id", "map_id", "pos"], "overview", "economy")
+
+
+@query("join_positional_violations", sql=f"""
+SELECT match_id, map_id, missing, count(*) AS n_cells, min(pos) AS first_pos FROM ({_PAIRED_SQL}) WHERE missing IS NOT NULL
+GROUP BY match_id, map_id, missing""")
+def join_positional_violations(spark, sf_dir):
+    """Per map and fragment: how many cells it lacks, and the first of them."""
+    paired = join_positional(spark, sf_dir).where("missing is not null")
+    return paired.groupBy("match_id", "map_id", "missing").agg(F.count("*").alias("n_cells"), F.min("pos").alias("first_pos"))
 
 
 # ------------------------------------------------------------------ player stats
@@ -275,11 +285,11 @@ DUEL_GRID_SQL = """dg AS (
 
 
 @query("join_duel_grid", sql="""
-SELECT match_id, map_id, i, j, row_name, col_name, team_1_player_id, team_2_player_id, kills_txt FROM dg""",
+SELECT match_id, map_id, i, j, team_1_player_id, team_2_player_id, kills_txt FROM dg""",
        ctes=DUEL_GRID_SQL)
 def join_duel_grid(spark, sf_dir):
     return I.join_duel_grid(dom(spark, sf_dir)).select(
-        "match_id", "map_id", "i", "j", "row_name", "col_name", "team_1_player_id", "team_2_player_id", "kills_txt")
+        "match_id", "map_id", "i", "j", "team_1_player_id", "team_2_player_id", "kills_txt")
 
 
 def _cell_sql(col, idx):

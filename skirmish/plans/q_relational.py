@@ -300,10 +300,12 @@ def agg_round_counts(spark, sf_dir):
 
 
 @query("agg_cardinality_check", sql="""
-SELECT match_id, map_id, team_id, player_id, count(*) AS n_rows FROM g_player_overview_stats
+SELECT match_id, map_id, team_id, player_id, count(*) AS n_rows FROM g_raw_side_rows
 GROUP BY match_id, map_id, team_id, player_id HAVING count(*) != 2""")
 def agg_cardinality_check(spark, sf_dir):
-    return AG.cardinality_violations(dom(spark, sf_dir).player_overview_stats, FT.PLAYER_KEYS, 2)
+    """Players of a map without exactly one row per side, among side rows as
+    they arrive: some are lost, some come twice."""
+    return AG.cardinality_violations(dom(spark, sf_dir).raw_side_rows, FT.PLAYER_KEYS, 2)
 
 
 def _pf(cols: list[str]):

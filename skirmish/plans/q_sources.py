@@ -26,8 +26,9 @@ from skirmish.sources import seeds as SD
 from skirmish.streaming import incremental as INC
 from skirmish.streaming.land import land_files, run_landing_stream
 
+FIRST_RUN = "1992-01-02"    # matches before this date are what a first run has stored
 CUT = "1998-01-01"          # matches before this date are "loaded"
-QUEUE_DAYS = 30             # the queue holds listing rows of the 30 days after the cut
+LAST_CRAWL = "1998-05-01"   # listing rows from the cut to this date are queued, later ones are new
 
 _MATCH_COLS_SQL = ("id, url, CAST(date AS VARCHAR) AS date, tournament_id, stage, team_1_id, team_2_id, "
                    "team_1_score, team_2_score, team_1_rating, team_2_rating")
@@ -105,11 +106,13 @@ def src_pages(spark, sf_dir):
 
 @query("scan_dims", sql="""
 SELECT 'map' AS kind, CAST(id AS BIGINT) AS id, name FROM g_maps
-UNION ALL SELECT 'agent', CAST(id AS BIGINT), name FROM g_agents""")
+UNION ALL SELECT 'agent', CAST(id AS BIGINT), name FROM g_agents
+UNION ALL SELECT 'region', CAST(r_regionkey AS BIGINT), r_name FROM region""")
 def scan_dims(spark, sf_dir):
     d = dom(spark, sf_dir)
     return d.maps.select(F.lit("map").alias("kind"), F.col("id").cast("bigint").alias("id"), "name").unionByName(
-        d.agents.select(F.lit("agent").alias("kind"), F.col("id").cast("bigint").alias("id"), "name"))
+        d.agents.select(F.lit("agent").alias("kind"), F.col("id").cast("bigint").alias("id"), "name")).unionByName(
+        d.t.region.select(F.lit("region").alias("kind"), F.col("r_regionkey").cast("bigint").alias("id"), F.col("r_name").alias("name")))
 
 
 @query("src_geo_csv", sql="SELECT n_name AS country, r_name AS continent FROM nation JOIN region ON r_regionkey = n_regionkey")
@@ -194,7 +197,7 @@ _LISTING_CTE = """lst AS (
       OVER (PARTITION BY page_no ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS header
     FROM g_raw_listing) WHERE kind = 'link'),
 loaded AS (SELECT id, url, date FROM g_matches WHERE date < DATE '""" + CUT + """'),
-queue AS (SELECT url, date FROM lst WHERE date >= DATE '""" + CUT + """' AND date < DATE '""" + CUT + f"""' + INTERVAL {QUEUE_DAYS} DAY)"""
+queue AS (SELECT url, date FROM lst WHERE date >= DATE '""" + CUT + """' AND date < DATE '""" + LAST_CRAWL + """')"""
 
 
 def _queue_parts(spark, sf_dir):
@@ -202,23 +205,23 @@ def _queue_parts(spark, sf_dir):
     listing = I.job_listing(d)
     cut = F.lit(CUT).cast("date")
     loaded = d.matches.filter(F.col("date") < cut).select("id", "url", "date")
-    queue = listing.filter((F.col("date") >= cut) & (F.col("date") < F.date_add(cut, QUEUE_DAYS)))
+    queue = listing.filter((F.col("date") >= cut) & (F.col("date") < F.lit(LAST_CRAWL).cast("date")))
     return d, listing, loaded, queue
 
 
 @query("snk_queue_delete", sql="""
-SELECT url, CAST(date AS VARCHAR) AS date FROM lst WHERE date >= DATE '""" + CUT + """' - INTERVAL 30 DAY
-  AND url NOT IN (SELECT url FROM loaded)""", ctes=_LISTING_CTE)
+SELECT url, CAST(date AS VARCHAR) AS date FROM lst WHERE url NOT IN (SELECT url FROM loaded)""", ctes=_LISTING_CTE)
 def snk_queue_delete(spark, sf_dir):
+    """The whole listing as a queue, less what is loaded."""
     _, listing, loaded, _ = _queue_parts(spark, sf_dir)
-    q = listing.filter(F.col("date") >= F.date_sub(F.lit(CUT).cast("date"), 30))
-    return _date_str(IO.queue_delete(q, loaded, "url"))
+    return _date_str(IO.queue_delete(listing, loaded, "url"))
 
 
-@query("sort_queue", sql="SELECT url, CAST(date AS VARCHAR) AS date FROM queue ORDER BY date DESC", ctes=_LISTING_CTE)
+@query("sort_queue", sql="SELECT url, CAST(date AS VARCHAR) AS date FROM lst ORDER BY lst.date DESC, url", ctes=_LISTING_CTE)
 def sort_queue(spark, sf_dir):
-    _, _, _, queue = _queue_parts(spark, sf_dir)
-    return _date_str(queue.orderBy(F.desc("date"), "url"))
+    """The whole listing, newest first."""
+    _, listing, _, _ = _queue_parts(spark, sf_dir)
+    return _date_str(listing.select("url", "date").orderBy(F.desc("date"), "url"))
 
 
 @query("inc_high_mark", sql="""
@@ -240,48 +243,45 @@ SELECT url, CAST(min(date) AS VARCHAR) AS date FROM (
 @query("inc_frontier", sql=_FRONTIER_SQL, ctes=_LISTING_CTE)
 def inc_frontier(spark, sf_dir):
     _, listing, loaded, queue = _queue_parts(spark, sf_dir)
-    limit = INC.high_mark(queue, loaded, "2000-01-01").first()["limit_date"]   # one scalar
-    return _date_str(INC.frontier(listing, queue, loaded, F.lit(limit)))
+    return _date_str(INC.frontier(listing, queue, loaded, INC.high_mark(queue, loaded, "2000-01-01")))
 
 
 @query("set_append", sql="""
 SELECT url, CAST(date AS VARCHAR) AS date FROM queue
-UNION ALL SELECT url, CAST(date AS VARCHAR) FROM lst WHERE date >= DATE '""" + CUT + """' + INTERVAL 30 DAY""",
+UNION ALL SELECT url, CAST(date AS VARCHAR) FROM lst WHERE date >= DATE '""" + LAST_CRAWL + """'""",
        ctes=_LISTING_CTE)
 def set_append(spark, sf_dir):
     _, listing, _, queue = _queue_parts(spark, sf_dir)
-    new = listing.filter(F.col("date") >= F.date_add(F.lit(CUT).cast("date"), QUEUE_DAYS))
+    new = listing.filter(F.col("date") >= F.lit(LAST_CRAWL).cast("date"))
     return _date_str(SO.set_append(queue, new))
 
 
 @query("inc_skip_loaded", sql=f"""
-SELECT {S.url_id('url')} AS id, url FROM lst WHERE date >= DATE '{CUT}' - INTERVAL 30 DAY
-  AND date < DATE '{CUT}' + INTERVAL 30 DAY AND {S.url_id('url')} NOT IN (SELECT id FROM loaded)""", ctes=_LISTING_CTE)
+SELECT {S.url_id('url')} AS id, url FROM lst WHERE {S.url_id('url')} NOT IN (SELECT id FROM loaded)""", ctes=_LISTING_CTE)
 def inc_skip_loaded(spark, sf_dir):
+    """All listing rows against all loaded matches."""
     _, listing, loaded, _ = _queue_parts(spark, sf_dir)
-    cut = F.lit(CUT).cast("date")
-    q = listing.filter((F.col("date") >= F.date_sub(cut, 30)) & (F.col("date") < F.date_add(cut, 30)))
-    return INC.skip_loaded(q, loaded.select("id")).select("id", "url")
+    return INC.skip_loaded(listing, loaded.select("id")).select("id", "url")
 
 
 @query("inc_new_dims", sql=f"""
-SELECT 'team' AS kind, t.id FROM (SELECT DISTINCT team_1_id AS id FROM g_matches WHERE date >= DATE '{CUT}'
-  UNION SELECT DISTINCT team_2_id FROM g_matches WHERE date >= DATE '{CUT}') t
-  WHERE t.id NOT IN (SELECT team_1_id FROM g_matches WHERE date < DATE '{CUT}')
-    AND t.id NOT IN (SELECT team_2_id FROM g_matches WHERE date < DATE '{CUT}')
+SELECT 'team' AS kind, t.id FROM (SELECT DISTINCT team_1_id AS id FROM g_matches WHERE date >= DATE '{FIRST_RUN}'
+  UNION SELECT DISTINCT team_2_id FROM g_matches WHERE date >= DATE '{FIRST_RUN}') t
+  WHERE t.id NOT IN (SELECT team_1_id FROM g_matches WHERE date < DATE '{FIRST_RUN}')
+    AND t.id NOT IN (SELECT team_2_id FROM g_matches WHERE date < DATE '{FIRST_RUN}')
 UNION ALL
-SELECT 'tournament', t.id FROM (SELECT DISTINCT tournament_id AS id FROM g_matches WHERE date >= DATE '{CUT}') t
-  WHERE t.id NOT IN (SELECT tournament_id FROM g_matches WHERE date < DATE '{CUT}')
+SELECT 'tournament', t.id FROM (SELECT DISTINCT tournament_id AS id FROM g_matches WHERE date >= DATE '{FIRST_RUN}') t
+  WHERE t.id NOT IN (SELECT tournament_id FROM g_matches WHERE date < DATE '{FIRST_RUN}')
 UNION ALL
 SELECT 'player', t.id FROM (SELECT DISTINCT p.player_id AS id FROM g_player_overview_stats p JOIN g_matches m ON m.id = p.match_id
-  WHERE m.date >= DATE '{CUT}') t
+  WHERE m.date >= DATE '{FIRST_RUN}') t
   WHERE t.id NOT IN (SELECT p.player_id FROM g_player_overview_stats p JOIN g_matches m ON m.id = p.match_id
-                     WHERE m.date < DATE '{CUT}')""")
+                     WHERE m.date < DATE '{FIRST_RUN}')""")
 def inc_new_dims(spark, sf_dir):
-    """Teams, tournaments and players first referenced after the cut: the
-    ones a run after the cut has to load (anti join against what is stored)."""
+    """Teams, tournaments and players first referenced after the first run: the
+    ones the next run has to load (anti join against what is stored)."""
     d = dom(spark, sf_dir)
-    cut = F.lit(CUT).cast("date")
+    cut = F.lit(FIRST_RUN).cast("date")
     m = d.matches
     new_m, old_m = m.filter(F.col("date") >= cut), m.filter(F.col("date") < cut)
 
@@ -313,8 +313,7 @@ def inc_ttl_latest(spark, sf_dir):
     """Events as key/value writes with a TTL per type ('error' = delete):
     the live value of every key at the latest event time."""
     ev = dom(spark, sf_dir).t.events
-    now = ev.agg(F.max("ts")).first()[0]          # one scalar: "now" of the log
-    live = INC.ttl_latest(INC.event_writes(ev), F.lit(now))
+    live = INC.ttl_latest(INC.event_writes(ev), ev.agg(F.max("ts").alias("now")))
     return live.select("key", "value",
                        F.unix_micros(F.col("written_at").cast("timestamp")).alias("written_us"),
                        F.unix_micros(F.col("expires_at").cast("timestamp")).alias("expires_us"))

@@ -104,6 +104,16 @@ SELECT match_id, map_id, round_no, team_1_id, team_2_id,
   CASE WHEN match_id % 50 = 0 AND round_no = 5 THEN 'n/a' ELSE concat(CAST(floor(team_1_bank / 1000) AS INT), '.', CAST((team_1_bank % 1000) / 100 AS INT), 'k') END AS t1_bank_txt,
   concat(CAST(floor(team_2_bank / 1000) AS INT), '.', CAST((team_2_bank % 1000) / 100 AS INT), 'k') AS t2_bank_txt
 FROM g_round_stats""",
+    # Two fragments of a map page with the cells each of them lacks.
+    "g_raw_overview_cells": """
+SELECT match_id, map_id, round_no - 1 AS pos, win_class FROM g_raw_rounds WHERE (match_id + map_id + round_no) % 43 <> 0""",
+    "g_raw_economy_cells": """
+SELECT match_id, map_id, round_no - 1 AS pos, t1_bank_txt FROM g_raw_rounds WHERE (match_id * 3 + map_id + round_no) % 41 <> 0""",
+    # Side rows as they arrive: an atk row in 97 is lost, a def row in 101 comes twice.
+    "g_raw_side_rows": """
+SELECT match_id, map_id, team_id, player_id, side FROM g_player_overview_stats WHERE NOT (side = 'atk' AND (match_id + player_id) % 97 = 0)
+UNION ALL
+SELECT match_id, map_id, team_id, player_id, side FROM g_player_overview_stats WHERE side = 'def' AND (match_id + player_id) % 101 = 0""",
     "g_raw_player_stats": f"""
 SELECT match_id, map_id, team_id, player_id,
   CASE WHEN match_id % 97 = 0 AND player_id % 10 = 3 THEN 'agent_new' ELSE concat('agent_', max(agent_id) - 1) END AS agent_name,

@@ -231,6 +231,27 @@ class Domain:
              .alias("duration_txt"),
         )
 
+    @cached_property
+    def raw_overview_cells(self) -> DataFrame:
+        """Overview fragment of each map: one cell a round, some lacking."""
+        r = self.raw_rounds.where((F.col("match_id") + F.col("map_id") + F.col("round_no")) % 43 != 0)
+        return r.select("match_id", "map_id", (F.col("round_no") - 1).alias("pos"), "win_class")
+
+    @cached_property
+    def raw_economy_cells(self) -> DataFrame:
+        """Economy fragment of each map: one cell a round, others lacking."""
+        r = self.raw_rounds.where((F.col("match_id") * 3 + F.col("map_id") + F.col("round_no")) % 41 != 0)
+        return r.select("match_id", "map_id", (F.col("round_no") - 1).alias("pos"), "t1_bank_txt")
+
+    @cached_property
+    def raw_side_rows(self) -> DataFrame:
+        """Player side rows as they arrive: an atk row in 97 is lost, a def row in 101 comes twice."""
+        p = self.player_overview_stats.select("match_id", "map_id", "team_id", "player_id", "side")
+        key = F.col("match_id") + F.col("player_id")
+        lost = (F.col("side") == "atk") & (key % 97 == 0)
+        copies = F.when((F.col("side") == "def") & (key % 101 == 0), 2).otherwise(1)
+        return p.where(~lost).withColumn("_n", F.explode(F.sequence(F.lit(1), copies))).drop("_n")
+
     @cached_property
     def raw_rounds(self) -> DataFrame:
         r = self.round_stats
