@@ -67,13 +67,14 @@ def job_match_maps(d: Domain) -> DataFrame:
 
 
 # ------------------------------------------------------------------ rounds
-def parse_rounds(d: Domain, pistol_rounds=R.PISTOL_ROUNDS) -> DataFrame:
-    """Raw round cells -> typed round rows. Text cells are trimmed once in a
+def parse_rounds(d: Domain, pistol_rounds=R.PISTOL_ROUNDS, raw: tuple[str, ...] = ()) -> DataFrame:
+    """Raw round cells -> typed round rows, with the columns ``raw`` as they
+    arrived in front of them as raw_<name>. Text cells are trimmed once in a
     first projection so every rule works on clean columns (keeps the
     generated code small and each trim evaluated once)."""
     text = ["t1_win_class", "win_class", "win_img", "t1_buy_txt", "t2_buy_txt", "t1_bank_txt", "t2_bank_txt"]
     r = d.raw_rounds.select("match_id", "map_id", "round_no", "team_1_id", "team_2_id",
-                            *[R.strip(F.col(c)).alias(c) for c in text])
+                            *[R.strip(F.col(c)).alias(c) for c in text], *[F.col(c).alias(f"raw_{c}") for c in raw])
     t1, t2, rn = F.col("team_1_id"), F.col("team_2_id"), F.col("round_no")
     won = F.when(F.col("t1_win_class") == "", t2).otherwise(t1)       # f_team_won on trimmed text
     r = r.withColumn("team_won", won)
@@ -85,7 +86,7 @@ def parse_rounds(d: Domain, pistol_rounds=R.PISTOL_ROUNDS) -> DataFrame:
         R.bank(F.col("t1_bank_txt")).alias("team_1_bank"),
         R.bank(F.col("t2_bank_txt")).alias("team_2_bank"),
         "team_won",
-        R.won_method(F.col("win_img")).alias("won_method"),
+        R.won_method(F.col("win_img")).alias("won_method"), *[f"raw_{c}" for c in raw],
     )
 
 
@@ -108,14 +109,18 @@ def job_rounds(d: Domain) -> tuple[DataFrame, DataFrame]:
 
 def round_violations(d: Domain) -> DataFrame:
     """One row per failed field of a round, with the raw text (quarantine)."""
-    p = parse_rounds(d)
-    r = d.raw_rounds.select("match_id", "map_id", "round_no", "t1_bank_txt", "t2_bank_txt", "win_img")
-    j = p.join(r, ["match_id", "map_id", "round_no"])
+    p = parse_rounds(d, raw=("t1_bank_txt",)).withColumnRenamed("raw_t1_bank_txt", "t1_bank_txt")
     checks = F.array(*[F.when(F.col(c).isNull(), F.lit(c)) for c in ROUND_FIELDS])
-    v = j.select("match_id", "map_id", "round_no", "t1_bank_txt", F.explode(checks).alias("rule"))
+    v = p.select("match_id", "map_id", "round_no", "t1_bank_txt", F.explode(checks).alias("rule"))
     return v.filter(F.col("rule").isNotNull())
 
 
+def round_rejects(d: Domain) -> DataFrame:
+    """Rounds of rejected maps, parsed and with their raw text."""
+    parsed = parse_rounds(d, raw=("t1_bank_txt", "t2_bank_txt", "win_img"))
+    return all_or_nothing(parsed, ["match_id", "map_id"], round_row_ok())[1]
+
+
 # ------------------------------------------------------------------ player stats
 def side_rounds_of_team(d: Domain, ot_mode: str = "fixed") -> DataFrame:
     """(match, map, team) -> def/atk rounds from the map scores (ledger Q9)."""
@@ -201,13 +206,16 @@ def _cell_part(c: Column, idx: int) -> Column:
 DUEL_CELLS = ("kills", "first_kills", "op_kills")
 
 
-def job_duels(d: Domain) -> DataFrame:
-    """Cells are trimmed and split once into arrays, then each number is read
-    from its array (blank cell -> 0, f_default_blank). An unknown name or a
-    cell that cannot be read rejects the duels of its map (25 rows)."""
+def split_duels(d: Domain) -> tuple[DataFrame, DataFrame]:
+    """(duels, rejected cells). Cells are trimmed and split once into arrays,
+    then each number is read from its array (blank cell -> 0,
+    f_default_blank). An unknown name or a cell that cannot be read rejects the
+    duels of its map (25 rows); rejected cells keep their raw text and what
+    failed in them."""
     j = join_duel_grid(d)
     keys = ["match_id", "map_id", "team_1_player_id", "team_2_player_id"]
-    arrays = j.select(*keys, *[F.split(R.strip(F.col(f"{c}_txt")), r"\s+").alias(c) for c in DUEL_CELLS])
+    raw = F.concat_ws("|", F.col("i"), F.col("j"), "row_name", "col_name", *[f"{c}_txt" for c in DUEL_CELLS])
+    arrays = j.select(*keys, "i", "j", raw.alias("raw"), *[F.split(R.strip(F.col(f"{c}_txt")), r"\s+").alias(c) for c in DUEL_CELLS])
 
     def part(c: str, idx: int) -> Column:
         arr = F.col(c)
@@ -218,36 +226,78 @@ def job_duels(d: Domain) -> DataFrame:
     for c in DUEL_CELLS:
         out += [part(c, 0).alias(f"team_1_player_{c}_vs_team_2_player"),
                 part(c, 1).alias(f"team_2_player_{c}_vs_team_1_player")]
-    parsed = arrays.select(*out)
-    sound = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in parsed.columns])
-    return all_or_nothing(parsed, ["match_id", "map_id"], sound)[0]
+    parsed = arrays.select(*out, "i", "j", "raw")
+    fields = [c for c in parsed.columns if c not in ("match_id", "map_id", "i", "j", "raw")]
+    sound = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in fields])
+    clean, bad = all_or_nothing(parsed, ["match_id", "map_id"], sound)
+    return clean.drop("i", "j", "raw"), bad.select("match_id", "map_id", "i", "j", "raw", _failed(fields))
+
+
+def job_duels(d: Domain) -> DataFrame:
+    return split_duels(d)[0]
+
+
+def _failed(fields) -> Column:
+    """The names of the fields that are null, one after another by a comma."""
+    return F.array_join(F.array_compact(F.array(*[F.when(F.col(c).isNull(), F.lit(c)) for c in fields])), ",").alias("failed")
 
 
 # ------------------------------------------------------------------ highlights
-def job_highlights(d: Domain) -> DataFrame:
-    """One row per highlight opponent. Owner slot 0-4 -> team 1, 5-9 -> team 2
-    (win_slot); names -> ids via the roster; an unknown opponent -> 0, an
-    unknown owner rejects all highlights of the map (Q17)."""
+def _highlight_cells(d: Domain) -> DataFrame:
+    """Highlight cells with their owner's id and whether all owners of the map are known."""
     cells = RV.raw_highlight_cells(d)
     teams = d.match_maps.select("match_id", "map_id", "team_1_id", "team_2_id")
-    c = hash_join(cells, teams, ["match_id", "map_id"])
-    c = c.select("match_id", "map_id", "round_no", "highlight_type", "owner_txt", "opponents_txt",
+    c = cells.join(teams, ["match_id", "map_id"])
+    c = c.select("match_id", "map_id", "round_no", "highlight_type", "pos", "owner_txt", "opponents_txt",
                  slot_team(F.col("pos"), F.col("team_1_id"), F.col("team_2_id")).alias("team_id"),
                  slot_team(F.col("pos"), F.col("team_2_id"), F.col("team_1_id")).alias("opp_team_id"))
-    ro = RV.roster(d)
-    own = ro.select("match_id", "map_id", "team_id", F.col("name").alias("owner_txt"), "player_id")
-    opp = ro.select("match_id", "map_id", F.col("team_id").alias("opp_team_id"), F.col("name").alias("opp_txt"),
-                    F.col("player_id").alias("player_against_id"))
+    own = RV.roster(d).select("match_id", "map_id", "team_id", F.col("name").alias("owner_txt"), "player_id")
     # owner resolved once per cell, before the opponents are exploded
-    c = hash_join(c, own, ["match_id", "map_id", "team_id", "owner_txt"], "left")
-    of_map = Window.partitionBy("match_id", "map_id")
-    c = c.withColumn("known", F.min(F.col("player_id").isNotNull()).over(of_map)).filter("known").drop("known")
-    c = c.select("match_id", "map_id", "round_no", "team_id", "player_id", "highlight_type", "opp_team_id",
-                 F.explode(F.split(F.col("opponents_txt"), ",")).alias("opp_txt"))
+    return c.join(own, ["match_id", "map_id", "team_id", "owner_txt"], "left")
+
+
+def split_highlights(d: Domain) -> tuple[DataFrame, DataFrame]:
+    """(highlights, rejected cells). One row per highlight opponent. Owner slot
+    0-4 -> team 1, 5-9 -> team 2 (win_slot); names -> ids via the roster; an
+    unknown opponent -> 0, an unknown owner rejects all highlights of the map
+    (Q17); rejected cells keep their raw text and what failed in them."""
+    clean, bad = all_or_nothing(_highlight_cells(d), ["match_id", "map_id"], F.col("player_id").isNotNull())
+    raw = F.concat_ws("|", F.col("round_no"), "highlight_type", F.col("pos"), "owner_txt", "opponents_txt")
+    rejected = bad.select("match_id", "map_id", "round_no", raw.alias("raw"),
+                          F.when(F.col("player_id").isNull(), "player_id").otherwise("").alias("failed"))
+    opp = RV.roster(d).select("match_id", "map_id", F.col("team_id").alias("opp_team_id"), F.col("name").alias("opp_txt"),
+                              F.col("player_id").alias("player_against_id"))
+    c = clean.select("match_id", "map_id", "round_no", "team_id", "player_id", "highlight_type", "opp_team_id",
+                     F.explode(F.split(F.col("opponents_txt"), ",")).alias("opp_txt"))
     c = c.withColumn("opp_txt", R.strip(F.col("opp_txt")))
-    j = hash_join(c, opp, ["match_id", "map_id", "opp_team_id", "opp_txt"], "left")
+    j = c.join(opp, ["match_id", "map_id", "opp_team_id", "opp_txt"], "left")
     return j.select("match_id", "map_id", "round_no", "team_id", "player_id", "highlight_type",
-                    F.coalesce(F.col("player_against_id"), F.lit(0).cast("bigint")).alias("player_against_id"))
+                    F.coalesce(F.col("player_against_id"), F.lit(0).cast("bigint")).alias("player_against_id")), rejected
+
+
+def job_highlights(d: Domain) -> DataFrame:
+    return split_highlights(d)[0]
+
+
+def rejects(d: Domain) -> DataFrame:
+    """The violations store: every row that a job rejected, whatever the job.
+
+    job, scope (what is rejected as a whole: map or match), match_id, map_id,
+    failed (the fields that could not be read, one after another by a comma;
+    nothing for sound rows that fell with their scope) and raw, the row's text
+    as it arrived. Each job parses once; the raw text travels with the row.
+    """
+    duels, highlights = split_duels(d)[1], split_highlights(d)[1]
+    players = job_player_stats(d)[1]
+
+    def part(df: DataFrame, job: str, scope: str, failed: Column, raw: Column) -> DataFrame:
+        return df.select(F.lit(job).alias("job"), F.lit(scope).alias("scope"), "match_id", "map_id", failed.alias("failed"), raw.alias("raw"))
+
+    round_text = F.concat_ws("|", F.col("round_no"), "raw_t1_bank_txt", "raw_t2_bank_txt", "raw_win_img")
+    return (part(round_rejects(d), "rounds", "map", _failed(ROUND_FIELDS), round_text)
+            .unionByName(part(players, "player_stats", "match", F.col("failed"), F.concat_ws("|", F.col("team_id"), F.col("player_id"))))
+            .unionByName(part(duels, "duels", "map", F.col("failed"), F.col("raw")))
+            .unionByName(part(highlights, "highlights", "map", F.col("failed"), F.col("raw"))))
 
 
 # ------------------------------------------------------------------ vetoes

@@ -75,13 +75,13 @@ def join_dim_name(spark, sf_dir):
 PARSE_ROUNDS_SQL = f"""pr0 AS (
   SELECT match_id, map_id, round_no, team_1_id, team_2_id, t1_bank_txt,
     {S.team_won('t1_win_class', 'team_1_id', 'team_2_id')} AS team_won, win_class, win_img, t1_buy_txt, t2_buy_txt,
-    t2_bank_txt FROM g_raw_rounds),
+    t2_bank_txt, concat_ws('|', round_no, t1_bank_txt, t2_bank_txt, win_img) AS raw FROM g_raw_rounds),
 prd AS (
   SELECT match_id, map_id, round_no, team_1_id, team_2_id,
     {S.team_def('win_class', 'team_1_id', 'team_2_id', 'team_won')} AS team_def,
     {S.buy_type('t1_buy_txt', 'round_no')} AS team_1_buy_type, {S.buy_type('t2_buy_txt', 'round_no')} AS team_2_buy_type,
     {S.bank('t1_bank_txt')} AS team_1_bank, {S.bank('t2_bank_txt')} AS team_2_bank, team_won,
-    {S.won_method('win_img')} AS won_method, t1_bank_txt
+    {S.won_method('win_img')} AS won_method, t1_bank_txt, raw
   FROM pr0),
 prv AS (
   SELECT *, (team_def IS NOT NULL AND team_1_buy_type IS NOT NULL AND team_2_buy_type IS NOT NULL
@@ -114,10 +114,8 @@ def win_all_or_nothing(spark, sf_dir):
 @query("inc_quarantine", sql=f"SELECT {ROUND_COLS}, t1_bank_txt FROM prg WHERE NOT group_ok", ctes=PARSE_ROUNDS_SQL)
 def inc_quarantine(spark, sf_dir):
     """Rounds of rejected maps kept apart with their raw text (the rest continue)."""
-    d = dom(spark, sf_dir)
-    _, bad = I.job_rounds(d)
-    raw = d.raw_rounds.select("match_id", "map_id", "round_no", "t1_bank_txt")
-    return bad.drop("_row_ok").join(raw, ["match_id", "map_id", "round_no"])
+    bad = I.round_rejects(dom(spark, sf_dir)).withColumnRenamed("raw_t1_bank_txt", "t1_bank_txt")
+    return bad.drop("_row_ok", "raw_t2_bank_txt", "raw_win_img")
 
 
 ERR_SQL = f"""v AS (
@@ -518,3 +516,49 @@ def _keys_sql() -> str:
 def dq_keys(spark, sf_dir):
     d = dom(spark, sf_dir)
     return Q.dq_keys(d)
+
+
+# ------------------------------------------------------------------ one violations store
+def _failed_sql(fields) -> str:
+    return "concat_ws(',', " + ", ".join(f"CASE WHEN {f} IS NULL THEN '{f}' END" for f in fields) + ")"
+
+
+_DUEL_FIELDS = ["team_1_player_id", "team_2_player_id",
+                *[f"team_{t}_player_{c}_vs_team_{3 - t}_player" for c in I.DUEL_CELLS for t in (1, 2)]]
+REJECTS_CTES = f"""{PARSE_ROUNDS_SQL},
+{SIDE_ROUNDS_SQL},
+{FILL_SQL},
+{DUELS_CTES},
+drr AS (SELECT match_id, map_id, team_1_player_id, team_2_player_id, {_DUEL_COLS},
+          concat_ws('|', i, j, row_name, col_name, kills_txt, first_kills_txt, op_kills_txt) AS raw FROM dg),
+{HIGHLIGHTS_CTES},
+hcell AS (SELECT c.match_id, c.map_id, o.player_id,
+            concat_ws('|', c.round_no, c.highlight_type, c.pos, c.owner_txt, c.opponents_txt) AS raw
+          FROM g_raw_highlight_cells c JOIN g_match_maps mm ON mm.match_id = c.match_id AND mm.map_id = c.map_id
+          LEFT JOIN g_roster o ON o.match_id = c.match_id AND o.map_id = c.map_id AND o.name = c.owner_txt
+            AND o.team_id = CASE WHEN c.pos BETWEEN 0 AND 4 THEN mm.team_1_id WHEN c.pos BETWEEN 5 AND 9 THEN mm.team_2_id END)"""
+REJECTS_SQL = f"""
+SELECT 'rounds' AS job, 'map' AS scope, match_id, map_id, {_failed_sql(I.ROUND_FIELDS)} AS failed, raw FROM prg WHERE NOT group_ok
+UNION ALL
+SELECT 'player_stats', 'match', match_id, map_id, failed, concat_ws('|', team_id, player_id) FROM fm WHERE NOT match_ok
+UNION ALL
+SELECT 'duels', 'map', match_id, map_id, {_failed_sql(_DUEL_FIELDS)}, raw FROM drr ANTI JOIN dk USING (match_id, map_id)
+UNION ALL
+SELECT 'highlights', 'map', match_id, map_id, CASE WHEN player_id IS NULL THEN 'player_id' ELSE '' END, raw
+FROM hcell ANTI JOIN hk USING (match_id, map_id)"""
+
+
+@query("inc_violations", sql=REJECTS_SQL, ctes=REJECTS_CTES)
+def inc_violations(spark, sf_dir):
+    """Every row that any job rejected, with scope, failed fields and raw text."""
+    return I.rejects(dom(spark, sf_dir))
+
+
+@query("inc_violations_summary", sql=f"""
+SELECT job, scope, CAST(count(*) AS BIGINT) AS n_rows, CAST(count(DISTINCT match_id * 100 + map_id) AS BIGINT) AS n_maps,
+  CAST(count(*) FILTER (WHERE failed <> '') AS BIGINT) AS n_failed FROM ({REJECTS_SQL}) GROUP BY job, scope""", ctes=REJECTS_CTES)
+def inc_violations_summary(spark, sf_dir):
+    """Per job: rejected rows, their maps, and the rows that themselves failed."""
+    return I.rejects(dom(spark, sf_dir)).groupBy("job", "scope").agg(
+        F.count("*").alias("n_rows"), F.countDistinct(F.col("match_id") * 100 + F.col("map_id")).alias("n_maps"),
+        F.count_if(F.col("failed") != "").alias("n_failed"))

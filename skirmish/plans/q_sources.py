@@ -18,12 +18,13 @@ from skirmish.plans import ingest as I
 from skirmish.plans import q_features as QF
 from skirmish.plans import q_ingest as QI
 from skirmish.plans import rules_sql as S
-from skirmish.plans.registry import dom, query
+from skirmish.plans.registry import ORACLE, dom, query
 from skirmish.session import scratch_dir
 from skirmish.sources import io as IO
 from skirmish.sources import schemas as SC
 from skirmish.sources import seeds as SD
 from skirmish.streaming import incremental as INC
+from skirmish.streaming import ingest_stream as ST
 from skirmish.streaming.land import land_files, run_landing_stream
 
 FIRST_RUN = "1992-01-02"    # matches before this date are what a first run has stored
@@ -319,8 +320,36 @@ def inc_ttl_latest(spark, sf_dir):
                        F.unix_micros(F.col("expires_at").cast("timestamp")).alias("expires_us"))
 
 
-@query("inc_land_stream", sql="SELECT event_id, user_id, event_type, value FROM events")
+#: Tables of the streaming ingest and the queries that give the same rows in one batch.
+_STREAMED = {"matches": "job_matches", "match_maps": "job_match_maps", "round_stats": "job_rounds",
+             "player_overview_stats": "job_player_stats", "players_duel_stats": "job_duels",
+             "player_highlights": "job_highlights", "ban_pick_log": "job_vetoes"}
+
+
+@query("inc_land_stream", sql=" UNION ALL ".join(
+    f"SELECT '{table}' AS table_name, CAST(count(*) AS BIGINT) AS n_rows, CAST(sum({'id' if table == 'matches' else 'match_id'}) AS BIGINT)"
+    f" AS id_sum FROM ({ORACLE[job]})" for table, job in _STREAMED.items()))
 def inc_land_stream(spark, sf_dir):
+    """Pages land in two files and half of them a second time; a stream runs
+    all ingest jobs per micro-batch under the epoch ledger. One row per table of
+    what the committed epochs hold: the batch result, once."""
+    orders = dom(spark, sf_dir).t.orders
+    landing, out, ckpt = (scratch_dir(spark, name) for name in ("landing", "ingested", "stream-ckpt"))
+    early = F.year("o_orderdate") < 1995
+    land_files(orders.where(early), landing, 1)
+    land_files(orders.where(~early), landing, 1)
+    land_files(orders.where(early), landing, 1)   # delivered a second time
+    ST.run_ingest_stream(spark, landing, orders.schema, out, ckpt, ST.domain_of(spark, sf_dir), "o_orderkey", files_per_trigger=1)
+    counts = []
+    for table in _STREAMED:
+        of = "id" if table == "matches" else "match_id"
+        counts.append(ST.committed(spark, out, table).agg(F.count("*").alias("n_rows"), F.sum(of).alias("id_sum"))
+                      .select(F.lit(table).alias("table_name"), "n_rows", "id_sum"))
+    return reduce(lambda a, b: a.unionByName(b), counts)
+
+
+@query("inc_land_events", sql="SELECT event_id, user_id, event_type, value FROM events")
+def inc_land_events(spark, sf_dir):
     """Events land as files; a streaming run (availableNow) appends each
     micro-batch idempotently on event_id; the stored table equals the source
     once, even though every event is landed twice (a replay)."""

@@ -83,6 +83,7 @@ KEYS = {
                           "player_against_id"],
     "ban_pick_log": ["match_id", "veto_order"],
     "player_stats_rejected": ["match_id", "map_id", "player_id"],
+    "duels_rejected": ["match_id", "map_id", "i", "j"], "highlights_rejected": ["match_id", "map_id", "raw"],
     "tournaments": ["id"], "teams": ["id"], "players": ["id"], "countries": ["id"],
 }
 

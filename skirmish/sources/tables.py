@@ -31,6 +31,10 @@ class Tables:
             self._cache[name] = self.spark.read.parquet(self.path(name))
         return self._cache[name]
 
+    def put(self, name: str, df: DataFrame) -> None:
+        """Use ``df`` as the table ``name``."""
+        self._cache[name] = df
+
     def __getattr__(self, name: str) -> DataFrame:
         if name in DRIVER_TABLES:
             return self.read(name)
