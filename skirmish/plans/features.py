@@ -370,6 +370,16 @@ FORM_FEATURES = ["team_1_def_score", "team_1_atk_score", "team_1_ot_score", "tea
                  *[f"team_1_{n}" for n, _ in ROLE_COUNTS], *[f"team_2_{n}" for n, _ in ROLE_COUNTS]]
 
 
+def rounds_of_stored_matches(matches: DataFrame, maps: DataFrame, rounds: DataFrame) -> DataFrame:
+    """Per match: maps, rounds and those that team 1 won, from three tables in
+    buckets of match_id."""
+    j = rounds.select("match_id", "map_id", "team_won").join(maps.select("match_id", "map_id").hint("merge"), ["match_id", "map_id"])
+    j = j.join(matches.select("match_id", "team_1_id", "team_1_score").hint("merge"), "match_id")
+    return j.groupBy("match_id", "team_1_score").agg(
+        F.countDistinct("map_id").alias("n_maps"), F.count("*").alias("n_rounds"),
+        F.count_if(F.col("team_won") == F.col("team_1_id")).alias("team_1_rounds"))
+
+
 FORM_PART = 1000  # games of a form that are nested in one row
 
 

@@ -18,11 +18,12 @@ from skirmish.plans import ingest as I
 from skirmish.plans import q_features as QF
 from skirmish.plans import q_ingest as QI
 from skirmish.plans import rules_sql as S
-from skirmish.plans.registry import ORACLE, dom, query
+from skirmish.plans.registry import ORACLE, QUERIES, dom, query
 from skirmish.session import scratch_dir
 from skirmish.sources import io as IO
 from skirmish.sources import schemas as SC
 from skirmish.sources import seeds as SD
+from skirmish.sources import storage as STO
 from skirmish.streaming import incremental as INC
 from skirmish.streaming import ingest_stream as ST
 from skirmish.streaming.land import land_files, run_landing_stream
@@ -128,18 +129,38 @@ def src_geo_csv(spark, sf_dir):
 # ------------------------------------------------------------------ sinks
 @query("snk_append", sql="SELECT id, url, CAST(date AS VARCHAR) AS date FROM g_matches")
 def snk_append(spark, sf_dir):
-    """Two overlapping batches appended idempotently: the overlap is written once."""
+    """Two overlapping batches appended idempotently by month: the overlap is
+    written once, and only its months are read to find it."""
     m = dom(spark, sf_dir).matches.select("id", "url", "date")
     path = scratch_dir(spark, "append")
-    IO.append_new(m.filter(F.col("date") < F.lit("1997-01-01").cast("date")), path, ["id"])
-    IO.append_new(m.filter(F.col("date") >= F.lit("1996-01-01").cast("date")), path, ["id"])
-    return _date_str(spark.read.parquet(path))
+    STO.append_months(m.filter(F.col("date") < F.lit("1997-01-01").cast("date")), path, ["id"], "date")
+    STO.append_months(m.filter(F.col("date") >= F.lit("1996-01-01").cast("date")), path, ["id"], "date")
+    return _date_str(STO.read_months(spark, path).select("id", "url", "date"))
 
 
-@query("snk_csv", sql=f"""
+@query("snk_buckets", sql="""
+SELECT mm.match_id, CAST(count(DISTINCT mm.map_id) AS BIGINT) AS n_maps, CAST(count(*) AS BIGINT) AS n_rounds,
+  CAST(count(*) FILTER (WHERE r.team_won = m.team_1_id) AS BIGINT) AS team_1_rounds, m.team_1_score
+FROM g_round_stats r JOIN g_match_maps mm ON mm.match_id = r.match_id AND mm.map_id = r.map_id
+JOIN g_matches m ON m.id = r.match_id GROUP BY mm.match_id, m.team_1_score""")
+def snk_buckets(spark, sf_dir):
+    """Matches, maps and rounds stored in buckets of the match; joined and
+    grouped from there, without an exchange."""
+    return FT.rounds_of_stored_matches(*stored_buckets(dom(spark, sf_dir)))
+
+
+def stored_buckets(d):
+    """(matches, maps, rounds) as bucketed tables below the scratch folder."""
+    path = scratch_dir(d.spark, "buckets")
+    tables = {"matches": d.matches.withColumnRenamed("id", "match_id"), "match_maps": d.match_maps, "round_stats": d.round_stats}
+    name = path.rsplit("-", 1)[1]
+    return [STO.save_buckets(df, f"skirmish_{t}_{name}", f"{path}/{t}", "match_id", d.partitions) for t, df in tables.items()]
+
+
+@query("snk_csv_tournaments", sql=f"""
 SELECT id, name, url, {S.prize('prize_txt')} AS prize_pool, {S.tier_1('group_href', S.prize('prize_txt'))} AS tier_1
 FROM g_raw_tournaments""")
-def snk_csv(spark, sf_dir):
+def snk_csv_tournaments(spark, sf_dir):
     df = I.job_tournaments(dom(spark, sf_dir))
     path = scratch_dir(spark, "csv")
     IO.write_csv(df, path)
@@ -147,6 +168,31 @@ def snk_csv(spark, sf_dir):
     return spark.read.schema(schema).option("header", True).csv(path)
 
 
+_CSV_TABLES = {"rounds": "feat_rounds", "players": "feat_players", "match_maps": "feat_match_maps", "maps": "feat_maps"}
+
+
+@query("snk_csv", sql=" UNION ALL ".join(
+    f"SELECT '{name}' AS table_name, match_id, map_id, CAST(count(*) AS BIGINT) AS n_rows, {total} AS total FROM ({ORACLE[of]}) GROUP BY match_id, map_id"
+    for (name, of), total in zip(_CSV_TABLES.items(), (
+        "CAST(sum(team_bank + 100000 * won) AS DOUBLE)", "round(sum(rating + acs), 3)",
+        "CAST(sum(team_def_score * 100 + length(team_agents)) AS DOUBLE)", "CAST(sum(coalesce(duration, 0) + length(team_2_agents)) AS DOUBLE)"))))
+def snk_csv(spark, sf_dir):
+    """The four feature tables written as CSV with a header and read back with
+    their schemas; per table and map the rows and a total over their fields."""
+    path = scratch_dir(spark, "csv")
+    totals = {"rounds": F.sum(F.col("team_bank") + 100000 * F.col("won")), "players": F.round(F.sum(F.col("rating") + F.col("acs")), 3),
+              "match_maps": F.sum(F.col("team_def_score") * 100 + F.length("team_agents")),
+              "maps": F.sum(F.coalesce("duration", F.lit(0)) + F.length("team_2_agents"))}
+    out = []
+    for name, of in _CSV_TABLES.items():
+        df = QUERIES[of](spark, sf_dir)
+        IO.write_csv(df, f"{path}/{name}")
+        back = spark.read.schema(df.schema).option("header", True).csv(f"{path}/{name}")
+        out.append(back.groupBy("match_id", "map_id").agg(F.count("*").alias("n_rows"), totals[name].cast("double").alias("total"))
+                   .select(F.lit(name).alias("table_name"), "match_id", "map_id", "n_rows", "total"))
+    return reduce(lambda a, b: a.unionByName(b), out)
+
+
 @query("snk_json", sql=f"""
 WITH doc AS ({QF.DOCUMENT_SQL}), form AS ({QF.FORMS_SQL})
 SELECT 'match' AS kind, form_date, target_id, side, history_id, NULL::BIGINT AS map_id, NULL::INT AS part,
