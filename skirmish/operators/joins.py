@@ -31,15 +31,11 @@ def bounded_broadcast(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFr
     return F.broadcast(df) if size <= max_bytes else df
 
 
-def hash_join(left: DataFrame, small: DataFrame, on, how: str = "inner") -> DataFrame:
-    """Join with ``small`` as the per-partition hash side (``shuffle_hash``).
-
-    For joins of a big fact with a smaller per-match table on the same
-    match partitioning: each task hashes only its own slice of ``small``
-    (its size shrinks with the partition count) instead of sorting both
-    sides, as a sort-merge join would.
-    """
-    return left.join(small.hint("shuffle_hash"), on, how)
+def match_join(left: DataFrame, right: DataFrame, on, how: str = "inner") -> DataFrame:
+    """Join two tables of matches on their match keys: both sides share the
+    match partitioning, so no exchange is needed; the strategy is Spark's own,
+    and a side that does not fit in memory spills."""
+    return left.join(right, on, how)
 
 
 def exists_flag(left: DataFrame, keys: DataFrame, on: list[str], name: str) -> DataFrame:

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from skirmish.operators.joins import bounded_broadcast, hash_join
+from skirmish.operators.joins import bounded_broadcast, match_join
 from skirmish.sources.fixtures import Domain
 
 HISTORY_DAYS = 180
@@ -85,7 +85,7 @@ def match_dates(d: Domain) -> DataFrame:
 def join_date(facts: DataFrame, d: Domain) -> DataFrame:
     """Facts ⋈ matches for the date. Both sides are partitioned on the match id,
     so this is a co-partitioned join with no exchange."""
-    return hash_join(facts, match_dates(d), "match_id", "inner")
+    return match_join(facts, match_dates(d), "match_id", "inner")
 
 
 def load_maps(d: Domain, as_of=None, days: int = HISTORY_DAYS, match_id: int = -1) -> DataFrame:

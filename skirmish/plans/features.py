@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skirmish.operators import loaders as L
-from skirmish.operators.joins import hash_join
+from skirmish.operators.joins import match_join
 from skirmish.operators.ranges import expanded, numbered, ranges
 from skirmish.sources.fixtures import Domain
 
@@ -50,7 +50,7 @@ def clutch_teams(d: Domain) -> DataFrame:
 
 
 def feat_rounds(d: Domain) -> DataFrame:
-    r = hash_join(d.round_stats, clutch_teams(d), ["match_id", "map_id", "round_no"], "left")
+    r = match_join(d.round_stats, clutch_teams(d), ["match_id", "map_id", "round_no"], "left")
     f = L.flip(r, ["match_id", "map_id", "round_no", "team_def", "team_won", "won_method", "clutch_teams"],
                L.ROUND_PAIRS)
     won = F.col("team_won") == F.col("team_id")
@@ -193,10 +193,8 @@ def player_inputs(d: Domain) -> tuple[DataFrame, DataFrame]:
 
 def feat_players(d: Domain) -> DataFrame:
     clean, _ = player_inputs(d)
-    # Both right sides are per-match aggregates on the same match partitioning:
-    # hash them per partition instead of sorting the wide rows.
-    j = (clean.join(round_counts(d).hint("shuffle_hash"), ["match_id", "map_id", "team_id"], "left")
-         .join(highlight_counts(d).hint("shuffle_hash"), PLAYER_KEYS, "left"))
+    j = (clean.join(round_counts(d), ["match_id", "map_id", "team_id"], "left")
+         .join(highlight_counts(d), PLAYER_KEYS, "left"))
     j = j.fillna(0, subset=["def_rounds", "atk_rounds"])
     return j.select(*PLAYER_KEYS, *player_feature_columns())
 
@@ -233,7 +231,7 @@ def feat_match_maps(d: Domain) -> DataFrame:
         "team_against_atk_score": ("team_2_atk_score", "team_1_atk_score"),
         "team_against_ot_score": ("team_2_ot_score", "team_1_ot_score"),
     })
-    j = hash_join(hash_join(f, own, ["match_id", "map_id", "team_id"], "left"),
+    j = match_join(match_join(f, own, ["match_id", "map_id", "team_id"], "left"),
                   opp, ["match_id", "map_id", "team_against_id"], "left")
     return j.select(
         "match_id", "team_id", "team_against_id", "map_id",
@@ -258,7 +256,7 @@ def feat_maps(d: Domain, scope: str = "match") -> DataFrame:
         c = comp.select(*join_keys, F.col("team_id").alias(f"{t}_id"),
                         F.col("agents").alias(f"{t}_agents"),
                         *[F.col(n).alias(f"{t}_{n}") for n, _ in ROLE_COUNTS])
-        out = hash_join(out, c, join_keys + [f"{t}_id"], "left")
+        out = match_join(out, c, join_keys + [f"{t}_id"], "left")
     return out.select(
         "match_id", "map_id",
         "team_1_def_score", "team_1_atk_score", "team_1_ot_score",

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from skirmish.functions import rules as R
-from skirmish.operators.joins import bounded_broadcast, hash_join
+from skirmish.operators.joins import bounded_broadcast, match_join
 from skirmish.operators.windows import all_or_nothing, slot_team
 from skirmish.sources import raw_views as RV
 from skirmish.sources.fixtures import COUNT_STATS, Domain
@@ -190,11 +190,11 @@ def join_duel_grid(d: Domain) -> DataFrame:
                    F.col("player_id").alias("team_1_player_id"))
     r2 = ro.select("match_id", "map_id", F.col("team_id").alias("team_2_id"), F.col("name").alias("col_name"),
                    F.col("player_id").alias("team_2_player_id"))
-    rows = hash_join(h, r1, ["match_id", "map_id", "team_1_id", "row_name"], "left") \
+    rows = match_join(h, r1, ["match_id", "map_id", "team_1_id", "row_name"], "left") \
         .select("match_id", "map_id", F.col("pos").alias("i"), "row_name", "team_1_player_id")
-    cols = hash_join(h, r2, ["match_id", "map_id", "team_2_id", "col_name"], "left") \
+    cols = match_join(h, r2, ["match_id", "map_id", "team_2_id", "col_name"], "left") \
         .select("match_id", "map_id", F.col("pos").alias("j"), "col_name", "team_2_player_id")
-    return hash_join(hash_join(g, rows, ["match_id", "map_id", "i"]), cols, ["match_id", "map_id", "j"])
+    return match_join(match_join(g, rows, ["match_id", "map_id", "i"]), cols, ["match_id", "map_id", "j"])
 
 
 def _cell_part(c: Column, idx: int) -> Column:

@@ -13,7 +13,7 @@ from skirmish.plans import rules_sql as S
 from skirmish.plans.registry import dom, query
 from skirmish.sources import raw_views as RV
 from skirmish.sources.fixtures import COUNT_STATS
-from skirmish.sources.schemas import FOREIGN_KEYS, KEYS
+from skirmish.sources.schemas import FOREIGN_KEYS, KEYS, SCHEMAS, rules_of
 
 
 def _big(df, cols):
@@ -562,3 +562,48 @@ def inc_violations_summary(spark, sf_dir):
     return I.rejects(dom(spark, sf_dir)).groupBy("job", "scope").agg(
         F.count("*").alias("n_rows"), F.countDistinct(F.col("match_id") * 100 + F.col("map_id")).alias("n_maps"),
         F.count_if(F.col("failed") != "").alias("n_failed"))
+
+
+# ------------------------------------------------------------------ rules from the schemas
+# Table -> (its rows, columns, seed of the planted violations, one row in so many for each rule).
+_CHECKED = {
+    "matches": ("g_matches", "id", 997), "match_maps": ("g_match_maps", "match_id * 3 + map_id", 997),
+    "round_stats": ("g_round_stats", "match_id * 31 + map_id * 7 + round_no", 997),
+    "players_duel_stats": ("g_players_duel_stats", "match_id + map_id + team_1_player_id * 5 + team_2_player_id * 3", 997),
+    "player_overview_stats": ("g_player_overview_stats", "match_id + map_id * 3 + player_id * 7", 997),
+    "player_highlights": ("g_player_highlights", "match_id * 3 + map_id + round_no * 5 + player_id", 997),
+    "ban_pick_log": ("vj", "match_id * 7 + veto_order", 997), "agents": ("g_agents", "id", 5),
+}
+
+
+def _declared_columns(table: str) -> list[str]:
+    """The declared columns that the domain's view of the table has."""
+    return [f.name for f in SCHEMAS[table].fields if (table, f.name) != ("agents", "release_date")]
+
+
+def _rules_sql() -> str:
+    parts = []
+    for table, (view, seed, modulus) in _CHECKED.items():
+        rules = rules_of(table, _declared_columns(table))
+        soiled: dict[str, str] = {}
+        for i, (_, c, _, bad) in enumerate(rules):
+            soiled[c] = f"CASE WHEN seed % {modulus} = {i} THEN {bad} ELSE {soiled.get(c, c)} END"
+        cols = ", ".join(f"{soiled.get(c, c)} AS {c}" for c in _declared_columns(table))
+        found = ", ".join(f"CASE WHEN {bad} THEN '{name}' END" for name, _, bad, _ in rules)
+        parts.append(f"SELECT '{table}' AS table_name, rule, CAST(count(*) AS BIGINT) AS n_rows, CAST(min(seed) AS BIGINT) AS least_seed "
+                     f"FROM (SELECT seed, unnest([{found}]) AS rule FROM (SELECT seed, {cols} FROM (SELECT *, {seed} AS seed FROM {view}))) "
+                     "WHERE rule IS NOT NULL GROUP BY rule")
+    return "\nUNION ALL\n".join(parts)
+
+
+@query("dq_rules", sql=_rules_sql(), ctes=VETO_SQL)
+def dq_rules(spark, sf_dir):
+    """Every rule that the schemas declare (not null, ranges, enumerations) on
+    eight tables, with a planted violation of each: rows per rule, one pass a table."""
+    d = dom(spark, sf_dir)
+    out = None
+    for table, (_, seed, modulus) in _CHECKED.items():
+        df = I.job_vetoes(d) if table == "ban_pick_log" else getattr(d, table)
+        found = Q.declared_violations(Q.soiled(df.select(*_declared_columns(table)), table, seed, modulus), table, ["seed"])
+        out = found if out is None else out.unionByName(found)
+    return out.groupBy("table_name", "rule").agg(F.count("*").alias("n_rows"), F.min("seed").cast("long").alias("least_seed"))

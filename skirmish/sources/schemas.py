@@ -107,3 +107,46 @@ FOREIGN_KEYS = {
 def conform(df: DataFrame, table: str) -> DataFrame:
     """Cast and order ``df``'s columns to the declared schema of ``table``."""
     return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in SCHEMAS[table].fields])
+
+
+# Fixed values of the schema: least and greatest value of checked numbers.
+RANGES = {
+    "matches": {c: (0, None) for c in ("team_1_score", "team_2_score", "team_1_rating", "team_2_rating")},
+    "match_maps": {"duration": (0, None), **{f"team_{t}_{s}_score": (0, None) for t in (1, 2) for s in ("def", "atk", "ot")}},
+    "round_stats": {"round_no": (1, None), "team_1_bank": (0, None), "team_2_bank": (0, None)},
+    "players_duel_stats": {f.name: (0, None) for f in SCHEMAS["players_duel_stats"].fields if "_vs_" in f.name},
+    "player_overview_stats": {"rating": (0, None), "acs": (0, None), "deaths": (0, None), "assists": (0, None), "kast": (0, 100),
+                              "adr": (0, None), "hs": (0, 100), "first_kills": (0, None), "first_deaths": (0, None)},
+    "player_highlights": {"round_no": (1, None)},
+    "ban_pick_log": {"ban_pick_order": (0, None)},
+}
+
+# Columns that hold one of an enumeration.
+ENUM_COLUMNS = {
+    "matches": {"stage": "stage"},
+    "round_stats": {"team_1_buy_type": "buy_type", "team_2_buy_type": "buy_type", "won_method": "won_method"},
+    "player_overview_stats": {"side": "side"}, "player_highlights": {"highlight_type": "highlight_type"},
+    "ban_pick_log": {"veto_action": "veto_action"}, "agents": {"agent_type": "agent_type"},
+}
+
+
+def rules_of(table: str, columns: list[str]) -> list[tuple[str, str, str, str]]:
+    """All rules that the declarations state for the ``columns`` that a frame
+    of ``table`` has: (name, column, the violation as SQL, a violating value as
+    SQL). The SQL is plain enough for any engine; null passes all but NOT NULL."""
+    out = []
+    for f in SCHEMAS[table].fields:
+        if f.name not in columns:
+            continue
+        c = f.name
+        if not f.nullable:
+            out.append((f"{c} not null", c, f"{c} IS NULL", "NULL"))
+        least, most = RANGES.get(table, {}).get(c, (None, None))
+        if least is not None:
+            out.append((f"{c} >= {least}", c, f"{c} < {least}", str(least - 1)))
+        if most is not None:
+            out.append((f"{c} <= {most}", c, f"{c} > {most}", str(most + 1)))
+        if c in ENUM_COLUMNS.get(table, {}):
+            values = ", ".join(f"'{v}'" for v in ENUMS[ENUM_COLUMNS[table][c]])
+            out.append((f"{c} enum", c, f"{c} NOT IN ({values})", "'other'"))
+    return out
