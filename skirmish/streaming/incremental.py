@@ -14,7 +14,7 @@ a join over whole tables:
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skirmish.functions import rules as R
@@ -28,11 +28,19 @@ def high_mark(queue: DataFrame, loaded: DataFrame, configured: str) -> DataFrame
     return both.agg(F.coalesce(F.max("q"), F.max("m"), F.lit(configured).cast("date")).alias("limit_date"))
 
 
-def frontier(listing: DataFrame, queue: DataFrame, loaded: DataFrame, limit: DataFrame) -> DataFrame:
-    """Listing rows dated on/after the one row of ``limit`` (limit_date) that
-    are neither queued nor loaded, plus the queue; one row per url (earliest
-    date wins)."""
-    fresh = listing.join(F.broadcast(limit), F.col("date") >= F.col("limit_date")) \
+def _where(df: DataFrame, value: Column | DataFrame, condition, name: str) -> DataFrame:
+    """Rows of ``df`` that meet ``condition`` of a value, or of the column
+    ``name`` of a frame of one row, which is joined."""
+    if isinstance(value, DataFrame):
+        return df.join(F.broadcast(value), condition(F.col(name)))
+    return df.where(condition(value))
+
+
+def frontier(listing: DataFrame, queue: DataFrame, loaded: DataFrame, limit: Column | DataFrame) -> DataFrame:
+    """Listing rows dated on/after ``limit`` (a value, or a frame of one row
+    with limit_date) that are neither queued nor loaded, plus the queue; one row
+    per url (earliest date wins)."""
+    fresh = _where(listing, limit, lambda x: F.col("date") >= x, "limit_date") \
         .join(queue.select("url"), "url", "left_anti") \
         .join(loaded.select("url"), "url", "left_anti")
     merged = queue.select("url", "date").unionByName(fresh.select("url", "date"))
@@ -49,15 +57,15 @@ def new_dims(refs: DataFrame, dim_ids: DataFrame, kind: str) -> DataFrame:
             .join(dim_ids.select("id"), "id", "left_anti").select(F.lit(kind).alias("kind"), "id"))
 
 
-def ttl_latest(writes: DataFrame, now: DataFrame) -> DataFrame:
-    """Live values at the one row of ``now`` (now). ``writes``: (key, value, written_at, expires_at (null = never), seq,
+def ttl_latest(writes: DataFrame, now: Column | DataFrame) -> DataFrame:
+    """Live values at ``now`` (a value, or a frame of one row with now). ``writes``: (key, value, written_at, expires_at (null = never), seq,
     is_delete). Latest write per key wins on value and expiry; a delete is
     a tombstone. Partial aggregation (max_by) keeps hot keys map-side."""
     order = F.struct(F.col("written_at"), F.col("seq"))
     last = writes.groupBy("key").agg(
         F.max_by(F.struct("value", "expires_at", "is_delete", "written_at"), order).alias("w"))
-    live = (~F.col("w.is_delete")) & (F.col("w.expires_at").isNull() | (F.col("w.expires_at") > F.col("now")))
-    return last.join(F.broadcast(now), live).select("key", F.col("w.value").alias("value"),
+    return _where(last, now, lambda x: (~F.col("w.is_delete")) & (
+        F.col("w.expires_at").isNull() | (F.col("w.expires_at") > x)), "now").select("key", F.col("w.value").alias("value"),
                                     F.col("w.written_at").alias("written_at"),
                                     F.col("w.expires_at").alias("expires_at"))
 
