@@ -71,3 +71,41 @@ def slot_team(pos: Column, team_1: Column, team_2: Column, per_team: int = 5) ->
     """Row position 0..4 -> team 1, 5..9 -> team 2, else null."""
     return (F.when(pos.between(0, per_team - 1), team_1)
             .when(pos.between(per_team, 2 * per_team - 1), team_2))
+
+
+def carry_forward(df: DataFrame, key: list[str], pos: str, value: Column, name: str, width: int = 1000, levels: int = 3) -> DataFrame:
+    """``df`` with the last non-null ``value`` at or before each row, per
+    ``key`` in the order of ``pos`` (unique whole numbers per key).
+
+    A segmented scan: rows fall into blocks of ``width`` positions, each block
+    gives its last value, the values before each block are found in the same way
+    over blocks of blocks, and rows are filled inside their block. No window
+    holds more than ``width`` rows, except the topmost, which has one row per
+    ``width ** levels`` positions of a key, so a long key takes no long task.
+    """
+    blocked = df.withColumn("_value", value).withColumn("_block", F.floor(F.col(pos) / width))
+    before = _before_blocks(_last_of_blocks(blocked, key, pos), key, width, levels - 1)
+    w = Window.partitionBy(*key, "_block").orderBy(pos).rowsBetween(Window.unboundedPreceding, 0)
+    filled = blocked.withColumn("_inside", F.last("_value", ignorenulls=True).over(w))
+    joined = filled.join(before.select(*key, "_block", "_carried"), [*key, "_block"])
+    return joined.withColumn(name, F.coalesce("_inside", "_carried")).drop("_value", "_block", "_inside", "_carried")
+
+
+def _last_of_blocks(df: DataFrame, key: list[str], pos: str) -> DataFrame:
+    """The last non-null _value of each block (null where it has none)."""
+    held = F.when(F.col("_value").isNotNull(), F.col(pos))
+    return df.groupBy(*key, "_block").agg(F.max_by("_value", held).alias("_value"))
+
+
+def _before_blocks(blocks: DataFrame, key: list[str], width: int, levels: int) -> DataFrame:
+    """``blocks`` with _carried, the last non-null value of the blocks before."""
+    earlier = (Window.unboundedPreceding, -1)
+    if levels <= 0:
+        w = Window.partitionBy(*key).orderBy("_block").rowsBetween(*earlier)
+        return blocks.withColumn("_carried", F.last("_value", ignorenulls=True).over(w))
+    inner = blocks.withColumnRenamed("_block", "_at").withColumn("_block", F.floor(F.col("_at") / width))
+    outer = _before_blocks(_last_of_blocks(inner, key, "_at"), key, width, levels - 1)
+    w = Window.partitionBy(*key, "_block").orderBy("_at").rowsBetween(*earlier)
+    inner = inner.withColumn("_inside", F.last("_value", ignorenulls=True).over(w))
+    joined = inner.join(outer.select(*key, "_block", "_carried"), [*key, "_block"])
+    return joined.select(*key, F.col("_at").alias("_block"), "_value", F.coalesce("_inside", "_carried").alias("_carried"))

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from skirmish.functions import rules as R
 from skirmish.operators.joins import bounded_broadcast, match_join
-from skirmish.operators.windows import all_or_nothing, slot_team
+from skirmish.operators.windows import all_or_nothing, carry_forward, slot_team
 from skirmish.sources import raw_views as RV
 from skirmish.sources.fixtures import COUNT_STATS, Domain
 
@@ -414,10 +414,10 @@ def job_dim_upsert(d: Domain) -> DataFrame:
 
 # ------------------------------------------------------------------ listing
 def job_listing(d: Domain) -> DataFrame:
-    """Carry each date header down to the links after it on the same page."""
-    cells = RV.raw_listing(d)
-    w = Window.partitionBy("page_no").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
-    carried = cells.withColumn("header", F.last(F.when(F.col("kind") == "date", F.col("txt")), ignorenulls=True).over(w))
+    """Carry each date header down to the links after it on the same page, block
+    by block: a page of any length takes no long task."""
+    header = F.when(F.col("kind") == "date", F.col("txt"))
+    carried = carry_forward(RV.raw_listing(d), ["page_no"], "pos", header, "header")
     links = carried.filter(F.col("kind") == "link")
     return links.select(F.col("txt").alias("url"), R.listing_date(F.col("header")).alias("date"))
 
