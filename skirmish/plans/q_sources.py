@@ -26,6 +26,7 @@ from skirmish.sources import seeds as SD
 from skirmish.sources import storage as STO
 from skirmish.streaming import incremental as INC
 from skirmish.streaming import ingest_stream as ST
+from skirmish.streaming import ttl_stream as TTL
 from skirmish.streaming.land import land_files, run_landing_stream
 
 FIRST_RUN = "1992-01-02"    # matches before this date are what a first run has stored
@@ -347,7 +348,7 @@ def inc_new_dims(spark, sf_dir):
     return reduce(lambda a, b: a.unionByName(b), parts)
 
 
-@query("inc_ttl_latest", sql="""
+_TTL_SQL = """
 WITH w AS (
   SELECT concat('user:', user_id) AS key, props AS value, ts AS written_at,
     CASE event_type WHEN 'view' THEN ts + INTERVAL 24 HOUR WHEN 'click' THEN ts + INTERVAL 48 HOUR
@@ -355,7 +356,10 @@ WITH w AS (
     event_id AS seq, event_type = 'error' AS is_delete FROM events),
 l AS (SELECT *, row_number() OVER (PARTITION BY key ORDER BY written_at DESC, seq DESC) AS rn FROM w)
 SELECT key, value, epoch_us(written_at) AS written_us, epoch_us(expires_at) AS expires_us FROM l
-WHERE rn = 1 AND NOT is_delete AND (expires_at IS NULL OR expires_at > (SELECT max(ts) FROM events))""")
+WHERE rn = 1 AND NOT is_delete AND (expires_at IS NULL OR expires_at > (SELECT max(ts) FROM events))"""
+
+
+@query("inc_ttl_latest", sql=_TTL_SQL)
 def inc_ttl_latest(spark, sf_dir):
     """Events as key/value writes with a TTL per type ('error' = delete):
     the live value of every key at the latest event time."""
@@ -366,6 +370,23 @@ def inc_ttl_latest(spark, sf_dir):
                        F.unix_micros(F.col("expires_at").cast("timestamp")).alias("expires_us"))
 
 
+@query("inc_ttl_stream", sql=_TTL_SQL)
+def inc_ttl_stream(spark, sf_dir):
+    """The same view kept by a stream: the writes land in two files, state per
+    key with expiry timers, and what the changes leave at the latest event time."""
+    writes = INC.event_writes(dom(spark, sf_dir).t.events)
+    writes = writes.withColumns({c: F.col(c).cast("timestamp") for c in ("written_at", "expires_at")})
+    middle = writes.agg(F.timestamp_micros(F.avg(F.unix_micros("written_at")).cast("long")).alias("middle"))
+    halves = writes.join(F.broadcast(middle))
+    landing, out, ckpt = (scratch_dir(spark, name) for name in ("ttl-landing", "ttl-changes", "ttl-ckpt"))
+    land_files(halves.where("written_at <= middle").drop("middle"), landing, 1)
+    land_files(halves.where("written_at > middle").drop("middle"), landing, 1)
+    TTL.run_ttl_stream(spark, landing, writes.schema, out, ckpt, files_per_trigger=1)
+    now = writes.agg(F.unix_micros(F.max("written_at")).alias("now_us"))
+    live = TTL.latest_view(spark.read.parquet(out)).join(F.broadcast(now))
+    return live.where("expires_us is null or expires_us > now_us").select("key", "value", "written_us", "expires_us")
+
+
 #: Tables of the streaming ingest and the queries that give the same rows in one batch.
 _STREAMED = {"matches": "job_matches", "match_maps": "job_match_maps", "round_stats": "job_rounds",
              "player_overview_stats": "job_player_stats", "players_duel_stats": "job_duels",
