@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from skirmish.operators.joins import bounded_broadcast, match_join
 from skirmish.sources.fixtures import Domain
+from skirmish.sources.schemas import SCHEMAS
 
 HISTORY_DAYS = 180
 
@@ -88,17 +89,15 @@ def join_date(facts: DataFrame, d: Domain) -> DataFrame:
     return match_join(facts, match_dates(d), "match_id", "inner")
 
 
+# Columns of a map that name one of its two teams, and the code of neither.
+TEAM_CODES = {"team_def_first": None, "team_pick": 3}
+
+
 def load_maps(d: Domain, as_of=None, days: int = HISTORY_DAYS, match_id: int = -1) -> DataFrame:
-    mm = d.match_maps
-    t1, t2 = F.col("team_1_id"), F.col("team_2_id")
-    df = join_date(mm, d).filter(F.col("match_id") != F.lit(match_id)).select(
-        "match_id", "map_id", "team_1_id", "team_2_id", "duration",
-        "team_1_def_score", "team_1_atk_score", "team_1_ot_score",
-        "team_2_def_score", "team_2_atk_score", "team_2_ot_score",
-        recode_ordinal(F.col("team_def_first"), t1, t2).alias("team_def_first"),
-        recode_ordinal(F.col("team_pick"), t1, t2, other=3).alias("team_pick"),
-        "date",
-    )
+    """Maps with their date; columns that name a team hold its place (1, 2)."""
+    places = {c: recode_ordinal(F.col(c), F.col("team_1_id"), F.col("team_2_id"), other) for c, other in TEAM_CODES.items()}
+    df = join_date(d.match_maps, d).where(F.col("match_id") != match_id).withColumns(places)
+    df = df.select(*SCHEMAS["match_maps"].fieldNames(), "date")
     return df if as_of is None else filter_window(df, as_of, days)
 
 

@@ -21,7 +21,7 @@ _DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     # Broadcasts happen only through explicit, size-checked hints (see
-    # operators.joins.broadcast_if_small); never by a statistics guess that
+    # operators.joins.bounded_broadcast); never by a statistics guess that
     # can be wrong for derived frames.
     "spark.sql.autoBroadcastJoinThreshold": "-1",
     # AQE may still turn a join into a broadcast join, but only after the
