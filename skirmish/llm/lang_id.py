@@ -2,7 +2,8 @@
 
 Every language has a probability for each piece of a fixed public vocabulary.
 A word's likelihood is the sum over all ways to cut it into pieces, found by
-the forward algorithm; a text's is the product over its words. Pieces never
+the forward algorithm over the whole word, however long, whose probabilities
+are rescaled on the way; a text's is the product over its words. Pieces never
 span words, so words are scored once per slice of a partition, many at a time
 as numpy arrays, and a text sums over its words. The probabilities come from
 expectation maximisation (forward-backward) over the word counts of a bounded
@@ -26,21 +27,23 @@ from skirmish.llm.tokens import slices
 FIT_DOCS = 2_000  # expected documents per language in the sample
 ROUNDS = 3  # of expectation maximisation
 UNKNOWN = 1e-8  # probability of a letter that is no piece
-MOST = 24  # code points of a word part; longer words are cut
+FIT_WORD = 1_024  # code points; longer words of the sample are not learned from (all words are scored whole)
 START = "▁"  # stands before a word in the vocabulary
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _EDGE = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~0123456789"
-_CHUNK = 4096
+_CELLS = 1 << 17  # words times longest word of one chunk
+_BLOCK = 4096  # positions whose pieces are looked up at a time
+_RESCALE = 8  # positions between two rescalings; no table holds less than 1e-20
 
 
 class Pieces:
-    """The vocabulary's pieces of one word or a part of it, found by hash."""
+    """The vocabulary's pieces of one word, found by hash."""
 
     def __init__(self, path: str):
         model = sentencepiece.SentencePieceProcessor(model_file=path)
         usable = [model.id_to_piece(i) for i in range(model.get_piece_size())
                   if not (model.is_control(i) or model.is_byte(i) or model.is_unknown(i))]
-        self.names = sorted({p for p in usable if START not in p[1:] and len(p) <= MOST})
+        self.names = sorted({p for p in usable if START not in p[1:]})
         self.longest = max(map(len, self.names))
         codes, lengths = _codes(self.names)
         at = np.r_[0, np.cumsum(lengths)]
@@ -68,31 +71,40 @@ class Pieces:
         out[maybe[hit]] = self.order[at[hit]]
         return out
 
-    def lattice(self, parts: list[str]):
-        """(lengths, edges): edges[j] lists (l, rows, pieces) for the pieces of
-        l code points that end at position j of the parts in ``rows``."""
-        codes, lengths = _codes(parts)
-        n = int(lengths.max())
-        grid = np.zeros((len(parts), n), np.uint64)
-        grid[np.arange(n) < lengths[:, None]] = codes
-        prefix = [np.zeros(len(parts), np.uint64)]
-        for j in range(n):
-            prefix.append(prefix[-1] * _BASE + grid[:, j])
-        power = [np.uint64(1)]
-        with np.errstate(over="ignore"):
-            for _ in range(self.longest):
-                power.append(power[-1] * _BASE)
-        edges = [[] for _ in range(n + 1)]
-        for j in range(1, n + 1):
-            inside = np.flatnonzero(lengths >= j)
-            for l in range(1, min(j, self.longest) + 1):
-                found = self.find((prefix[j][inside] - prefix[j - l][inside] * power[l]) ^ np.uint64(l))
-                hit = found >= 0
-                if hit.any():
-                    edges[j].append((l, inside[hit], found[hit]))
-                if l == 1 and not hit.all():
-                    edges[j].append((1, inside[~hit], found[~hit]))  # the last row of a table: unknown
-        return lengths, edges
+    def lattice(self, words: list[str]):
+        """(lengths, steps): a step for each position j from 1 lists (l, rows,
+        pieces) for the pieces of l code points that end at j in the words
+        ``rows``. Steps are made block by block."""
+        codes, lengths = _codes(words)
+        grid = np.zeros((len(words), int(lengths.max())), np.uint64)
+        grid[np.arange(grid.shape[1]) < lengths[:, None]] = codes
+        return lengths, self._steps(grid, lengths)
+
+    def _steps(self, grid, lengths):
+        n = grid.shape[1]
+        for a in range(0, n, _BLOCK):
+            b = min(n, a + _BLOCK)
+            start = max(0, a - self.longest + 1)
+            part = grid[:, start:b]
+            steps = [[] for _ in range(b - a)]
+            h = part
+            for l in range(1, self.longest + 1):
+                # h: hashes of the windows of l code points that end at start + l - 1 and later.
+                first = max(a, start + l - 1)
+                if first >= b:
+                    break
+                inside = np.arange(first, b)[:, None] < lengths
+                ends, rows = np.nonzero(inside)
+                found = self.find(h[:, first - (start + l - 1):].T[inside] ^ np.uint64(l))
+                if l > 1:
+                    hit = found >= 0
+                    ends, rows, found = ends[hit], rows[hit], found[hit]
+                # A letter that is no piece keeps -1, the last row of a table: unknown.
+                cuts = np.searchsorted(ends, np.arange(b - first + 1))
+                for i in np.flatnonzero(np.diff(cuts)):
+                    steps[first - a + i].append((l, rows[cuts[i]:cuts[i + 1]], found[cuts[i]:cuts[i + 1]]))
+                h = h[:, :-1] * _BASE + part[:, l:]
+            yield from steps
 
 
 def _codes(words: list[str]):
@@ -107,62 +119,75 @@ def pieces(path: str) -> Pieces:
     return Pieces(path)
 
 
-def forward(lengths, edges, table):
-    """alpha[j, part, language]: probability of the first j code points, all
-    segmentations summed. ``table``: piece probabilities, last row unknown."""
-    alpha = np.zeros((len(edges), len(lengths), table.shape[1]))
+def forward(lengths, steps, table, longest: int):
+    """Log probability of each word in each language, all segmentations
+    summed. ``table``: piece probabilities, last row unknown. Only the last
+    ``longest`` positions are held, and divided by their largest now and then."""
+    width = longest + 1
+    alpha = np.zeros((width, len(lengths), table.shape[1]))
     alpha[0] = 1
-    for j in range(1, len(edges)):
-        for l, rows, found in edges[j]:
-            alpha[j, rows] += alpha[j - l, rows] * table[found]
-    return alpha
-
-
-def expected(lengths, edges, table, language, weight, out):
-    """Add the expected counts of the pieces of parts, each of one language
-    and weight, to ``out`` (flat: language * pieces + piece)."""
-    n, width = len(edges) - 1, len(table)
-    # One column is enough: each part's own language.
-    alpha = np.zeros((n + 1, len(lengths)))
-    alpha[0] = 1
-    own = [[(l, rows, found, table[found, language[rows]]) for l, rows, found in e] for e in edges]
+    scale, out = np.zeros(alpha.shape[1:]), np.zeros(alpha.shape[1:])
+    order = np.argsort(lengths, kind="stable")
+    cuts = np.searchsorted(lengths[order], np.arange(int(lengths.max()) + 2))
+    for j, step in enumerate(steps, 1):
+        now = alpha[j % width]
+        now[:] = 0
+        for l, rows, found in step:
+            now[rows] += alpha[(j - l) % width, rows] * table[found]
+        done = order[cuts[j]:cuts[j + 1]]
+        out[done] = np.log(now[done]) + scale[done]
+        if j % _RESCALE == 0:
+            most = alpha.max(0)
+            most[most == 0] = 1  # words that have ended
+            alpha /= most
+            scale += np.log(most)
+    return out
+
+
+def expected(lengths, steps, table, language, weight, out):
+    """Add the expected counts of the pieces of words, each of one language
+    and weight, to ``out`` (flat: language * pieces + piece); in logarithms."""
+    n, width, each = int(lengths.max()), len(table), np.arange(len(lengths))
+    logs = np.log(table)
+    # One column is enough: each word's own language.
+    own = [()] + [[(l, rows, found, logs[found, language[rows]]) for l, rows, found in step] for step in steps]
+    alpha = np.full((n + 1, len(lengths)), -np.inf)
+    alpha[0] = 0
     for j in range(1, n + 1):
         for l, rows, _, p in own[j]:
-            alpha[j, rows] += alpha[j - l, rows] * p
-    beta = np.zeros((n + 1, len(lengths)))
-    beta[lengths, np.arange(len(lengths))] = 1
-    total = alpha[lengths, np.arange(len(lengths))]
+            alpha[j, rows] = np.logaddexp(alpha[j, rows], alpha[j - l, rows] + p)
+    beta = np.full((n + 1, len(lengths)), -np.inf)
+    beta[lengths, each] = 0
+    total = alpha[lengths, each]
     for j in range(n, 0, -1):
         for l, rows, found, p in own[j]:
-            flow = p * beta[j, rows]
-            beta[j - l, rows] += flow
+            flow = p + beta[j, rows]
+            beta[j - l, rows] = np.logaddexp(beta[j - l, rows], flow)
             known = found >= 0
             np.add.at(out, language[rows[known]] * width + found[known],
-                      (weight[rows] * alpha[j - l, rows] * flow / total[rows])[known])
+                      (weight[rows] * np.exp(alpha[j - l, rows] + flow - total[rows]))[known])
 
 
-def _parts(words: list[str]):
-    """Word parts with the start mark, and the word of each part."""
-    parts, owner = [], []
-    for i, w in enumerate(words):
-        w = START + w
-        for k in range(0, len(w), MOST):
-            parts.append(w[k:k + MOST])
-            owner.append(i)
-    return parts, np.array(owner, np.int64)
+def _chunks(words: list[str]):
+    """Positions of the words by length, so many at a time that they and the
+    longest of them make at most ``_CELLS`` (one word at least)."""
+    lengths = np.fromiter(map(len, words), np.int64, len(words))
+    order = np.argsort(lengths, kind="stable")
+    i = 0
+    while i < len(order):
+        some = lengths[order[i:i + _CELLS]]
+        n = max(1, int(np.searchsorted(some * np.arange(1, len(some) + 1), _CELLS, "right")))
+        yield order[i:i + n]
+        i += n
 
 
 def word_scores(words: list[str], vocab: Pieces, table) -> np.ndarray:
-    """Log likelihood of each word in each language; the empty word scores 0."""
+    """Log likelihood of each whole word in each language; the empty word scores 0."""
     out = np.zeros((len(words), table.shape[1]))
-    parts, owner = _parts([w for w in words if w])
     full = np.flatnonzero(np.fromiter(map(bool, words), bool, len(words)))
-    order = np.argsort(np.fromiter(map(len, parts), np.int64, len(parts)), kind="stable")
-    for i in range(0, len(order), _CHUNK):
-        some = order[i:i + _CHUNK]
-        lengths, edges = vocab.lattice([parts[k] for k in some])
-        alpha = forward(lengths, edges, table)
-        np.add.at(out, full[owner[some]], np.log(alpha[lengths, np.arange(len(some))]))
+    marked = [START + words[i] for i in full]
+    for some in _chunks(marked):
+        out[full[some]] = forward(*vocab.lattice([marked[k] for k in some]), table, vocab.longest)
     return out
 
 
@@ -180,7 +205,8 @@ def _words(texts: pa.Array):
 
 def fit(df: DataFrame, text_col: str, lang_col: str, vocab_path: str, docs: int = FIT_DOCS):
     """(languages, probability table) from rows of text and language: about
-    ``docs`` rows per language, chosen by the hash of their text."""
+    ``docs`` rows per language, chosen by the hash of their text, without their
+    words of over ``FIT_WORD`` code points."""
     rows = df.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text"))
     rows = rows.where("lang is not null and text is not null")
     sizes = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
@@ -206,7 +232,7 @@ def fit(df: DataFrame, text_col: str, lang_col: str, vocab_path: str, docs: int
                                                   pa.array(n, pa.int64())], names=["lang", "word", "n"])
 
     counts = stored(sample.select("lang", "text").mapInArrow(count, "lang string, word string, n long")
-                    .where("word <> ''").groupBy("lang", "word").agg(F.sum("n").alias("n")), "words")
+                    .where(F.col("word") != "").where(F.length("word") <= FIT_WORD).groupBy("lang", "word").agg(F.sum("n").alias("n")), "words")
     at = {name: i for i, name in enumerate(languages)}
     table = np.full((width, len(languages)), 1.0 / width)
     for _ in range(ROUNDS):
@@ -218,12 +244,10 @@ def fit(df: DataFrame, text_col: str, lang_col: str, vocab_path: str, docs: int
             for batch in batches:
                 lang = np.array([at[x] for x in batch.column("lang").to_pylist()], np.int64)
                 weight = batch.column("n").to_numpy(zero_copy_only=False).astype(float)
-                parts, owner = _parts(batch.column("word").to_pylist())
-                order = np.argsort(np.fromiter(map(len, parts), np.int64, len(parts)), kind="stable")
-                for i in range(0, len(order), _CHUNK):
-                    some = order[i:i + _CHUNK]
-                    lengths, edges = vocab.lattice([parts[k] for k in some])
-                    expected(lengths, edges, table, lang[owner[some]], weight[owner[some]], out)
+                words = [START + w for w in batch.column("word").to_pylist()]
+                for some in _chunks(words):
+                    lengths, steps = vocab.lattice([words[k] for k in some])
+                    expected(lengths, steps, table, lang[some], weight[some], out)
             found = np.flatnonzero(out)
             yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(out[found])], names=["i", "c"])
 

@@ -5,8 +5,10 @@ import base64
 import collections
 import hashlib
 import itertools
+import math
 import re
 import zlib
+from fractions import Fraction
 
 import duckdb
 import numpy as np
@@ -264,22 +266,65 @@ def test_language_forward_sums_all_segmentations():
     known = {p: i for i, p in enumerate(vocab.names)}
     rng = np.random.default_rng(0)
     table = rng.random((len(known) + 1, 2)) / 1000
-    words = ["▁there", "▁été", "▁日本", "▁a"]
-    lengths, edges = vocab.lattice(words)
-    alpha = forward(lengths, edges, table)
+    words = ["▁there", "▁été", "▁日本", "▁a", "▁donaudampfschifffahrtsgesellschaft", "▁" + "therein" * 40, "▁" + "x日ing" * 1100]
+    got = forward(*vocab.lattice(words), table, vocab.longest)
+
+    def brute(word, language):
+        # Exact fractions have no least number.
+        alpha = [Fraction(1)]
+        for j in range(1, len(word) + 1):
+            alpha.append(sum(alpha[j - l] * Fraction(table[known.get(word[j - l:j], len(known)), language])
+                             for l in range(1, min(j, vocab.longest) + 1) if l == 1 or word[j - l:j] in known))
+        return alpha[-1]
+
+    for i, w in enumerate(words[:-1]):
+        for language in (0, 1):
+            want = brute(w, language)
+            np.testing.assert_allclose(got[i, language], math.log(want.numerator) - math.log(want.denominator), rtol=1e-12)
+    # A word over several blocks of positions: the ratio of two lengths is that of one more repetition.
+    a, b, c = (forward(*vocab.lattice(["▁" + "x日ing" * n]), table, vocab.longest)[0] for n in (1098, 1099, 1100))
+    np.testing.assert_allclose(c - b, b - a, rtol=1e-9)
+    np.testing.assert_allclose(got[-1], c)
+
+
+def test_words_are_scored_whole_in_any_company():
+    from skirmish.llm.lang_id import pieces, word_scores
+    vocab = pieces(public_tokenizers.path("piece_bpe_32k.model"))
+    table = np.random.default_rng(1).random((len(vocab.names) + 1, 3)) / 1000
+    words = ["", "a", "internationalisation" * 9, "b" * 70_000, *[f"word{i}" for i in range(9000)]]
+    got = word_scores(words, vocab, table)
+    assert not got[0].any()
+    for i in (1, 2, 3, 4, 9003):
+        np.testing.assert_allclose(got[i], word_scores([words[i]], vocab, table)[0])
+
+
+def test_expected_counts_equal_the_listed_segmentations():
+    from skirmish.llm.lang_id import expected, pieces
+    vocab = pieces(public_tokenizers.path("piece_bpe_32k.model"))
+    known = {p: i for i, p in enumerate(vocab.names)}
+    table = np.random.default_rng(3).random((len(known) + 1, 2)) / 1000
+    words, language, weight = ["▁there", "▁zählen"], np.array([0, 1]), np.array([2.0, 1.0])
+    out = np.zeros(2 * len(table))
+    expected(*vocab.lattice(words), table, language, weight, out)
+    want = np.zeros_like(out)
 
-    def brute(word):
+    def cuts(word):
         if not word:
-            return np.ones(2)
-        total = np.zeros(2)
+            yield []
         for k in range(1, len(word) + 1):
-            at = known.get(word[:k], len(known) if k == 1 else None)
+            at = known.get(word[:k], -1 if k == 1 else None)
             if at is not None:
-                total += table[at] * brute(word[k:])
-        return total
-
-    for i, w in enumerate(words):
-        np.testing.assert_allclose(alpha[lengths[i], i], brute(w))
+                for rest in cuts(word[k:]):
+                    yield [at, *rest]
+
+    for w, lang, n in zip(words, language, weight):
+        each = [(c, np.prod(table[c, lang])) for c in cuts(w)]
+        total = sum(p for _, p in each)
+        for c, p in each:
+            for at in c:
+                if at >= 0:
+                    want[lang * len(table) + at] += n * p / total
+    np.testing.assert_allclose(out, want, atol=1e-12)
 
 
 def test_languages_of_held_out_rows(spark, docs, none):
