@@ -2,11 +2,14 @@
 
 Text statistics become a vector of four numbers on a fixed grid; per language
 and source a minimum-covariance-determinant estimate (centre and scatter of the
-share ``H`` of the documents that lies closest together) is found by C-steps,
-and a document is rejected whose Mahalanobis distance is beyond a chi-square
+share ``H`` of the documents that lies closest together) is found by C-steps
+from three starts, of which the one with the least determinant is taken, and a
+document is rejected whose Mahalanobis distance is beyond a chi-square
 quantile. Most documents have none of the last three numbers at all, so a
 group's closest share may have no scatter in them; each number's variance is
-therefore raised by its pooled robust scatter, taken from the data (``floors``).
+therefore raised (``floors``) by its pooled scatter, every number trimmed on
+itself, and by the counting noise of a text of median length. Neither grows with
+the outliers while they are fewer than a share 1 - ``H`` of their group.
 DataFrame functions only. Every C-step is two grouped aggregations
 over a narrow stored table: counts by distance step, and sums of products;
 both combine before the shuffle, so a hot group costs no more than a cold one.
@@ -31,6 +34,7 @@ MIN_GROUP = 100  # smaller groups use their language's estimate, then the estima
 GRID = 1024  # steps per unit of the vector
 TINY = 1 / GRID  # least standard deviation, only against singular matrices
 PRIOR_WORDS, PRIOR_CHARS = 50, 300  # weigh short texts' mean word length down
+PRIOR_LINES = 20  # and their share of repeated lines
 P = 4  # numbers of the vector
 
 SPACE = r"[\x20\x09-\x0D]+"
@@ -52,6 +56,8 @@ def chi2_quantile_even(tail: float, dof: int) -> float:
     return high
 
 
+#: Columns of an estimate: centre and Cholesky factor.
+ESTIMATE = [f"m{i}" for i in range(P)] + [f"l{i}{j}" for i in range(P) for j in range(i + 1)]
 LIMIT = chi2_quantile_even(TAIL, P)
 #: The scatter of the closest share H of a normal group is too small by this factor.
 CONSISTENCY = H / chi2_cdf_even(chi2_quantile_even(1 - H, P), P + 2)
@@ -99,12 +105,12 @@ def text_statistics(df: DataFrame, text_col: str, keep: list[Column]) -> DataFra
 
 def vector() -> list[Column]:
     """The transformed statistics in steps of 1 / ``GRID``: smoothed mean word
-    length, and roots of the shares of symbols, repeated lines and repeated words."""
+    length, and roots of the shares of symbols, repeated lines (smoothed) and repeated words."""
     def root(a, b):
         return F.sqrt(F.col(a) / F.greatest(F.col(b), F.lit(1)).cast("double"))
 
     values = [(F.col("word_chars") + PRIOR_CHARS) / (F.col("n_words") + PRIOR_WORDS).cast("double"),
-              root("n_symbols", "word_chars"), root("n_dup_lines", "n_lines"), root("n_repeat_words", "n_words")]
+              root("n_symbols", "word_chars"), F.sqrt(F.col("n_dup_lines") / (F.col("n_lines") + PRIOR_LINES).cast("double")), root("n_repeat_words", "n_words")]
     return [F.floor(v * GRID + 0.5).cast("long").alias(f"x{i}") for i, v in enumerate(values)]
 
 
@@ -137,53 +143,102 @@ def _factor(moments: DataFrame, least: list[float]) -> DataFrame:
             for k in range(j):
                 cov = cov - F.col(f"l{i}{k}") * F.col(f"l{j}{k}")
             out = out.withColumn(f"l{i}{j}", F.sqrt(cov) if i == j else cov / F.col(f"l{j}{j}"))
-    return out.select("g", *[f"m{i}" for i in range(P)], *[f"l{i}{j}" for i in range(P) for j in range(i + 1)])
+    return out.select("g", "s", *ESTIMATE)
 
 
 def _moments(vectors: DataFrame) -> DataFrame:
     w = F.col("w")
-    return vectors.groupBy("g").agg(
+    return vectors.groupBy("g", "s").agg(
         F.sum("w").alias("n"), *[F.sum(F.col(f"x{i}") * w).alias(f"s{i}") for i in range(P)],
         *[F.sum(F.col(f"x{i}") * F.col(f"x{j}") * w).alias(f"q{i}{j}") for i in range(P) for j in range(i + 1)])
 
 
-def _medians(vectors: DataFrame) -> DataFrame:
-    """Coordinate medians m of each group."""
-    number = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.col(f"x{i}").alias("x")) for i in range(P)]))
+def _long(vectors: DataFrame, value) -> DataFrame:
+    """(g, i, x, n, upto, all): how often each number i of a group has the value
+    ``value(i)``, running total and total; as many rows as grid values."""
+    number = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), value(i).alias("x")) for i in range(P)]))
     counts = vectors.select("g", "w", number.alias("v")).groupBy("g", "v.i", "v.x").agg(F.sum("w").alias("n"))
     part = Window.partitionBy("g", "i")
-    middle = (counts.withColumn("upto", F.sum("n").over(part.orderBy("x").rowsBetween(Window.unboundedPreceding, 0)))
-              .withColumn("all", F.sum("n").over(part))
-              .where("2 * upto >= all").groupBy("g", "i").agg((F.min("x") / GRID).alias("m")))
-    return middle.groupBy("g").agg(*[F.max(F.when(F.col("i") == i, F.col("m"))).alias(f"m{i}") for i in range(P)])
+    return (counts.withColumn("upto", F.sum("n").over(part.orderBy("x").rowsBetween(Window.unboundedPreceding, 0)))
+            .withColumn("all", F.sum("n").over(part)))
+
+
+def _quantiles(vectors: DataFrame) -> DataFrame:
+    """Coordinate medians m and lower quartiles b of each group."""
+    each = _long(vectors, lambda i: F.col(f"x{i}")).groupBy("g", "i").agg(
+        (F.min(F.when(2 * F.col("upto") >= F.col("all"), F.col("x"))) / GRID).alias("m"),
+        (F.min(F.when(4 * F.col("upto") >= F.col("all"), F.col("x"))) / GRID).alias("b"))
+    return each.groupBy("g").agg(*[F.max(F.when(F.col("i") == i, F.col(c))).alias(f"{c}{i}") for c in "mb" for i in range(P)])
+
+
+def _spread(vectors: DataFrame, quantiles: DataFrame) -> DataFrame:
+    """Per group and number i: rows n{i} and squared steps t{i} from the median
+    over the share ``H`` of the group that is closest in this number."""
+    near = vectors.join(quantiles, "g")
+    inner = _long(near, lambda i: F.abs(F.col(f"x{i}") - F.round(F.col(f"m{i}") * GRID).cast("long"))).where(
+        F.col("upto") - F.col("n") < F.col("all") * H)
+    own = [F.col("i") == i for i in range(P)]
+    return inner.groupBy("g").agg(*[F.sum(F.when(own[i], F.col("n"))).alias(f"n{i}") for i in range(P)],
+                                  *[F.sum(F.when(own[i], F.col("x") * F.col("x") * F.col("n"))).alias(f"t{i}") for i in range(P)])
 
 
 def _closest(near: DataFrame) -> DataFrame:
-    """(g, cut): the least step within which the share ``H`` of a group lies."""
-    counts = near.groupBy("g", "step").agg(F.sum("w").alias("n"))
-    part = Window.partitionBy("g")
+    """(g, s, cut): the least step within which the share ``H`` of a group lies."""
+    counts = near.groupBy("g", "s", "step").agg(F.sum("w").alias("n"))
+    part = Window.partitionBy("g", "s")
     return (counts.withColumn("upto", F.sum("n").over(part.orderBy("step").rowsBetween(Window.unboundedPreceding, 0)))
             .withColumn("all", F.sum("n").over(part))
-            .where(F.col("upto") >= F.col("all") * H).groupBy("g").agg(F.min("step").alias("cut")))
-
-
-def floors(vectors: DataFrame, medians: DataFrame) -> list[float]:
-    """Pooled robust scatter of each number: root mean square distance from
-    the group's median, over the share ``H`` of every group whose word length,
-    the one number that all documents have, lies closest to the median."""
-    near = vectors.join(medians, "g").select("g", "w", *[
-        (F.col(f"x{i}") - F.round(F.col(f"m{i}") * GRID).cast("long")).alias(f"d{i}") for i in range(P)]).withColumn("step", F.abs("d0"))
-    inner = near.join(stored(_closest(near), "cut"), "g").where("step <= cut")
-    n, *sums = inner.agg(F.sum("w"), *[F.sum(F.col(f"d{i}") * F.col(f"d{i}") * F.col("w")) for i in range(P)]).first()
-    return [max(math.sqrt((q or 0) / (n or 1)) / GRID, TINY) for q in sums]
+            .where(F.col("upto") >= F.col("all") * H).groupBy("g", "s").agg(F.min("step").alias("cut")))
+
+
+def counting_noise(rows: DataFrame) -> list[float]:
+    """Scatter that counting alone gives each number in a text of median length:
+    the root of a share k / n has the variance c / 4n if k comes in clusters of c
+    (a repeated window is five words). Medians go by eighths of a power of two,
+    so at most some hundred counts reach the driver. Mean word length: none."""
+    sizes = [F.col("word_chars"), F.col("n_lines") + PRIOR_LINES, F.col("n_words")]
+    step = F.explode(F.array(*[F.struct(F.lit(i + 1).alias("i"), F.floor(F.log2(F.greatest(n, F.lit(1)).cast("double")) * 8).alias("e"))
+                               for i, n in enumerate(sizes)]))
+    counts = rows.select(step.alias("v")).groupBy("v.i", "v.e").count().orderBy("i", "e").collect()
+    noise = [0.0] * P
+    for i, cluster in zip(range(1, P), (1, 1, 5)):
+        own = [(r["e"], r["count"]) for r in counts if r["i"] == i]
+        half, total = 0, sum(n for _, n in own)
+        for e, n in own:
+            half += n
+            if 2 * half >= total:
+                noise[i] = math.sqrt(cluster / 2 ** (e / 8)) / 2
+                break
+    return noise
+
+
+def floors(spread: DataFrame, noise: list[float]) -> list[float]:
+    """Least scatter of each number: its counting noise or, if larger, the root
+    mean square distance from the medians of all groups, trimmed on itself."""
+    sums = spread.agg(*[F.sum(f"{c}{i}").alias(f"{c}{i}") for c in "nt" for i in range(P)]).first()
+    return [max(math.sqrt((sums[f"t{i}"] or 0) / (sums[f"n{i}"] or 1)) / GRID, noise[i], TINY) for i in range(P)]
+
+
+def _starts(quantiles: DataFrame, spread: DataFrame, least: list[float]) -> DataFrame:
+    """Three diagonal estimates s of each group: medians with twice the floors,
+    medians with the group's own trimmed scatter, lower quartiles with twice the floors."""
+    own = [F.greatest(F.sqrt(F.col(f"t{i}") / F.col(f"n{i}").cast("double")) / GRID, F.lit(x)) for i, x in enumerate(least)]
+    twice = [F.lit(2 * x) for x in least]
+
+    def start(s, centre, scatter):
+        factor = [(scatter[i] if i == j else F.lit(0.0)).alias(f"l{i}{j}") for i in range(P) for j in range(i + 1)]
+        return F.struct(F.lit(s).alias("s"), *[F.col(f"{centre}{i}").alias(f"m{i}") for i in range(P)], *factor)
+
+    each = F.explode(F.array(start(0, "m", twice), start(1, "m", own), start(2, "b", twice)))
+    return quantiles.join(spread, "g").select("g", each.alias("e")).select("g", "e.*")
 
 
 def _c_step(vectors: DataFrame, estimate: DataFrame, least: list[float]) -> DataFrame:
-    """Estimate from the share ``H`` of each group that lies closest to an
-    estimate; distances are compared in steps of 1/64."""
-    near = vectors.join(estimate, "g").select("g", "w", *[f"x{i}" for i in range(P)],
+    """Each start's estimate from the share ``H`` of each group that lies
+    closest to its last one; distances are compared in steps of 1/64."""
+    near = vectors.join(estimate, "g").select("g", "s", "w", *[f"x{i}" for i in range(P)],
                                               F.floor(F.sqrt(_distance()) * 64).alias("step"))
-    return _factor(_moments(near.join(stored(_closest(near), "cut"), "g").where("step <= cut")), least)
+    return _factor(_moments(near.join(stored(_closest(near), "cut"), ["g", "s"]).where("step <= cut")), least)
 
 
 def _levels() -> list[Column]:
@@ -202,15 +257,22 @@ def _groups(rows: DataFrame) -> DataFrame:
                         .when(of_lang >= MIN_GROUP, lang).otherwise(everything).alias("own"))
 
 
-def mcd(vectors: DataFrame) -> DataFrame:
+def mcd(vectors: DataFrame, noise: list[float]) -> DataFrame:
     """Minimum covariance determinant of weighted grid vectors (g, x.., w) per
-    group g: centre m.. and Cholesky factor l.. of the scatter."""
-    medians = stored(_medians(vectors), "medians")
-    least = floors(vectors, medians)
-    estimate = medians.select("*", *[F.lit(2 * least[i] if i == j else 0.0).alias(f"l{i}{j}") for i in range(P) for j in range(i + 1)])
+    group g: centre m.. and Cholesky factor l.. of the scatter of the start
+    that ends with the least determinant (a tie: the first). ``noise``: the
+    least scatter of each number."""
+    quantiles = stored(_quantiles(vectors), "quantiles")
+    spread = stored(_spread(vectors, quantiles), "spread")
+    least = floors(spread, noise)
+    estimate = _starts(quantiles, spread, least)
     for _ in range(C_STEPS):
         estimate = stored(_c_step(vectors, estimate, least), "estimate")
-    return estimate
+    root = F.lit(1.0)
+    for i in range(P):
+        root = root * F.col(f"l{i}{i}")
+    best = F.min_by(F.struct(*ESTIMATE), F.struct(root, F.col("s"))).alias("e")
+    return estimate.groupBy("g").agg(best).select("g", "e.*")
 
 
 def quality_rules(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
@@ -237,7 +299,7 @@ def quality_rules(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     xs = [f"x{i}" for i in range(P)]
     vectors = stored(rows.select("*", F.explode(F.array(*_levels())).alias("g")).join(wanted, "g", "left_semi")
                      .groupBy("g", *xs).agg(F.count("*").alias("w")), "vectors")
-    estimate = stored(groups.join(mcd(vectors).withColumnRenamed("g", "own"), "own"), "estimates")
+    estimate = stored(groups.join(mcd(vectors, counting_noise(rows)).withColumnRenamed("g", "own"), "own"), "estimates")
     judged = stats.join(estimate, ["lang", "source"], "left").withColumn("distance", F.when(~F.col("base_failed"), _distance()))
     return judged.select(
         F.col("id").alias(id_col), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",

@@ -202,6 +202,70 @@ def test_moderate_symbol_junk_is_an_outlier(spark):
     assert not any(i >= 1000 for i in kept) and len(kept) >= 297
 
 
+def test_outliers_of_each_kind_at_each_share(spark):
+    from skirmish.llm.quality_rules import quality_rules
+    rng = np.random.default_rng(5)
+
+    def words(n, low=3, high=9):
+        return ["".join(rng.choice(list("abcdefghij"), k)) for k in rng.integers(low, high, n)]
+
+    def lines(ws, n=8):
+        return "\n".join(" ".join(ws[i:i + n]) for i in range(0, len(ws), n))
+
+    def symbols():
+        return lines(["".join("#" if rng.random() < 0.1 else c for c in w) for w in words(300)])
+
+    def repeated_lines():
+        return "\nadvert\n".join(lines(words(300)).split("\n"))
+
+    def repeated_words():
+        ws = words(300)
+        ws[200:227] = ws[20:47]
+        return lines(ws)
+
+    kinds = {"symbols": symbols, "lines": repeated_lines, "words": repeated_words, "length": lambda: lines(words(300, 12, 18))}
+    data = []
+    for kind, junk in kinds.items():
+        for percent in (5, 15, 24):
+            n = round(120 * percent / (100 - percent))
+            data += [(0, lines(words(int(rng.integers(200, 400)))), kind, str(percent)) for _ in range(120)]
+            data += [(1, junk(), kind, str(percent)) for _ in range(n)]
+    df = spark.createDataFrame([(i, *r) for i, r in enumerate(data)], "id long, junk long, text string, lang string, source string")
+    got = quality_rules(df, id_col="id").join(df.select("id", "junk", "lang", "source"), "id").toPandas()
+    assert not got.base_failed.any()
+    assert not got[(got.junk == 1) & got.kept].groupby(["lang", "source"]).size().to_dict()
+    assert (~got[got.junk == 0].kept).mean() <= 0.01
+
+
+def test_mcd_equals_the_least_of_all_subsets(spark):
+    from skirmish.llm.quality_rules import CONSISTENCY, GRID, H, P, TINY, floors, mcd, _quantiles, _spread
+    rng = np.random.default_rng(11)
+    noise = [0.0, 0.01, 0.02, 0.03]
+    points = {}
+    for g in "abc":
+        x = rng.normal(0, 0.1, (12, P)) + [5, 0.3, 0.3, 0.3]
+        x[:3] += [[3, 0, 0, 0], [0, 2, 2, 0], [0, 0, -2, 3]][:3]
+        points[g] = np.floor(x * GRID + 0.5).astype(int)
+    vectors = spark.createDataFrame([(g, *map(int, r), 1) for g, x in points.items() for r in x],
+                                    "g string, x0 long, x1 long, x2 long, x3 long, w long")
+    quantiles = _quantiles(vectors)
+    least = floors(_spread(vectors, quantiles), noise)
+    size = math.ceil(12 * H)
+    squares = [(np.sort(abs(x - np.sort(x, 0)[5]), 0)[:size] ** 2).sum(0) for x in points.values()]
+    np.testing.assert_allclose(least, np.maximum(np.maximum(np.sqrt(sum(squares) / (3 * size)) / GRID, noise), TINY))
+    got = {r["g"]: r for r in mcd(vectors, noise).collect()}
+    for g, x in points.items():
+        best = None
+        for some in itertools.combinations(range(12), size):
+            y = x[list(some)] / GRID
+            scatter = np.cov(y.T, bias=True) * CONSISTENCY + np.diag(np.square(least))
+            det = np.linalg.det(scatter)
+            if best is None or det < best[0]:
+                best = det, y.mean(0), np.linalg.cholesky(scatter)
+        np.testing.assert_allclose([got[g][f"m{i}"] for i in range(P)], best[1], atol=1e-9)
+        np.testing.assert_allclose([[got[g][f"l{i}{j}"] if j <= i else 0 for j in range(P)] for i in range(P)], best[2], atol=1e-9)
+
+
 def test_simhash_components(spark, docs, none):
     from skirmish.llm.simhash import fingerprint, simhash_components
     got = rows(simhash_components(docs))
