@@ -6,8 +6,12 @@ columns of documents; the last one returns the packed pieces. A document is a
 row, so repeated ids with other texts are judged on their own, and rows with a
 null id take part like any other. Where a verdict is a row's own, the row
 itself is the operator's id and passes through it; the classifier's and the
-near-duplicates' verdicts come back by a join on id and text hash. That join is
-a sort-merge join at every size: the verdicts grow with the documents.
+near-duplicates' verdicts come back by a join on id, text hash, language and
+source, all that a verdict depends on. That join is a sort-merge join at every
+size: the verdicts grow with the documents.
+
+Null, empty and very long texts, null ids, repeated rows, extra columns and
+empty tables take the course that each stage's operator states.
 """
 
 from __future__ import annotations
@@ -31,7 +35,7 @@ def _with_row(docs: DataFrame) -> tuple[DataFrame, str]:
     while name.lower() in {c.lower() for c in docs.columns}:
         name += "_"
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    return docs.withColumn(name, F.struct(F.col("doc_id"), F.xxhash64(text).alias("h"))), name
+    return docs.withColumn(name, F.struct("doc_id", F.xxhash64(text).alias("h"), "lang", "source")), name
 
 
 def _without(docs: DataFrame, row: str, rejected: DataFrame) -> DataFrame:
