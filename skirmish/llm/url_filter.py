@@ -1,20 +1,26 @@
 """URL filters (operator 10): allow and block rules, then a list of URLs that
 a blocked Bloom filter and an exact hash join look up. DataFrame functions only.
 
-The filter is a table of ``BLOCKS`` words of 64 bits: a URL's hash picks one
-word, and four more groups of its bits set or test bits of that word, so a
-test reads one row. The table's size is fixed by the parameter, not by the
-list, so it can always be broadcast. Its hits go on to an exact join with the
-list, which removes the false positives; a fuller filter lets more URLs reach
-the join and changes no verdict.
+The filter is a table of words of 64 bits: a URL's hash picks one word, and
+four more groups of its bits set or test bits of that word, so a test reads one
+row. It has one word for ``LOAD`` listed URLs, by which about one of 100 other
+URLs is a possible hit, whatever the list's length. Up to ``MAX_WORDS`` words it
+is broadcast; a larger one is partitioned by word, and so are the URLs that no
+rule decides. Hits go on to an exact join with the list, which removes the
+false positives.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-BLOCKS = 1 << 15  # 64-bit words of the filter: 256 KB
+from skirmish.llm.storage import stored
+
+LOAD = 4  # listed URLs per 64-bit word of the filter
+MAX_WORDS = 1 << 21  # a larger filter is not broadcast: 32 MB of words and bits
 BITS = 4  # bits per URL
 
 # Fixed values: (verdict, host, path) of the rules.
@@ -75,14 +81,14 @@ def _word_and_mask(key: Column, blocks: int) -> tuple[Column, Column]:
     return F.pmod(F.shiftrightunsigned(h, 6 * BITS), F.lit(blocks)), mask
 
 
-def bloom(listed: DataFrame, key: str, blocks: int = BLOCKS) -> DataFrame:
+def bloom(listed: DataFrame, key: str, blocks: int) -> DataFrame:
     """Blocked Bloom filter of a column: (word, bits), at most ``blocks`` rows."""
     word, mask = _word_and_mask(F.col(key), blocks)
     return listed.where(F.col(key).isNotNull()).groupBy(word.alias("word")).agg(F.bit_or(mask).alias("bits"))
 
 
 def filter_urls(df: DataFrame, listed: DataFrame, id_col: str = "page_id", url_col: str = "url", rules=RULES,
-                blocks: int = BLOCKS) -> DataFrame:
+                max_words: int = MAX_WORDS) -> DataFrame:
     """Judge every URL: a rule decides where one fits, else the list does.
 
     ``listed``: column url, the URLs to block, as canonical URLs. Returns
@@ -91,17 +97,23 @@ def filter_urls(df: DataFrame, listed: DataFrame, id_col: str = "page_id", url_c
     allow. Repeated rows are judged each, null ids stay null, other columns
     are not read; an empty list blocks nothing, an empty table gives no row.
     """
+    keys = stored(listed.select(canonical(F.col("url")).alias("key")).where("key is not null").distinct(), "listed")
+    blocks = max(1, math.ceil(keys.count() / LOAD))
+    words = bloom(keys, "key", blocks)
     urls = df.select(F.col(id_col).alias("id"), F.col(url_col).cast("string").alias("url"))
     host, path = host_of(F.col("url")), path_of(F.col("url"))
     rule, verdict = rule_verdict(F.col("host"), F.col("path"), rules)
     judged = (urls.select("id", host.alias("host"), path.alias("path"), canonical(F.col("url")).alias("key"))
               .select("id", "host", "path", "key", rule.alias("rule"), verdict.alias("verdict")))
-    keys = listed.select(canonical(F.col("url")).alias("key")).where("key is not null").distinct()
     word, mask = _word_and_mask(F.col("key"), blocks)
-    tested = (judged.withColumn("word", F.when(F.col("verdict").isNull(), word)).withColumn("mask", mask)
-              .join(F.broadcast(bloom(keys, "key", blocks)), "word", "left")
-              .withColumn("possible", F.coalesce(F.col("bits").bitwiseAND(F.col("mask")) == F.col("mask"), F.lit(False))))
-    # Only possible hits are shuffled to the exact join; all other rows pass by.
+    # What no word can decide goes to a word of its own hash that no filter has, not all to one.
+    spread = -1 - F.pmod(F.xxhash64("id", "path"), F.lit(1 << 20))
+    asked = judged.withColumn("word", F.when(F.col("verdict").isNull() & F.col("key").isNotNull(), word).otherwise(spread))
+    tested = (asked.join(F.broadcast(words) if blocks <= max_words else words, "word", "left")
+              .withColumn("possible", F.coalesce(F.col("bits").bitwiseAND(mask) == mask, F.lit(False)))
+              .select("id", "host", "path", "rule", "verdict", "possible", F.when(F.col("possible"), F.col("key")).alias("key")))
+    # Urls are read, parsed and tested once; of the stored rows only possible hits are shuffled to the exact join.
+    tested = stored(tested, "tested")
     out = [F.col("id").alias(id_col), "host", "path", "rule"]
     hits = tested.where("possible").join(keys.withColumn("listed", F.lit(True)), "key", "left").select(
         *out, F.when(F.col("listed"), "block").otherwise("allow").alias("verdict"))

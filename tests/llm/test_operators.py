@@ -417,6 +417,33 @@ def test_url_filter_equals_its_sql(spark, tmp_path):
     assert collections.Counter(got) == collections.Counter(con.sql(OP10_SQL).fetchall())
 
 
+def test_url_filter_of_a_list_of_its_own(spark):
+    from skirmish.llm.url_filter import LOAD, _word_and_mask, bloom, filter_urls
+    listed = spark.createDataFrame([(f"http://h{i % 50}.net/p{i}/",) for i in range(6000)] + [(None,), ("no scheme",)], "url string")
+    data = [(i, f"https://www.h{i % 50}.net/p{i}?utm_source=a", "x", "y", i) for i in range(0, 12_000, 3)]
+    data += [(None, None, "x", "y", 0), (1, "", "x", "y", 0), (2, "http://h2.net/p2", "x", "y", 0), (2, "http://h2.net/p2", "x", "y", 0),
+             (3, "http://" + "h" * 100_000 + "/x", "x", "y", 0)]
+    # Extra columns whose names clash with results and helpers.
+    df = spark.createDataFrame(data, "page_id long, url string, host string, key string, word long")
+    want = collections.Counter()
+    for i, u, *_ in data:
+        known = bool(u) and (m := re.fullmatch(r"https?://(?:www\.)?h\d+\.net/p(\d+).*", u)) is not None and int(m[1]) < 6000
+        want[i, "block" if known else "allow"] += 1
+    for max_words in (1 << 21, 0):
+        got = filter_urls(df, listed, rules=[], max_words=max_words)
+        assert collections.Counter(rows(got.select("page_id", "verdict"))) == want
+    # The share of possible hits among keys that are not listed does not grow with the list.
+    for n in (100, 40_000):
+        blocks = math.ceil(n / LOAD)
+        word, mask = _word_and_mask(F.col("key"), blocks)
+        words = bloom(spark.range(n).select(F.concat(F.lit("in"), "id").alias("key")), "key", blocks)
+        other = spark.range(40_000).select(F.concat(F.lit("out"), "id").alias("key"))
+        hits = other.select(word.alias("word"), mask.alias("mask")).join(words, "word").where(F.col("bits").bitwiseAND(F.col("mask")) == F.col("mask"))
+        assert hits.count() < 0.015 * 40_000
+    assert rows(filter_urls(df.limit(0), listed)) == []
+    assert {r["verdict"] for r in filter_urls(df, listed.limit(0), rules=[]).collect()} == {"allow"}
+
+
 def test_pipeline_keeps_columns_and_repeats_once(spark, docs, none):
     import corpus_pipeline
     current = docs
@@ -430,3 +457,13 @@ def test_pipeline_keeps_columns_and_repeats_once(spark, docs, none):
     assert len(ids) == len(set(ids)) and len(ids) > 100
     whole = collections.Counter(r["doc_id"] for r in out.where("start = 0").select("doc_id").distinct().collect())
     assert set(whole) == set(ids)
+
+
+def test_pipeline_names_rows_by_all_that_a_verdict_needs(spark):
+    import corpus_pipeline
+    schema = "doc_id long, text string, lang string, source string"
+    df = spark.createDataFrame([(1, "a", "en", "x"), (1, "a", "en", "y"), (1, "a", None, "x"), (None, None, None, None), (1, "a", "en", "x")], schema)
+    named, row = corpus_pipeline._with_row(df)
+    rejected = named.where("source = 'y' or source is null").select(row)
+    assert sorted(rows(corpus_pipeline._without(named, row, rejected)), key=str) == [
+        (1, "a", "en", "x"), (1, "a", "en", "x"), (1, "a", None, "x")]
