@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from skirmish.operators import aggregates as AG
 from skirmish.operators import quality as Q
 from skirmish.operators.windows import slot_team
+from skirmish.plans import dimensions as DM
 from skirmish.plans import ingest as I
 from skirmish.plans import rules_sql as S
 from skirmish.plans.registry import dom, query
@@ -455,6 +456,49 @@ def job_dim_upsert(spark, sf_dir):
     return I.job_dim_upsert(dom(spark, sf_dir))
 
 
+_DIM_CTES = TEAMS_CTES + ",\n" + _geo_sql("gp", "g_raw_players", "country_txt", "country") + f""",
+tm AS ({TEAMS_SQL}),
+pl AS (SELECT p.id, p.name, p.url, c.country FROM g_raw_players p LEFT JOIN gp c ON c.place = p.country_txt),
+ex AS (SELECT CAST(n_nationkey + 1 AS BIGINT) AS id, n_name AS name FROM nation
+       WHERE n_regionkey < (SELECT max(n_regionkey) FROM nation)),
+cn AS (SELECT name FROM ex UNION SELECT country FROM tm WHERE country IS NOT NULL
+       UNION SELECT country FROM pl WHERE country IS NOT NULL),
+rex AS (SELECT CAST(r_regionkey + 1 AS BIGINT) AS id, r_name AS name FROM region
+        WHERE r_regionkey < (SELECT max(r_regionkey) FROM region)),
+rn AS (SELECT region AS name FROM tm WHERE region IS NOT NULL
+       UNION SELECT g.continent FROM cn JOIN g_geo g ON g.country = cn.name),
+rg AS (SELECT id, name FROM rex UNION ALL
+       SELECT CAST((SELECT max(id) FROM rex) + row_number() OVER (ORDER BY name) AS BIGINT), name
+       FROM rn WHERE name NOT IN (SELECT name FROM rex)),
+co AS (SELECT c.id, c.name, rg.id AS region_id FROM (SELECT id, name FROM ex UNION ALL
+       SELECT CAST((SELECT max(id) FROM ex) + row_number() OVER (ORDER BY name) AS BIGINT), name
+       FROM cn WHERE name NOT IN (SELECT name FROM ex)) c
+       LEFT JOIN g_geo g ON g.country = c.name LEFT JOIN rg ON rg.name = g.continent)"""
+
+
+@query("dim_regions", sql="SELECT id, name FROM rg", ctes=_DIM_CTES)
+def dim_regions(spark, sf_dir):
+    return DM.regions(dom(spark, sf_dir))
+
+
+@query("dim_countries", sql="SELECT id, name, region_id FROM co", ctes=_DIM_CTES)
+def dim_countries(spark, sf_dir):
+    return DM.countries(dom(spark, sf_dir))
+
+
+@query("job_teams_ids", sql="""
+SELECT t.id, t.name, t.shorthand_name, t.url, co.id AS country_id, rg.id AS region_id
+FROM tm t LEFT JOIN co ON co.name = t.country LEFT JOIN rg ON rg.name = t.region""", ctes=_DIM_CTES)
+def job_teams_ids(spark, sf_dir):
+    return DM.teams_with_ids(dom(spark, sf_dir))
+
+
+@query("job_players_ids", sql="""
+SELECT p.id, p.name, p.url, co.id AS country_id FROM pl p LEFT JOIN co ON co.name = p.country""", ctes=_DIM_CTES)
+def job_players_ids(spark, sf_dir):
+    return DM.players_with_ids(dom(spark, sf_dir))
+
+
 # ------------------------------------------------------------------ listing
 @query("job_listing", sql=f"""
 SELECT url, CAST({S.listing_date('header')} AS VARCHAR) AS date FROM (
