@@ -69,3 +69,15 @@ def test_csv_is_written_compressed_and_read_back(spark, tmp_path):
     assert glob.glob(f"{tmp_path}/out/*.csv.gz") and not glob.glob(f"{tmp_path}/out/*.csv")
     back = spark.read.schema(df.schema).option("header", True).csv(f"{tmp_path}/out")
     assert back.exceptAll(df).isEmpty() and back.count() == 1000
+
+
+def test_orphans_are_found_among_numbers_and_texts(spark):
+    from skirmish.operators import quality as Q
+    rows = [(1, 7, "x"), (1, 8, "y"), (2, None, None), (2, 8, "y"), (None, 9, "z")] * 3
+    tables = {"t": spark.createDataFrame(rows, "a long, b int, c string")}
+    parents = {"p": spark.range(1, 2), "q": spark.createDataFrame([("y",)], "name string")}
+    got = Q.orphans(tables, parents, {"t": {"a": "p", "b": "p", "c": "q"}})
+    assert sorted(map(tuple, got.collect())) == [("t.a -> p", "2"), ("t.b -> p", "7"), ("t.b -> p", "8"), ("t.b -> p", "9"),
+                                                 ("t.c -> q", "x"), ("t.c -> q", "z")]
+    keys = [line for line in got._jdf.queryExecution().optimizedPlan().toString().split("\n") if "Aggregate [" in line]
+    assert keys and not any("check_name" in line for line in keys)  # no text is grouped where a number will do
