@@ -32,3 +32,25 @@ def test_highlights_give_back_the_stored_rows_of_sound_maps(spark):
     got = I.job_highlights(d)
     assert got.count() > 0
     assert got.exceptAll(stored.select(*got.columns)).isEmpty() and stored.select(*got.columns).exceptAll(got).isEmpty()
+
+
+def test_duel_grid_makes_the_roster_once(spark):
+    assert _plan(I.join_duel_grid(_domain(spark, 1))).count("max_by(") == 1
+
+
+def test_duel_grid_keeps_every_meeting_of_repeated_headers(spark):
+    """A match that is there twice has its cells twice and each header four times."""
+    once, twice = (I.join_duel_grid(_domain(spark, n)).where("match_id <> 1000001") for n in (1, 2))
+    assert once.count() > 0 and twice.count() == 32 * once.count()
+    assert twice.distinct().exceptAll(once).isEmpty() and once.where("team_1_player_id IS NULL AND row_name <> 'sub'").isEmpty()
+
+
+def test_odd_duel_cells_are_read_by_the_rule(spark, monkeypatch):
+    cells = {0: "3 4", 1: " 3  4 ", 2: "", 3: "-2 k7", 4: "007 5%"}
+    grid = spark.createDataFrame([(1, 1, i, 0, c, c, c, 10 + i, 20) for i, c in cells.items()],
+                                 "match_id long, map_id long, i long, j long, kills_txt string, first_kills_txt string, "
+                                 "op_kills_txt string, team_1_player_id long, team_2_player_id long")
+    grid = grid.withColumns({"row_name": F.lit("a"), "col_name": F.lit("b")})
+    monkeypatch.setattr(I, "join_duel_grid", lambda d: grid)
+    got = {r.team_1_player_id - 10: (r[4], r[5]) for r in I.split_duels(None)[0].collect()}
+    assert got == {0: (3, 4), 1: (3, 4), 2: (0, 0), 3: (-2, 7), 4: (7, 5)}
