@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from conftest import SF0001
+from skirmish.operators import quality as Q
 from skirmish.plans import ingest as I
 from skirmish.sources.fixtures import Domain
 
@@ -54,3 +55,15 @@ def test_odd_duel_cells_are_read_by_the_rule(spark, monkeypatch):
     monkeypatch.setattr(I, "join_duel_grid", lambda d: grid)
     got = {r.team_1_player_id - 10: (r[4], r[5]) for r in I.split_duels(None)[0].collect()}
     assert got == {0: (3, 4), 1: (3, 4), 2: (0, 0), 3: (-2, 7), 4: (7, 5)}
+
+
+def test_rules_drop_sound_rows_before_names_are_made(spark):
+    rows = [(1, 7, 2, "full_buy"), (2, 7, 0, "full_buy"), (3, None, 1, "other"), (4, 7, 1, None)]
+    df = spark.createDataFrame(rows, "match_id long, map_id long, round_no int, team_1_buy_type string")
+    found = Q.declared_violations(df, "round_stats", ["match_id"])
+    rules = {(name, r[0]) for name, c, _, _ in Q.rules_of("round_stats", df.columns)
+             for r in rows if (name.endswith("not null") and r[df.columns.index(c)] is None)
+             or (name == "team_1_buy_type enum" and r[0] == 3) or (name.startswith("round_no >=") and r[0] == 2)}
+    assert {(r.rule, r.match_id) for r in found.collect()} == rules and len(rules) >= 3
+    generate, scan = _plan(found).split("Generate", 1)[1], "LogicalRDD"
+    assert generate.index("Filter") < generate.index(scan)
