@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from conftest import SF0001
 from skirmish.operators import quality as Q
+from skirmish.plans import features as FT
 from skirmish.plans import ingest as I
 from skirmish.sources.fixtures import Domain
 
@@ -67,3 +68,21 @@ def test_rules_drop_sound_rows_before_names_are_made(spark):
     assert {(r.rule, r.match_id) for r in found.collect()} == rules and len(rules) >= 3
     generate, scan = _plan(found).split("Generate", 1)[1], "LogicalRDD"
     assert generate.index("Filter") < generate.index(scan)
+
+
+def test_clutches_are_made_distinct_before_they_are_listed(spark):
+    plan = _plan(FT.feat_rounds(_domain(spark, 1)))
+    assert "collect_set" not in plan and plan.count("Aggregate") == 2
+
+
+def test_clutch_flags_of_repeated_matches_and_null_teams(spark):
+    d = _domain(spark, 2)
+    pairs = {tuple(r) for r in d.player_highlights.where(F.col("highlight_type").isin(FT.CLUTCH_TYPES))
+             .select("match_id", "map_id", "round_no", "team_id").collect() if r.team_id is not None}
+    teams = {(r.match_id, r.map_id, r.team_1_id): r.team_2_id for r in d.match_maps.collect()}
+    teams |= {(m, p, b): a for (m, p, a), b in teams.items()}
+    rows = FT.feat_rounds(d).collect()
+    assert len(rows) == 2 * d.round_stats.count() and any(r.won_buy_clutch for r in rows)
+    for r in rows:
+        own, other = ((r.match_id, r.map_id, r.round_no, t) in pairs for t in (r.team_id, teams.get((r.match_id, r.map_id, r.team_id))))
+        assert (r.won_buy_clutch, r.loss_buy_clutch) == (int(bool(r.won and own)), int(bool(r.won == 0 and other)))
