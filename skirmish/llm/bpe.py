@@ -14,10 +14,12 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 _NONE = np.int32(2**31 - 1)
 _SHIFT = np.int64(20)
 _CHUNK = 8192
+_MET, _SHORT = 200_000, 32  # pre-tokens, and bytes of each, that a vocabulary remembers
 
 
 class PairTable:
@@ -136,11 +138,36 @@ class Vocabulary:
         letters = byte_letters()
         self.start = np.array([ids[letters[b]] for b in range(256)], np.int32)
         self.end = np.array([ids[letters[b] + self.suffix] for b in range(256)], np.int32)
+        self.met, self.met_ids, self.met_counts = pa.array([], pa.large_binary()), np.zeros(0, np.int32), np.zeros(0, np.int64)
 
     def encode(self, words: pa.Array):
-        """Ids (flat) and their number for each pre-token; an empty one has none."""
+        """Ids (flat) and their number for each of the distinct pre-tokens; an
+        empty one has none. The first ``_MET`` short ones met are remembered."""
+        at = pc.index_in(words, value_set=self.met).fill_null(-1).to_numpy(zero_copy_only=False)
+        new = np.flatnonzero(at < 0)
+        fresh = words.take(pa.array(new))
+        ids, counts = self._merged(fresh)
+        all_counts = np.r_[self.met_counts, counts]
+        begin = np.cumsum(all_counts) - all_counts
+        at = at.astype(np.int64)
+        at[new] = len(self.met) + np.arange(len(new))
+        flat = np.r_[self.met_ids, ids]
+        size = all_counts[at]
+        ends = np.cumsum(size)
+        out = flat[np.repeat(begin[at] - ends + size, size) + np.arange(ends[-1] if len(ends) else 0)]
+        short = np.flatnonzero(pc.less_equal(pc.binary_length(fresh), _SHORT).to_numpy(zero_copy_only=False))
+        short = short[:max(_MET - len(self.met), 0)]
+        if len(short):
+            self.met = pa.concat_arrays([self.met, fresh.take(pa.array(short))])
+            kept = np.zeros(len(new), bool)
+            kept[short] = True
+            self.met_ids = np.r_[self.met_ids, ids[np.repeat(kept, counts)]]
+            self.met_counts = np.r_[self.met_counts, counts[kept]]
+        return out, size
+
+    def _merged(self, words: pa.Array):
         if len(words) > _CHUNK:  # working arrays that stay in the processor's cache
-            parts = [self.encode(words.slice(i, _CHUNK)) for i in range(0, len(words), _CHUNK)]
+            parts = [self._merged(words.slice(i, _CHUNK)) for i in range(0, len(words), _CHUNK)]
             return np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
         offsets = np.frombuffer(words.buffers()[1], np.int64)[words.offset:words.offset + len(words) + 1]
         lengths = np.diff(offsets)

@@ -72,8 +72,8 @@ class UnitEncoder:
     def encode(self, texts: pa.Array):
         """(ids, starts, counts, words, rows, offsets): text i is the units
         ``rows[offsets[i]:offsets[i + 1]]``; unit u has the ids from
-        ``starts[u]`` on, ``counts[u]`` of them, and its first pre-token is
-        number ``words[u]`` (-1: none)."""
+        ``starts[u]`` on, ``counts[u]`` of them, and is the word ``words[u]``
+        (-1: none): its core, or itself if it has several pre-tokens."""
         units, rows, offsets = self._pieces(texts)
         cores = units if self.spaces else pc.utf8_lower(units)
         trimmed = pc.utf8_rtrim(cores, characters=_PUNCTUATION)
@@ -81,8 +81,11 @@ class UnitEncoder:
         if not self.spaces:
             plain = pc.and_not(plain, pc.match_substring(units, "İ"))  # its lower case is two letters
         plain = plain.to_numpy(zero_copy_only=False)
-        if not self.spaces and not unicodedata.is_normalized("NFC", "\n".join(units.to_pylist())):
-            plain = plain & np.fromiter((unicodedata.is_normalized("NFC", u) for u in units.to_pylist()), bool, len(units))
+        if not self.spaces:
+            other = np.flatnonzero(~pc.string_is_ascii(units).to_numpy(zero_copy_only=False))
+            plain = plain.copy()
+            plain[other] &= np.fromiter((unicodedata.is_normalized("NFC", u) for u in units.take(pa.array(other)).to_pylist()),
+                                        bool, len(other))
         tails = _drop_heads(cores.cast(pa.large_binary()), pc.binary_length(trimmed).to_numpy(zero_copy_only=False))
         if self.spaces:
             space, none = pa.scalar(" ", pa.large_string()), pa.scalar("", pa.large_string())
@@ -95,7 +98,8 @@ class UnitEncoder:
             first, back = np.unique(first_rows, return_inverse=True)
             names = [" " + u.replace(_HELD, " ") for u in names] + [_whole(u) for u in units.take(pa.array(first)).to_pylist()]
             rows[offsets[:-1]] = len(units) + back
-        words = [self._words(u) for u in names]
+        marked = any(pc.any(pc.match_substring(units, m)).as_py() for m in self.marks)
+        words = [self._words(u) for u in names] if marked or self.spaces else [self.find(lower_nfc(u)) for u in names]
         flat = pa.array([w.encode("utf-8", "replace") for ws in words for w in ws], pa.large_binary())
         n_words = np.fromiter(map(len, words), np.int64, len(words))
         return self._ids(trimmed.cast(pa.large_binary()), tails, plain, odd, flat, n_words) + (rows, offsets)
@@ -125,6 +129,8 @@ class UnitEncoder:
         total = np.r_[0, np.cumsum(per)]
         counts = total[begin + sizes] - total[begin]
         words = np.where(sizes > 0, np.r_[order, -1][begin], -1)
+        several = odd[n_words[:len(odd)] > 1]
+        words[several] = len(per_word) + several
         return ids[spread(word_start[order], per)], total[begin], counts, words
 
 
@@ -177,7 +183,7 @@ def slices(batch: pa.RecordBatch, column: str, most: int = _SLICE) -> Iterator[p
 
 def lower_nfc(text: str) -> str:
     """The word vocabulary's normal form: NFC, lower case letter by letter."""
-    return unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
+    return text.lower() if text.isascii() else unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
 
 
 def count_tokens(df: DataFrame, vocab_path: str, id_col: str = "doc_id", text_col: str = "text",

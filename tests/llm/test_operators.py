@@ -13,6 +13,7 @@ from fractions import Fraction
 import duckdb
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -467,3 +468,46 @@ def test_pipeline_names_rows_by_all_that_a_verdict_needs(spark):
     rejected = named.where("source = 'y' or source is null").select(row)
     assert sorted(rows(corpus_pipeline._without(named, row, rejected)), key=str) == [
         (1, "a", "en", "x"), (1, "a", "en", "x"), (1, "a", None, "x")]
+
+
+def test_packing_search_scores_all_rows_of_a_common_word_exactly(spark):
+    """Words in up to every row, over many more rows than any block, against BM25 by hand."""
+    from skirmish.llm import neighbours as N
+    rng = np.random.default_rng(5)
+    texts = [" ".join(["all", *(f"c{x}" for x in rng.integers(0, 12, 8)), *(f"r{x}" for x in rng.integers(0, 300, 3))]) for _ in range(900)]
+    texts += ["all " * 3, "", "alone", None, "Ünï, (c1) c1\nr2"]
+    df = spark.createDataFrame(list(enumerate(texts)) + [(None, "c1 c2"), (900, "all c3")], "id long, text string")
+    df = df.withColumn("node", N.node(F.col("text"))).withColumn("query", N.is_query(df, "id"))
+    split = {r["node"]: [w for w in (x.strip("(),").lower() for x in (r["text"] or "").split()) if w] for r in df.collect()}
+    every = [split[r["node"]] for r in df.collect()]
+    n, mean = len(every), sum(map(len, every)) / len(every)
+    count = collections.Counter(w for words in every for w in set(words))
+    code = {w: int(N.words_of(pa.array([w]))[0][0]) for w in count}
+    idf = {w: math.log1p((n - c + 0.5) / (c + 0.5)) for w, c in count.items()}
+    look = {r["node"]: sorted((w for w in set(split[r["node"]]) if count[w] > 1), key=lambda w: (count[w], code[w]))[:24]
+            for r in df.where("query").collect()}
+    assert max(count.values()) > 900 and len(look) > 9
+    got = N.gathered(df, 24).select("id", "node", "group", "score").collect()
+    assert collections.Counter(r["id"] for r in got) == collections.Counter(r["id"] for r in df.collect())
+    for r in got:
+        words = split[r["node"]]
+        tf, norm = collections.Counter(words), 1.2 * (0.25 + 0.75 * len(words) / mean)
+        want = {q: sum(idf[w] * tf[w] * 2.2 / (tf[w] + norm) for w in ws if w in tf) for q, ws in look.items()}
+        want = {q: s for q, s in want.items() if s}
+        assert math.isclose(r["score"], max(want.values(), default=0))
+        assert not want or math.isclose(want[r["group"]], r["score"])
+
+
+def test_packing_deals_a_large_group_over_tasks_by_score(spark):
+    from skirmish.llm import neighbours as N
+    copies = [(i, "one two three four") for i in range(0, 30_000)] + [(100_000 + i, f"one two three x{i % 9} y{i}") for i in range(10_000)]
+    df = spark.createDataFrame(copies, "id long, text string").repartition(4)
+    df = df.withColumn("node", N.node(F.col("text"))).withColumn("query", N.is_query(df, "id"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = N.gathered(df, 24).withColumn("task", F.spark_partition_id()).select("id", "task").collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    per_task = collections.Counter(r["task"] for r in got)
+    assert len(per_task) > 4 and max(per_task.values()) < 20_000
+    assert sorted(r["id"] for r in got) == [i for i, _ in copies]
