@@ -67,3 +67,16 @@ def test_histories_of_named_targets_leave_the_maps_where_they_are(spark, tables)
     for r in d.match_maps.collect():
         maps[r["match_id"]] = maps.get(r["match_id"], 0) + 1
     assert played and all(r["n"] == maps[r["history_id"]] for r in played)
+
+
+def test_rounds_of_an_ingest_run_are_not_saved_and_shuffled(spark, tables):
+    from skirmish.plans.batch import JOBS
+    d = Domain(spark, tables)
+    out = JOBS["round_stats"](d)
+    for df in out.values():
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange") == 1 and "hashpartitioning(o_orderkey" in plan and "ExistingRDD" not in plan
+    clean, bad = out["round_stats"], out["round_quarantine"]
+    rejected = {(r["match_id"], r["map_id"]) for r in bad.collect()}
+    assert rejected and not rejected & {(r["match_id"], r["map_id"]) for r in clean.collect()}
+    assert clean.count() + bad.count() == d.raw_rounds.count() and clean.columns == bad.columns
